@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 
 from placemill import schema as S
 
-# Parts the second domain is cut into, so that no task holds all of it.
-_GRID_PARTS = 64
+# Parts each domain is cut into for pairing; a power of two. Bounds how often a value is copied.
+_GRID_PARTS = 32
 
 
 def count_by(df: DataFrame, *keys: str, name: str = "count", sort: bool = False) -> DataFrame:
@@ -22,19 +22,25 @@ def count_by_dense(
     """Rows for each pair of values of two columns, with 0 for pairs that do not occur. Null is not a value.
 
     The rows are counted once; both domains and the zeros come from the counts, which are small. The grid of the domains
-    is what this operator returns, so it cannot be smaller; it is built by an equi-join on a part number, each task
-    pairing its share of ``first`` with one part of ``second``. Nothing is broadcast on trust: Spark does so only when
-    it has measured a domain as small.
+    is what this operator returns, so it cannot be smaller. It is built by an equi-join on two part numbers: each value
+    meets every part of the other domain, and no task holds more than one part of each. The join is a merge join, as
+    Spark's estimate for a broadcast would miss the copies.
     """
     counts = count_by(df, first, second, name=name)
-    parts = F.explode(F.sequence(F.lit(0), F.lit(_GRID_PARTS - 1)))
-    part = F.pmod(F.xxhash64(second), F.lit(_GRID_PARTS)).cast("int")
-    firsts = _domain(counts, first, name).withColumn("grid_part", parts)
-    seconds = _domain(counts, second, name).withColumn("grid_part", part)
-    zeros = firsts.join(seconds, "grid_part").select(first, second, F.lit(0).cast("bigint").alias(name))
+    firsts = _in_parts(_domain(counts, first, name), first, own="part_first", other="part_second")
+    seconds = _in_parts(_domain(counts, second, name), second, own="part_second", other="part_first")
+    grid = firsts.join(seconds.hint("merge"), ["part_first", "part_second"])
+    zeros = grid.select(first, second, F.lit(0).cast("bigint").alias(name))
     # Adding the zeros takes one shuffle; a left join of the grid with the counts would take two. Nulls go last and by
     # counting: a filter on the keys would be pushed into each branch, and they could no longer share one count.
-    return _drop_null_keys(counts.unionByName(zeros), first, second, name, sort)
+    dense = (
+        counts.unionByName(zeros)
+        .groupBy(first, second)
+        .agg(F.sum(name).alias(name), F.count(first).alias("has_first"), F.count(second).alias("has_second"))
+        .filter("has_first > 0 AND has_second > 0")
+        .drop("has_first", "has_second")
+    )
+    return dense.orderBy(first, second) if sort else dense
 
 
 def _domain(counts: DataFrame, key: str, name: str) -> DataFrame:
@@ -42,11 +48,10 @@ def _domain(counts: DataFrame, key: str, name: str) -> DataFrame:
     return counts.groupBy(key).agg(F.sum(name).alias(name)).filter(F.col(name) > 0).select(key)
 
 
-def _drop_null_keys(rows: DataFrame, first: str, second: str, name: str, sort: bool) -> DataFrame:
-    dense = (
-        rows.groupBy(first, second)
-        .agg(F.sum(name).alias(name), F.count(first).alias("has_first"), F.count(second).alias("has_second"))
-        .filter("has_first > 0 AND has_second > 0")
-        .drop("has_first", "has_second")
+def _in_parts(domain: DataFrame, key: str, *, own: str, other: str) -> DataFrame:
+    # bitwiseAND rather than pmod: it is never null, so no null filter is pushed below the shared count either.
+    return domain.select(
+        key,
+        F.xxhash64(key).bitwiseAND(_GRID_PARTS - 1).alias(own),
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(_GRID_PARTS - 1).cast("bigint"))).alias(other),
     )
-    return dense.orderBy(first, second) if sort else dense
