@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 def dedup_first(df: DataFrame, key: str | list[str], order: str | list[str]) -> DataFrame:
     """One row for each key: the first in ``order``. Null keys count as one key.
 
-    ``order`` should be unique within a key. Spark turns ``row_number() = 1`` into a group limit on both sides of the
-    shuffle, so each map task sends at most one row for each key (a key with a third of all rows costs no more than
-    others), and columns nobody reads later are pruned at the scan.
+    ``order`` must be unique within a key; otherwise a task that runs again may keep another row. Spark turns
+    ``row_number() = 1`` into a group limit on both sides of the shuffle, so each map task sends at most one row for
+    each key (a key with a third of all rows costs no more than others), and columns nobody reads later are pruned at
+    the scan.
     """
     keys, orders = _names(key), _names(order)
     first = Window.partitionBy(*keys).orderBy(*orders)
@@ -17,8 +18,13 @@ def dedup_first(df: DataFrame, key: str | list[str], order: str | list[str]) ->
 
 
 def dedup_any(df: DataFrame, key: str | list[str]) -> DataFrame:
-    """One row for each key, whichever comes first. Null keys count as one key."""
-    return df.dropDuplicates(_names(key))
+    """One row for each key, where it does not matter which. Null keys count as one key.
+
+    Keeps the smallest row. ``dropDuplicates`` keeps whichever arrives first: if an executor is lost, part of the result
+    may then be worked out again with other rows, and a row can be lost or doubled in the steps behind it.
+    """
+    keys = _names(key)
+    return dedup_first(df, keys, [name for name in df.columns if name not in keys] or keys)
 
 
 def _names(names: str | list[str]) -> list[str]:

@@ -28,14 +28,19 @@ def impute_site_max(
         .filter("gaps > 0")
     )
     threshold = df.agg((F.count_if(missing) / F.lit(heavy_groups)).alias("threshold"))
-    heavy = F.broadcast(
-        fills.filter(F.col("gaps") > threshold.scalar()).select("fill_group", "fill_value", F.lit(True).alias("heavy"))
+    heavy = fills.filter(F.col("gaps") > threshold.scalar()).select(
+        F.col("fill_group").alias("heavy_group"), F.col("fill_value").alias("heavy_value"), F.lit(True).alias("heavy")
     )
     light = fills.filter("fill_value IS NOT NULL").select("fill_group", "fill_value")
 
-    same_group = F.col(group).eqNullSafe(F.col("fill_group"))
-    settled = df.join(heavy, same_group, "left").filter(~missing | F.col("heavy"))
-    rest = df.filter(missing).join(heavy, same_group, "left_anti").join(light, same_group, "left")
+    marked = df.join(F.broadcast(heavy), F.col(group).eqNullSafe(F.col("heavy_group")), "left")
+    settled = marked.filter(~missing | F.col("heavy")).withColumn("fill_value", F.col("heavy_value"))
+    # heavy_value is null here; reading it all the same lets both branches share one set of maxima.
+    rest = (
+        marked.filter(missing & F.col("heavy").isNull())
+        .join(light, F.col(group).eqNullSafe(F.col("fill_group")), "left")
+        .withColumn("fill_value", F.coalesce("heavy_value", "fill_value"))
+    )
     filled = F.coalesce(value, "fill_value").alias(value)
     columns = [filled if name == value else F.col(name) for name in df.columns]
     return settled.select(*columns).union(rest.select(*columns))

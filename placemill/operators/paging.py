@@ -6,18 +6,34 @@ from pyspark.sql import functions as F
 from placemill.functions import page_count, page_of
 from placemill.staging import pin
 
+# monotonically_increasing_id() holds the partition's number above this many bits, the row's number within it below.
+_RANK_BITS = 33
 
-def global_position(df: DataFrame, *order_by: str, name: str = "position") -> DataFrame:
-    """Add the 0-based position of each row in a total order.
 
-    The rows are range-partitioned into numbered blocks and pinned (a range partitioning worked out twice may cut
-    elsewhere); a row's position is the size of all earlier blocks plus its rank within its own. Only the block sizes,
-    one row for each partition, are brought together. A tie-breaker lets rows with equal order values spread over
-    several blocks; their order among themselves is arbitrary.
+def global_position(df: DataFrame, *order_by: str, name: str = "position", unique: bool = False) -> DataFrame:
+    """Add the 0-based position of each row in the order of some columns.
+
+    The rows are range-partitioned, sorted and pinned with a number made of partition and rank (a range partitioning
+    worked out twice may cut elsewhere). A row's position is the size of all earlier partitions plus its rank, so only
+    those sizes, one row for each partition, are brought together.
+
+    Rows with equal order values come in any order among themselves. So that many of them spread over several
+    partitions, their place in the input breaks the tie, and the input is pinned as well to make that place lasting. If
+    no two rows have equal order values, say ``unique``, which saves this copy.
     """
-    tie = F.pmod(F.monotonically_increasing_id(), F.lit(1 << 16)).alias("tie")
-    spread = df.select("*", tie).repartitionByRange(*order_by, "tie")
-    blocks = pin(spread.withColumn("block", F.spark_partition_id()), "blocks")
+    if unique:
+        source, order = df, list(order_by)
+    else:
+        source = pin(df, "unordered").withColumn("tie", F.monotonically_increasing_id())
+        order = [*order_by, "tie"]
+    ranked = (
+        source.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .select(*df.columns, F.monotonically_increasing_id().alias("number"))
+    )
+    blocks = pin(ranked, "positions").withColumns(
+        {"block": F.shiftright("number", _RANK_BITS), "rank": F.col("number").bitwiseAND((1 << _RANK_BITS) - 1)}
+    )
     # One row for each partition of the range shuffle: small enough to broadcast and for a window without keys.
     before = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
@@ -25,22 +41,22 @@ def global_position(df: DataFrame, *order_by: str, name: str = "position") -> Da
         .agg(F.count(F.lit(1)).alias("rows"))
         .select("block", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start"))
     )
-    rank = F.row_number().over(Window.partitionBy("block").orderBy(*order_by, "tie"))
     return (
-        blocks.withColumn("rank", rank)
-        .join(F.broadcast(starts), "block")
-        .withColumn(name, F.col("start") + F.col("rank") - 1)
-        .drop("block", "tie", "rank", "start")
+        blocks.join(F.broadcast(starts), "block")
+        .withColumn(name, F.col("start") + F.col("rank"))
+        .drop("block", "number", "rank", "start")
     )
 
 
-def page_plan(df: DataFrame, *order_by: str, per_page: int = 50, position: str | None = None) -> DataFrame:
+def page_plan(
+    df: DataFrame, *order_by: str, per_page: int = 50, position: str | None = None, unique: bool = False
+) -> DataFrame:
     """Add ``page``, the 1-based page each row falls on, and ``total_pages``.
 
-    Rows are paged in the order of ``order_by``. If a column already holds the 0-based position, name it in
-    ``position``: then nothing is sorted.
+    Rows are paged in the order of ``order_by``; for ``unique`` see :func:`global_position`. If a column already holds
+    the 0-based position, name it in ``position``: then nothing is sorted.
     """
-    placed = df if position else global_position(df, *order_by, name="page_position")
+    placed = df if position else global_position(df, *order_by, name="page_position", unique=unique)
     total = df.agg(page_count(F.count(F.lit(1)), per_page).alias("total_pages"))
     paged = placed.withColumns(
         {"page": page_of(F.col(position or "page_position"), per_page), "total_pages": total.scalar()}

@@ -164,6 +164,8 @@ SELECT * REPLACE (nullif(estado, '') AS estado, nullif(cidade, '') AS cidade) FR
     "page_plan_orders": """SELECT o_orderkey, o_totalprice,
   (row_number() OVER (ORDER BY o_totalprice, o_orderkey) - 1) // 50 + 1 AS page,
   CAST(ceil(count(*) OVER () / 50.0) AS BIGINT) AS total_pages FROM orders""",
+    "event_positions": """SELECT event_type, user_id, row_number() OVER (ORDER BY event_type, user_id) - 1 AS position
+FROM events""",
     "ingest_page_log": f"WITH {_INGESTED} SELECT * FROM ingested",
     "landing_roundtrip": f"WITH {_RAW} SELECT * FROM places_raw",
     "dataset_append": f"WITH {_RAW} SELECT * FROM places_raw UNION ALL SELECT * FROM places_raw",

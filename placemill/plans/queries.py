@@ -18,6 +18,7 @@ from placemill.operators import (
     dedup_any,
     dedup_first,
     fill_constants,
+    global_position,
     impute_site_fill,
     impute_site_max,
     ingest_pages,
@@ -294,7 +295,15 @@ def page_plan_customer(spark, sf_dir):
 
 @_query
 def page_plan_orders(spark, sf_dir):
-    return page_plan(table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"), "o_totalprice", "o_orderkey")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    return page_plan(orders, "o_totalprice", "o_orderkey", unique=True)
+
+
+@_query
+def event_positions(spark, sf_dir):
+    # Events of a user have one type or another, so order values repeat; equal rows may take each other's place.
+    events = table(spark, sf_dir, "events").select("event_type", "user_id")
+    return global_position(events, "event_type", "user_id")
 
 
 @_query

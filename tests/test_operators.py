@@ -113,6 +113,16 @@ def test_dedup_first_by_page_and_position(spark, rows):
 def test_dedup_any(spark, rows):
     df = spark.createDataFrame([("a", 1), ("a", 1), (None, 2), (None, 2)], "id string, x int")
     assert rows(pm.dedup_any(df, "id")) == [(None, 2), ("a", 1)]
+    assert rows(pm.dedup_any(df.select("id"), "id")) == [(None,), ("a",)]
+
+
+def test_dedup_any_keeps_a_whole_row_and_always_the_same(spark, rows):
+    data = [(f"k{i % 7}", i * 37 % 101, f"t{i * 37 % 101}") for i in range(100)]
+    df = spark.createDataFrame(data, "id string, x int, t string")
+    kept = rows(pm.dedup_any(df, "id"))
+    assert len(kept) == 7
+    assert set(kept) <= set(data)
+    assert rows(pm.dedup_any(df.repartition(13).orderBy(F.desc("x")), ["id"])) == kept
 
 
 def test_rename_ignores_absent_columns(spark):
@@ -168,9 +178,11 @@ def test_global_position(spark):
     rng = random.Random(3)
     values = [(rng.randrange(40), i) for i in range(2000)]
     df = spark.createDataFrame(values, "v int, i int").repartition(5)
-    got = pm.global_position(df, "v", "i")
+    got = pm.global_position(df, "v", "i", unique=True)
     assert got.columns == ["v", "i", "position"]
-    assert [tuple(r) for r in got.orderBy("position").collect()] == [(*pair, p) for p, pair in enumerate(sorted(values))]
+    wanted = [(*pair, p) for p, pair in enumerate(sorted(values))]
+    assert [tuple(r) for r in got.orderBy("position").collect()] == wanted
+    assert [tuple(r) for r in pm.global_position(df, "v", "i").orderBy("position").collect()] == wanted
 
 
 def test_global_position_of_equal_rows(spark):

@@ -1,5 +1,7 @@
 """Every registered query against its SQL, run by DuckDB on the same tables."""
 
+import os
+
 import duckdb
 import pytest
 
@@ -8,7 +10,7 @@ import __spark_entry__ as contract
 from .conftest import TESTDATA
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels"
-SF_DIR = f"{TESTDATA}/sf0.01"
+SF_DIR = os.environ.get("ORACLE_SF_DIR", f"{TESTDATA}/sf0.01")
 
 
 @pytest.fixture(scope="module")
