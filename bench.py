@@ -75,8 +75,8 @@ def main() -> None:
         "count_lineitem",
         "count_events_dense",
         "dedup_first_lineitem",
-        "impute_max_orders",
-        "impute_fill_orders",
+        "impute_site_max_orders",
+        "impute_site_fill_orders",
         "page_plan_orders",
     ):
         queries[name] = lambda query=QUERIES[name]: run(query(spark, SF_DIR))

@@ -7,6 +7,7 @@ from placemill.functions import (
     page_of,
     rewrite_scheme,
     url_flags,
+    url_flags_struct,
 )
 from placemill.operators import (
     add_url_flags,
@@ -67,6 +68,7 @@ __all__ = [
     "run_pipeline",
     "union_records",
     "url_flags",
+    "url_flags_struct",
     "write_dataset",
     "write_if_nonempty",
     "write_landing",

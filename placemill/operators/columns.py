@@ -9,8 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from placemill import schema as S
-from placemill.functions import normalise_text, rewrite_scheme, url_flags
-from placemill.functions.url import url_flags_struct
+from placemill.functions import normalise_text, rewrite_scheme, url_flags, url_flags_struct
 
 
 def rename_columns(df: DataFrame, names: Mapping[str, str] = S.RENAMES) -> DataFrame:

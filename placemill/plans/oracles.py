@@ -115,30 +115,30 @@ wrapped AS (SELECT id, chr(9) || chr(8195) || name || chr(160) || 'x' || chr(31)
 SELECT id, {_trim_unicode('name')} AS trimmed, {_strip_unicode('name')} AS stripped FROM wrapped""",
     "normalise_documents": f"SELECT doc_id, {_trim('text')} AS trimmed, {_strip('text')} AS stripped FROM documents",
     "normalise_unicode_documents": f"SELECT doc_id, {_strip_unicode('text')} AS stripped FROM documents",
-    "fill_nulls": f"WITH {_RAW}, renamed AS (SELECT {_RENAMED} FROM places_raw) SELECT id, {_FILLED} FROM renamed",
-    "site_flags": f"""WITH {_RAW} SELECT id, website_url, {_valid('website_url')} AS website_url_validacao,
+    "fill_constants": f"WITH {_RAW}, renamed AS (SELECT {_RENAMED} FROM places_raw) SELECT id, {_FILLED} FROM renamed",
+    "url_flags": f"""WITH {_RAW} SELECT id, website_url, {_valid('website_url')} AS website_url_validacao,
   {_secure('website_url')} AS indicador_seguranca_site FROM places_raw""",
-    "site_flags_struct": f"""WITH {_RAW} SELECT id, {_valid('website_url')} AS valida_forma,
+    "url_flags_struct": f"""WITH {_RAW} SELECT id, {_valid('website_url')} AS valida_forma,
   {_secure('website_url')} AS indicador_seguranca_site FROM places_raw""",
     "url_flags_pages": f"SELECT page_id, {_valid('url')} AS valid, {_secure('url')} AS secure FROM pages",
-    "rewrite_site_scheme": f"""WITH {_RAW}
+    "rewrite_scheme": f"""WITH {_RAW}
 SELECT id, {_rewrite('website_url', _valid('website_url'))} AS site FROM places_raw""",
     "rewrite_scheme_pages": f"""WITH cut AS (SELECT page_id, replace(url, '.', '') AS url FROM pages)
 SELECT page_id, {_rewrite('url', _valid('url'))} AS url FROM cut""",
-    "union_fields": f"""WITH {_RAW} SELECT id, name, phone, NULL AS street FROM places_raw
+    "union_records": f"""WITH {_RAW} SELECT id, name, phone, NULL AS street FROM places_raw
 UNION ALL SELECT id, name, NULL, street FROM places_raw""",
-    "dedup_first_places": f"WITH {_DUP}, {_FIRST} SELECT * FROM first_copies",
-    "dedup_any_places": f"WITH {_DUP} SELECT DISTINCT * EXCLUDE (load_seq, phone) FROM places_dup",
+    "dedup_first": f"WITH {_DUP}, {_FIRST} SELECT * FROM first_copies",
+    "dedup_any": f"WITH {_DUP} SELECT DISTINCT * EXCLUDE (load_seq, phone) FROM places_dup",
     "dedup_first_lineitem": """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice FROM lineitem
 QUALIFY row_number() OVER (
   PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) = 1""",
     "dedup_first_events": """SELECT event_id, user_id, event_type FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id) = 1""",
-    "impute_max": f"WITH {_UNFILLED} SELECT id, nome, {_IMPUTED_MAX} AS site, load_seq FROM clean",
-    "impute_fill": f"WITH {_UNFILLED} SELECT id, nome, {_IMPUTED_FILL} AS site, load_seq FROM clean",
-    "impute_max_orders": f"""WITH {_GAPPY} SELECT o_orderkey, o_orderstatus,
+    "impute_site_max": f"WITH {_UNFILLED} SELECT id, nome, {_IMPUTED_MAX} AS site, load_seq FROM clean",
+    "impute_site_fill": f"WITH {_UNFILLED} SELECT id, nome, {_IMPUTED_FILL} AS site, load_seq FROM clean",
+    "impute_site_max_orders": f"""WITH {_GAPPY} SELECT o_orderkey, o_orderstatus,
   coalesce(price_tag, max(price_tag) OVER (PARTITION BY o_orderstatus)) AS price_tag FROM tagged""",
-    "impute_fill_orders": f"""WITH {_GAPPY} SELECT o_orderkey, o_orderstatus, coalesce(
+    "impute_site_fill_orders": f"""WITH {_GAPPY} SELECT o_orderkey, o_orderstatus, coalesce(
   first_value(price_tag IGNORE NULLS) {_BY_STATUS} CURRENT ROW AND UNBOUNDED FOLLOWING),
   last_value(price_tag IGNORE NULLS) {_BY_STATUS} UNBOUNDED PRECEDING AND CURRENT ROW)) AS price_tag FROM tagged""",
     "silver": f"WITH {_silver()} SELECT * FROM silver",
@@ -151,7 +151,7 @@ SELECT * REPLACE (nullif(estado, '') AS estado, nullif(cidade, '') AS cidade) FR
     "gold_count": f"WITH {_silver()} {_GOLD}",
     "gold_count_dense": f"WITH {_silver()} {_dense('silver', 'estado', 'tipo_cervejaria')}",
     "gold_from_table": f"WITH {_silver()} {_GOLD_STORED}",
-    "gold_table_by_keys": f"WITH {_silver()} {_GOLD_STORED}",
+    "table_partitioned_by_keys": f"WITH {_silver()} {_GOLD_STORED}",
     "medallion_gold": f"""WITH {_silver().replace(_DUP, _INGESTED).replace('places_dup', 'ingested')} {_GOLD_STORED}""",
     "count_documents": "SELECT lang, source, count(*) AS count FROM documents GROUP BY ALL",
     "count_documents_dense": _dense("documents", "lang", "source"),
@@ -159,14 +159,16 @@ SELECT * REPLACE (nullif(estado, '') AS estado, nullif(cidade, '') AS cidade) FR
     "count_events_dense": _dense("events", "user_id", "event_type"),
     "count_orders": "SELECT o_orderstatus, o_orderpriority, count(*) AS count FROM orders GROUP BY ALL",
     "count_lineitem": "SELECT l_returnflag, l_linestatus, count(*) AS count FROM lineitem GROUP BY ALL",
-    "page_plan_customer": """SELECT c_custkey, (row_number() OVER (ORDER BY c_custkey) - 1) // 50 + 1 AS page,
+    "page_plan": """SELECT c_custkey, (row_number() OVER (ORDER BY c_custkey) - 1) // 50 + 1 AS page,
   CAST(ceil(count(*) OVER () / 50.0) AS BIGINT) AS total_pages FROM customer""",
     "page_plan_orders": """SELECT o_orderkey, o_totalprice,
   (row_number() OVER (ORDER BY o_totalprice, o_orderkey) - 1) // 50 + 1 AS page,
   CAST(ceil(count(*) OVER () / 50.0) AS BIGINT) AS total_pages FROM orders""",
-    "event_positions": """SELECT event_type, user_id, row_number() OVER (ORDER BY event_type, user_id) - 1 AS position
+    "global_position_events": """SELECT event_type, user_id, row_number() OVER (ORDER BY event_type, user_id) - 1 AS position
 FROM events""",
-    "ingest_page_log": f"WITH {_INGESTED} SELECT * FROM ingested",
+    "ingest_pages": f"WITH {_INGESTED} SELECT * FROM ingested",
+    "ingest_pages_total": f"""WITH {_INGESTED}, announced AS (SELECT count(*) // 2 AS n FROM customer)
+SELECT ingested.* FROM ingested, announced WHERE CAST(substr(id, 4) AS BIGINT) < CAST(ceil(n / 50.0) AS BIGINT) * 50""",
     "landing_roundtrip": f"WITH {_RAW} SELECT * FROM places_raw",
     "dataset_append": f"WITH {_RAW} SELECT * FROM places_raw UNION ALL SELECT * FROM places_raw",
     "dataset_overwrite": f"WITH {_RAW} SELECT * FROM places_raw",

@@ -9,8 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from placemill import schema as S
-from placemill.functions import normalise_text, rewrite_scheme, url_flags
-from placemill.functions.url import url_flags_struct
+from placemill.functions import normalise_text, rewrite_scheme, url_flags, url_flags_struct
 from placemill.operators import (
     add_url_flags,
     count_by,
@@ -39,7 +38,7 @@ QUERIES: dict[str, Query] = {}
 
 
 def _query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
+    QUERIES[function.__name__.removeprefix("q_")] = function
     return function
 
 
@@ -54,17 +53,17 @@ def _scratch_schema(spark: SparkSession) -> str:
 
 
 @_query
-def rename(spark, sf_dir):
+def q_rename(spark, sf_dir):
     return rename_columns(places_raw(spark, sf_dir))
 
 
 @_query
-def normalise(spark, sf_dir):
+def q_normalise(spark, sf_dir):
     return normalise_columns(rename_columns(places_raw(spark, sf_dir))).select("id", *S.STRIPPED, *S.TRIMMED)
 
 
 @_query
-def normalise_unicode(spark, sf_dir):
+def q_normalise_unicode(spark, sf_dir):
     wrapped = F.concat(F.lit("\t "), "name", F.lit(" x\u001f\n"))
     return places_raw(spark, sf_dir).select(
         "id",
@@ -74,49 +73,49 @@ def normalise_unicode(spark, sf_dir):
 
 
 @_query
-def normalise_documents(spark, sf_dir):
+def q_normalise_documents(spark, sf_dir):
     return table(spark, sf_dir, "documents").select(
         "doc_id", normalise_text("text").alias("trimmed"), normalise_text("text", strip_chars=True).alias("stripped")
     )
 
 
 @_query
-def normalise_unicode_documents(spark, sf_dir):
+def q_normalise_unicode_documents(spark, sf_dir):
     return table(spark, sf_dir, "documents").select(
         "doc_id", normalise_text("text", strip_chars=True, unicode=True).alias("stripped")
     )
 
 
 @_query
-def fill_nulls(spark, sf_dir):
+def q_fill_constants(spark, sf_dir):
     return fill_constants(rename_columns(places_raw(spark, sf_dir))).select("id", *S.FILLED)
 
 
 @_query
-def site_flags(spark, sf_dir):
+def q_url_flags(spark, sf_dir):
     return add_url_flags(places_raw(spark, sf_dir).select("id", "website_url"), "website_url")
 
 
 @_query
-def site_flags_struct(spark, sf_dir):
+def q_url_flags_struct(spark, sf_dir):
     places = places_raw(spark, sf_dir).select("id", url_flags_struct("website_url").alias("flags"))
     return places.select("id", "flags.*")
 
 
 @_query
-def url_flags_pages(spark, sf_dir):
+def q_url_flags_pages(spark, sf_dir):
     valid, secure = url_flags("url")
     return table(spark, sf_dir, "pages").select("page_id", valid.alias("valid"), secure.alias("secure"))
 
 
 @_query
-def rewrite_site_scheme(spark, sf_dir):
+def q_rewrite_scheme(spark, sf_dir):
     flagged = add_url_flags(places_raw(spark, sf_dir).select("id", F.col("website_url").alias("site")))
     return rewrite_site(flagged).select("id", "site")
 
 
 @_query
-def rewrite_scheme_pages(spark, sf_dir):
+def q_rewrite_scheme_pages(spark, sf_dir):
     # Page URLs are well-formed, so only cutting the host down to one word gives the repair something to do.
     dotless = F.regexp_replace("url", r"\.", "")
     cut = table(spark, sf_dir, "pages").select("page_id", dotless.alias("url"))
@@ -124,7 +123,7 @@ def rewrite_scheme_pages(spark, sf_dir):
 
 
 @_query
-def union_fields(spark, sf_dir):
+def q_union_records(spark, sf_dir):
     places = places_raw(spark, sf_dir)
     return union_records(places.select("id", "name", "phone"), places.select("id", "street", "name"))
 
@@ -133,24 +132,24 @@ def union_fields(spark, sf_dir):
 
 
 @_query
-def dedup_first_places(spark, sf_dir):
+def q_dedup_first(spark, sf_dir):
     return dedup_first(places_dup(spark, sf_dir), "id", S.LOAD_SEQ)
 
 
 @_query
-def dedup_any_places(spark, sf_dir):
+def q_dedup_any(spark, sf_dir):
     return dedup_any(places_dup(spark, sf_dir).drop(S.LOAD_SEQ, "phone"), "id")
 
 
 @_query
-def dedup_first_lineitem(spark, sf_dir):
+def q_dedup_first_lineitem(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem")
     first = dedup_first(lines, "l_orderkey", ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"])
     return first.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
 
 
 @_query
-def dedup_first_events(spark, sf_dir):
+def q_dedup_first_events(spark, sf_dir):
     return dedup_first(table(spark, sf_dir, "events").select("event_id", "user_id", "event_type"), "user_id", "event_id")
 
 
@@ -162,12 +161,12 @@ def _unfilled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_query
-def impute_max(spark, sf_dir):
+def q_impute_site_max(spark, sf_dir):
     return impute_site_max(_unfilled(spark, sf_dir))
 
 
 @_query
-def impute_fill(spark, sf_dir):
+def q_impute_site_fill(spark, sf_dir):
     return impute_site_fill(_unfilled(spark, sf_dir), S.LOAD_SEQ)
 
 
@@ -177,12 +176,12 @@ def _gappy_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_query
-def impute_max_orders(spark, sf_dir):
+def q_impute_site_max_orders(spark, sf_dir):
     return impute_site_max(_gappy_orders(spark, sf_dir), "o_orderstatus", "price_tag")
 
 
 @_query
-def impute_fill_orders(spark, sf_dir):
+def q_impute_site_fill_orders(spark, sf_dir):
     return impute_site_fill(_gappy_orders(spark, sf_dir), "o_orderkey", "o_orderstatus", "price_tag")
 
 
@@ -190,53 +189,53 @@ def impute_fill_orders(spark, sf_dir):
 
 
 @_query
-def silver(spark, sf_dir):
+def q_silver(spark, sf_dir):
     return build_silver(places_dup(spark, sf_dir))
 
 
 @_query
-def silver_impute_first(spark, sf_dir):
+def q_silver_impute_first(spark, sf_dir):
     return build_silver(places_dup(spark, sf_dir), fill_site_first=False)
 
 
 @_query
-def silver_impute_fill(spark, sf_dir):
+def q_silver_impute_fill(spark, sf_dir):
     return build_silver(places_dup(spark, sf_dir), fill_site_first=False, impute="fill", chunk=1_000_000)
 
 
 @_query
-def silver_struct(spark, sf_dir):
+def q_silver_struct(spark, sf_dir):
     places = build_silver(places_dup(spark, sf_dir), keep_struct=True)
     flags = [F.col(S.FLAG_STRUCT)[S.FLAG_STRUCT_VALID].alias("valid"), F.col(S.FLAG_STRUCT)[S.SECURE_FLAG].alias("secure")]
     return places.select("id", "site", *flags)
 
 
 @_query
-def silver_table_two_keys(spark, sf_dir):
+def q_silver_table_two_keys(spark, sf_dir):
     name = f"{_scratch_schema(spark)}.silver"
     write_table(build_silver(places_dup(spark, sf_dir)), name, partition_by=["estado", "cidade"])
     return read_layer(spark, name)
 
 
 @_query
-def gold_count(spark, sf_dir):
+def q_gold_count(spark, sf_dir):
     return build_gold(build_silver(places_dup(spark, sf_dir)))
 
 
 @_query
-def gold_count_dense(spark, sf_dir):
+def q_gold_count_dense(spark, sf_dir):
     return build_gold(build_silver(places_dup(spark, sf_dir)), dense=True, sort=True)
 
 
 @_query
-def gold_from_table(spark, sf_dir):
+def q_gold_from_table(spark, sf_dir):
     path = scratch_path(spark, "silver")
     write_dataset(build_silver(places_dup(spark, sf_dir)), path, partition_by=["estado"])
     return build_gold(read_layer(spark, path))
 
 
 @_query
-def gold_table_by_keys(spark, sf_dir):
+def q_table_partitioned_by_keys(spark, sf_dir):
     name = f"{_scratch_schema(spark)}.gold"
     gold = build_gold(build_silver(places_dup(spark, sf_dir)))
     write_table(gold.select("estado"), name)
@@ -245,7 +244,7 @@ def gold_table_by_keys(spark, sf_dir):
 
 
 @_query
-def medallion_gold(spark, sf_dir):
+def q_medallion_gold(spark, sf_dir):
     root = scratch_path(spark, "run")
     suffix = root.rsplit("-", 1)[1]
     schemas = tuple(f"{layer}_{suffix}" for layer in ("bronze", "silver", "gold"))
@@ -256,32 +255,32 @@ def medallion_gold(spark, sf_dir):
 
 
 @_query
-def count_documents(spark, sf_dir):
+def q_count_documents(spark, sf_dir):
     return count_by(table(spark, sf_dir, "documents"), "lang", "source")
 
 
 @_query
-def count_documents_dense(spark, sf_dir):
+def q_count_documents_dense(spark, sf_dir):
     return count_by_dense(table(spark, sf_dir, "documents"), "lang", "source")
 
 
 @_query
-def count_events(spark, sf_dir):
+def q_count_events(spark, sf_dir):
     return count_by(table(spark, sf_dir, "events"), "user_id", "event_type")
 
 
 @_query
-def count_events_dense(spark, sf_dir):
+def q_count_events_dense(spark, sf_dir):
     return count_by_dense(table(spark, sf_dir, "events"), "user_id", "event_type")
 
 
 @_query
-def count_orders(spark, sf_dir):
+def q_count_orders(spark, sf_dir):
     return count_by(table(spark, sf_dir, "orders"), "o_orderstatus", "o_orderpriority", sort=True)
 
 
 @_query
-def count_lineitem(spark, sf_dir):
+def q_count_lineitem(spark, sf_dir):
     return count_by(table(spark, sf_dir, "lineitem"), "l_returnflag", "l_linestatus")
 
 
@@ -289,33 +288,39 @@ def count_lineitem(spark, sf_dir):
 
 
 @_query
-def page_plan_customer(spark, sf_dir):
+def q_page_plan(spark, sf_dir):
     return page_plan(table(spark, sf_dir, "customer").select("c_custkey"), position="c_custkey")
 
 
 @_query
-def page_plan_orders(spark, sf_dir):
+def q_page_plan_orders(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
     return page_plan(orders, "o_totalprice", "o_orderkey", unique=True)
 
 
 @_query
-def event_positions(spark, sf_dir):
+def q_global_position_events(spark, sf_dir):
     # Events of a user have one type or another, so order values repeat; equal rows may take each other's place.
     events = table(spark, sf_dir, "events").select("event_type", "user_id")
     return global_position(events, "event_type", "user_id")
 
 
 @_query
-def ingest_page_log(spark, sf_dir):
+def q_ingest_pages(spark, sf_dir):
     return ingest_pages(page_log(spark, sf_dir))
 
 
+@_query
+def q_ingest_pages_total(spark, sf_dir):
+    # The source announces half as many records as it holds: reading stops at the page that completes them.
+    return ingest_pages(page_log(spark, sf_dir), total_count=table(spark, sf_dir, "customer").count() // 2)
+
+
 # Files
 
 
 @_query
-def landing_roundtrip(spark, sf_dir):
+def q_landing_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "landing")
     write_landing(places_raw(spark, sf_dir), path)
     return read_landing(spark, path, S.RECORD_SCHEMA)
@@ -330,17 +335,17 @@ def _write_twice(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
 
 
 @_query
-def dataset_append(spark, sf_dir):
+def q_dataset_append(spark, sf_dir):
     return _write_twice(spark, sf_dir, "append")
 
 
 @_query
-def dataset_overwrite(spark, sf_dir):
+def q_dataset_overwrite(spark, sf_dir):
     return _write_twice(spark, sf_dir, "overwrite")
 
 
 @_query
-def documents_by_lang(spark, sf_dir):
+def q_documents_by_lang(spark, sf_dir):
     path = scratch_path(spark, "documents")
     documents = table(spark, sf_dir, "documents").select("doc_id", "lang", normalise_text("text").alias("text"))
     write_dataset(documents, path, partition_by=["lang"])

@@ -7,9 +7,8 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from placemill import normalise_text, page_count, page_of, rewrite_scheme, url_flags
+from placemill import normalise_text, page_count, page_of, rewrite_scheme, url_flags, url_flags_struct
 from placemill.functions.paging import record_seq
-from placemill.functions.url import url_flags_struct
 
 FLAGS = {
     (False, False): [None, "-", "", "ftp://a.b", "www.a.com", "http://localhost", "http:///a.b", "http://a/b.c"],
