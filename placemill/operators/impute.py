@@ -5,11 +5,11 @@ No step gathers a whole group's rows in one task, so a group with a third of all
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# At most this many groups can each hold more than 1/HEAVY_GROUPS of the gaps, which bounds what is broadcast.
+# Fewer groups than this can each hold more than 1/HEAVY_GROUPS of the rows, which bounds what is broadcast.
 HEAVY_GROUPS = 10_000
 
 
@@ -47,59 +47,67 @@ def impute_site_max(
 
 
 def impute_site_fill(
-    df: DataFrame, order: str, group: str = "nome", value: str = "site", *, span: int = 1_000_000
+    df: DataFrame,
+    order: str,
+    group: str = "nome",
+    value: str = "site",
+    *,
+    span: int = 1_000_000,
+    heavy_groups: int = HEAVY_GROUPS,
 ) -> DataFrame:
     """Give rows without a value the next value of their group in ``order``, else the last one before them.
 
-    Rows whose group is null lose their value. ``order`` is a unique whole number. Each group is worked on in chunks of
-    ``span`` consecutive order values, so a chunk has at most ``span`` rows; what a gap needs from beyond its chunk
-    (the next chunk's first value, else the group's last) comes from a table with one row for each group and chunk.
-    Rows that have a value send only that value, not the whole row.
+    Rows whose group is null lose their value. ``order`` is a unique whole number. Groups with more than
+    1/``heavy_groups`` of the rows are cut into chunks of ``span`` consecutive order values, so a chunk has at most
+    ``span`` rows; what a gap needs from beyond its chunk (the next chunk's first value, else the group's last) comes
+    from a table with one row for each of these groups and chunks. Rows that have a value send only that value, not the
+    whole row.
     """
     if not isinstance(df.schema[order].dataType, T.IntegralType):
         raise TypeError(f"{order} must be a whole-number column to be cut into chunks")
     present, grouped = F.col(value).isNotNull(), F.col(group).isNotNull()
-    chunk = _chunk(order, span)
+    chunk = F.col(order) - F.pmod(F.col(order), F.lit(span))
+
+    threshold = df.agg((F.count_if(grouped) / F.lit(heavy_groups)).alias("threshold"))
+    sizes = df.filter(grouped).groupBy(F.col(group).alias("heavy_group")).agg(F.count(F.lit(1)).alias("rows"))
+    heavy = F.broadcast(sizes.filter(F.col("rows") > threshold.scalar()).select("heavy_group", F.lit(True).alias("heavy")))
+    is_heavy = F.col(group) == F.col("heavy_group")
 
     # Backwards through a group: the nearest value behind the cursor is the next value. (The same in forward direction
     # would need a frame that ends at the group's end, which Spark evaluates anew for each row.)
-    backwards = Window.partitionBy("fill_group").orderBy(F.desc("fill_chunk"))
     edges = (
-        df.filter(grouped)
+        df.join(heavy, is_heavy)
         .groupBy(F.col(group).alias("fill_group"), chunk.alias("fill_chunk"))
         .agg(
             F.min_by(value, F.when(present, F.col(order))).alias("chunk_first"),
             F.max_by(value, F.when(present, F.col(order))).alias("chunk_last"),
         )
     )
+    chunks = Window.partitionBy("fill_group").orderBy(F.desc("fill_chunk"))
+    later = F.last("chunk_first", ignorenulls=True).over(chunks.rowsBetween(Window.unboundedPreceding, -1))
     beyond = edges.select(
-        "fill_group",
-        "fill_chunk",
-        F.coalesce(
-            F.last("chunk_first", ignorenulls=True).over(backwards.rowsBetween(Window.unboundedPreceding, -1)),
-            F.first("chunk_last", ignorenulls=True).over(
-                backwards.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-            ),
-        ).alias("beyond"),
-    ).filter("beyond IS NOT NULL")
+        "fill_group", "fill_chunk", F.coalesce(later, _last_of_all("chunk_last", chunks)).alias("beyond")
+    )
 
     gaps = df.filter(grouped & ~present).withColumn("is_gap", F.lit(True))
     values = df.filter(grouped & present).select(group, order, value, F.lit(False).alias("is_gap"))
-    in_chunk = (
-        Window.partitionBy(group, "chunk").orderBy(F.desc(order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
+    rows = Window.partitionBy(group, "chunk").orderBy(F.desc(order))
+    following = F.last(value, ignorenulls=True).over(rows.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     nearest = (
         gaps.unionByName(values, allowMissingColumns=True)
-        .withColumn("chunk", chunk)
-        .withColumn("nearest", F.last(value, ignorenulls=True).over(in_chunk))
+        .join(heavy, is_heavy, "left")
+        .withColumn("chunk", F.when(F.col("heavy"), chunk))
+        .withColumns({"following": following, "last_of_all": _last_of_all(value, rows)})
         .filter("is_gap")
     )
+    # A group that is not cut has no row in ``beyond``; its last value is at hand.
     filled = nearest.join(
         beyond, (F.col(group) == F.col("fill_group")) & (F.col("chunk") == F.col("fill_chunk")), "left"
-    ).withColumn(value, F.coalesce("nearest", "beyond"))
+    ).withColumn(value, F.coalesce("following", "beyond", F.when(F.col("heavy").isNull(), F.col("last_of_all"))))
     settled = df.filter(~grouped | present).withColumn(value, F.when(grouped, F.col(value)))
     return settled.union(filled.select(*df.columns))
 
 
-def _chunk(order: str, span: int) -> Column:
-    return F.col(order) - F.pmod(F.col(order), F.lit(span))
+def _last_of_all(value: str, backwards: WindowSpec) -> Column:
+    whole = backwards.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return F.first(value, ignorenulls=True).over(whole)

@@ -39,10 +39,10 @@ def ingest_pages(
     stop: int | None = None,
     keep_position: bool = False,
 ) -> DataFrame:
-    """Records of the pages before the first bad one, from rows (page, status, body).
+    """Records of the pages before the first bad one, from rows (page, status, body), one for each page.
 
     ``total_count`` limits the pages to those needed for that many records; zero means unknown. Fields a record lacks
-    are null. A page before the stop that is no JSON fails the job; what follows the stop is never decoded. Adds the
+    are null. A page before the stop that is no JSON list fails the job; what follows the stop is never decoded. Adds the
     landing order ``load_seq``, and with ``keep_position`` also ``page`` and ``pos``. Pass ``stop`` when it is known:
     it then filters the scan instead of being worked out first.
     """
@@ -50,10 +50,8 @@ def ingest_pages(
         needed = -(-total_count // per_page)
         max_pages = min(needed, max_pages) if max_pages else needed
     limit = F.lit(stop) if stop is not None else first_bad_page(pages, max_pages=max_pages).scalar()
-    text = F.when(
-        F.length(F.trim(F.coalesce("body", F.lit("")))) == 0,
-        F.raise_error(F.concat(F.lit("no JSON body in page "), F.col("page").cast("string"))).cast("string"),
-    ).otherwise(F.col("body"))
+    no_list = F.raise_error(F.concat(F.lit("no JSON list in page "), F.col("page").cast("string"))).cast("string")
+    text = F.when(F.col("body").rlike(r"^\s*\["), F.col("body")).otherwise(no_list)
     decoded = F.from_json(text, T.ArrayType(record_schema), {"mode": "FAILFAST"})
     # Not posexplode: from it Spark infers size(decoded) > 0 and may decode pages before the stop filter drops them.
     records = (

@@ -49,10 +49,10 @@ def test_pages_read(spark, tmp_path, case, layout):
     assert ids(pm.ingest_pages(df)) == wanted
 
 
-@pytest.mark.parametrize("text", ["{oops", "", "  ", None, '[{"id": "a"'])
+@pytest.mark.parametrize("text", ["{oops", "", "  ", None, '[{"id": "a"', '{"message": "busy"}', "oops", "[1]"])
 def test_malformed_before_stop_fails(spark, text):
     df = spark.createDataFrame([(1, 200, body("a")), (2, 200, text), (3, 200, body("b"))], PAGES)
-    with pytest.raises(Exception, match="MALFORMED|Malformed|no JSON body in page 2"):
+    with pytest.raises(Exception, match="MALFORMED|Malformed|no JSON list in page 2"):
         pm.ingest_pages(df).collect()
 
 
@@ -103,3 +103,6 @@ def test_page_files(spark, tmp_path):
     (tmp_path / "page-3.500.json").unlink()
     (tmp_path / "page-3.json").write_text("[]")
     assert ids(pm.ingest_pages(pm.read_page_files(spark, str(tmp_path)))) == ["a", "b", "c"]
+    (tmp_path / "notes.json").write_text("[]")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        pm.read_page_files(spark, str(tmp_path)).collect()

@@ -51,10 +51,10 @@ SORT = {"key": lambda r: r[1]}
 
 
 @pytest.mark.parametrize("seed", range(4))
-@pytest.mark.parametrize("span", [7, 300, 1_000_000])
-def test_impute_fill_equals_python(spark, seed, span):
+@pytest.mark.parametrize(("span", "heavy_groups"), [(7, 10_000), (300, 10_000), (1_000_000, 10_000), (7, 1), (7, 4)])
+def test_impute_fill_equals_python(spark, seed, span, heavy_groups):
     rows = random_rows(seed)
-    got = pm.impute_site_fill(frame(spark, rows), "k", span=span).collect()
+    got = pm.impute_site_fill(frame(spark, rows), "k", span=span, heavy_groups=heavy_groups).collect()
     assert sorted(map(tuple, got), **SORT) == sorted(brute_fill(rows), **SORT)
 
 
