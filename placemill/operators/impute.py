@@ -60,8 +60,9 @@ def impute_site_fill(
     Rows whose group is null lose their value. ``order`` is a unique whole number. Groups with more than
     1/``heavy_groups`` of the rows are cut into chunks of ``span`` consecutive order values, so a chunk has at most
     ``span`` rows; what a gap needs from beyond its chunk (the next chunk's first value, else the group's last) comes
-    from a table with one row for each of these groups and chunks. Rows that have a value send only that value, not the
-    whole row.
+    from a table with one row for each of these groups and chunks. Order values with long gaps make for many chunks;
+    number the rows with ``global_position`` first, then, or raise ``span``. Rows that have a value send only that
+    value, not the whole row.
     """
     if not isinstance(df.schema[order].dataType, T.IntegralType):
         raise TypeError(f"{order} must be a whole-number column to be cut into chunks")

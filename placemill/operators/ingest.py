@@ -23,7 +23,7 @@ def first_bad_page(pages: DataFrame, *, max_pages: int | None = None) -> DataFra
     itself = F.struct(page.alias("page"), F.coalesce(good, F.lit(False)).alias("good"))
     successor = F.struct((page + 1).alias("page"), F.lit(False).alias("good"))
     named = pages.filter("page >= 1").select(F.inline(F.array(itself, successor)))
-    start = pages.sparkSession.range(1).select(F.lit(1).cast("bigint").alias("page"), F.lit(False).alias("good"))
+    start = pages.sparkSession.range(1, 2, 1, 1).select(F.col("id").alias("page"), F.lit(False).alias("good"))
     by_page = named.unionByName(start).groupBy("page").agg(F.max("good").alias("good"))
     stop = by_page.filter(~F.col("good")).agg(F.min("page").alias("stop"))
     return stop.select(F.least("stop", F.lit(max_pages + 1)).alias("stop")) if max_pages else stop

@@ -66,6 +66,46 @@ def test_impute_max_equals_python(spark, seed, heavy_groups):
     assert sorted(map(tuple, got), **SORT) == sorted(brute_max(rows), **SORT)
 
 
+@pytest.fixture
+def shuffled_joins(spark):
+    """Joins as on data too large to broadcast; explicit broadcasts stay."""
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = spark.conf.get(names[0])
+    for name in names:
+        spark.conf.set(name, "-1")
+    yield
+    spark.conf.set(names[0], before)
+    spark.conf.unset(names[1])
+
+
+def test_imputation_by_shuffled_joins(spark, shuffled_joins):
+    rows = random_rows(11)
+    for heavy_groups in (1, 3, 10_000):
+        got = pm.impute_site_max(frame(spark, rows), heavy_groups=heavy_groups).collect()
+        assert sorted(map(tuple, got), **SORT) == sorted(brute_max(rows), **SORT)
+        got = pm.impute_site_fill(frame(spark, rows), "k", span=100, heavy_groups=heavy_groups).collect()
+        assert sorted(map(tuple, got), **SORT) == sorted(brute_fill(rows), **SORT)
+
+
+def test_imputation_of_a_group_with_a_third_of_all_rows(spark, rows):
+    gap = (F.col("k") % 4 != 0).alias("gap")
+    df = spark.range(0, 90_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("n"), F.col("id") % 9000)).alias("nome"),
+        F.col("id").alias("k"),
+    )
+    df = df.select("nome", "k", F.when(~gap, F.format_string("v%06d", "k")).alias("site"))
+    hot = F.col("nome") == "hot"
+    by_max = pm.impute_site_max(df)
+    assert by_max.count() == 90_000
+    assert rows(by_max.filter(hot & gap).select("site").distinct()) == [("v089988",)]
+    by_fill = pm.impute_site_fill(df, "k", span=1000)
+    assert by_fill.count() == 90_000
+    following = F.ceil(F.col("k") / 12) * 12
+    wanted = F.format_string("v%06d", F.least(following, F.lit(89_988)))
+    assert by_fill.filter(hot & (F.col("site") != wanted)).count() == 0
+    assert by_fill.filter(hot & F.col("site").isNull()).count() == 0
+
+
 def test_impute_max_equals_ordered_window(spark):
     df = frame(spark, random_rows(9))
     window = Window.partitionBy("nome").orderBy(F.col("site").desc())
