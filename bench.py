@@ -54,7 +54,7 @@ def timed(query) -> float:
 def main() -> None:
     spark = session()
     bronze = pin(places_dup(spark, SF_DIR), "bronze")
-    log = pin(page_log(spark, SF_DIR), "log")
+    log = page_log(spark, SF_DIR)
     silver_path = scratch_path(spark, "silver")
     pm.write_dataset(pm.build_silver(bronze), silver_path, partition_by=["estado"])
     silver = pm.read_layer(spark, silver_path)

@@ -6,7 +6,6 @@ from collections.abc import Iterable, Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from placemill import schema as S
 from placemill.functions import normalise_text, rewrite_scheme, url_flags, url_flags_struct

@@ -20,8 +20,9 @@ def dedup_first(df: DataFrame, key: str | list[str], order: str | list[str]) ->
 def dedup_any(df: DataFrame, key: str | list[str]) -> DataFrame:
     """One row for each key, where it does not matter which. Null keys count as one key.
 
-    Keeps the smallest row, so columns must be of types that can be ordered. ``dropDuplicates`` keeps whichever arrives first: if an executor is lost, part of the result
-    may then be worked out again with other rows, and a row can be lost or doubled in the steps behind it.
+    Keeps the smallest row, so columns must be of types that can be ordered. ``dropDuplicates`` keeps whichever arrives
+    first: if an executor is lost, part of the result may then be worked out again with other rows, and a row can be
+    lost or doubled in the steps behind it.
     """
     keys = _names(key)
     return dedup_first(df, keys, [name for name in df.columns if name not in keys] or keys)

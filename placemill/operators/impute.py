@@ -71,7 +71,8 @@ def impute_site_fill(
 
     threshold = df.agg((F.count_if(grouped) / F.lit(heavy_groups)).alias("threshold"))
     sizes = df.filter(grouped).groupBy(F.col(group).alias("heavy_group")).agg(F.count(F.lit(1)).alias("rows"))
-    heavy = F.broadcast(sizes.filter(F.col("rows") > threshold.scalar()).select("heavy_group", F.lit(True).alias("heavy")))
+    over = sizes.filter(F.col("rows") > threshold.scalar())
+    heavy = F.broadcast(over.select("heavy_group", F.lit(True).alias("heavy")))
     is_heavy = F.col(group) == F.col("heavy_group")
 
     # Backwards through a group: the nearest value behind the cursor is the next value. (The same in forward direction

@@ -22,11 +22,15 @@ def first_bad_page(pages: DataFrame, *, max_pages: int | None = None) -> DataFra
     page = F.col("page").cast("bigint")
     itself = F.struct(page.alias("page"), F.coalesce(good, F.lit(False)).alias("good"))
     successor = F.struct((page + 1).alias("page"), F.lit(False).alias("good"))
-    named = pages.filter("page >= 1").select(F.inline(F.array(itself, successor)))
+    named = _up_to(pages, max_pages).filter("page >= 1").select(F.inline(F.array(itself, successor)))
     start = pages.sparkSession.range(1, 2, 1, 1).select(F.col("id").alias("page"), F.lit(False).alias("good"))
     by_page = named.unionByName(start).groupBy("page").agg(F.max("good").alias("good"))
-    stop = by_page.filter(~F.col("good")).agg(F.min("page").alias("stop"))
-    return stop.select(F.least("stop", F.lit(max_pages + 1)).alias("stop")) if max_pages else stop
+    return by_page.filter(~F.col("good")).agg(F.min("page").alias("stop"))
+
+
+def _up_to(pages: DataFrame, max_pages: int | None) -> DataFrame:
+    # A filter the scan can use. The page after the last is then missing, and so a stop like any other.
+    return pages.filter(F.col("page") <= max_pages) if max_pages else pages
 
 
 def ingest_pages(
@@ -42,14 +46,15 @@ def ingest_pages(
     """Records of the pages before the first bad one, from rows (page, status, body), one for each page.
 
     ``total_count`` limits the pages to those needed for that many records; zero means unknown. Fields a record lacks
-    are null. A page before the stop that is no JSON list fails the job; what follows the stop is never decoded. Adds the
-    landing order ``load_seq``, and with ``keep_position`` also ``page`` and ``pos``. Pass ``stop`` when it is known:
-    it then filters the scan instead of being worked out first.
+    are null. A page before the stop that is no JSON list fails the job; what follows the stop is never decoded. Adds
+    the landing order ``load_seq``, and with ``keep_position`` also ``page`` and ``pos``. Pass ``stop`` when it is
+    known: it then filters the scan instead of being worked out first.
     """
     if total_count:
         needed = -(-total_count // per_page)
         max_pages = min(needed, max_pages) if max_pages else needed
-    limit = F.lit(stop) if stop is not None else first_bad_page(pages, max_pages=max_pages).scalar()
+    pages = _up_to(pages, max_pages)
+    limit = F.lit(stop) if stop is not None else first_bad_page(pages).scalar()
     no_list = F.raise_error(F.concat(F.lit("no JSON list in page "), F.col("page").cast("string"))).cast("string")
     text = F.when(F.col("body").rlike(r"^\s*\["), F.col("body")).otherwise(no_list)
     decoded = F.from_json(text, T.ArrayType(record_schema), {"mode": "FAILFAST"})

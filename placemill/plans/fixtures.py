@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from placemill import schema as S
+from placemill.staging import pin
 
 PER_PAGE = 50
 
@@ -69,7 +70,9 @@ def places_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``places_raw`` as landed pages of 50 records. Two thirds through lies an empty page, behind it a failed one."""
+    """``places_raw`` as landed (so: stored) pages of 50 records. Two thirds through lies an empty page, behind it a
+    failed one.
+    """
     number = F.substr("id", F.lit(4)).cast("bigint")
     record = F.struct(*S.SOURCE_COLUMNS)
     numbered = F.struct(number.alias("k"), record.alias("record"))
@@ -82,8 +85,9 @@ def page_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     count = table(spark, sf_dir, "customer").agg(F.ceil(F.ceil(F.count(F.lit(1)) / PER_PAGE) * 2 / 3).alias("e"))
     empty = count.scalar()
     failed = F.col("page") == empty + 1
-    return pages.select(
+    log = pages.select(
         "page",
         F.when(failed, 500).otherwise(200).alias("status"),
         F.when(F.col("page") == empty, "[]").when(failed, "oops").otherwise(F.col("body")).alias("body"),
     )
+    return pin(log, "pages")

@@ -96,11 +96,14 @@ LEFT JOIN (SELECT {a}, {b}, count(*) AS n FROM {table} GROUP BY ALL) c ON c.{a}
 
 
 # The pages before the empty one, which lies two thirds through.
-_INGESTED = f"""{_RAW}, last_page AS (SELECT CAST(ceil(ceil(count(*) / 50.0) * 2 / 3.0) AS BIGINT) - 1 AS n FROM customer),
+_INGESTED = f"""{_RAW},
+last_page AS (SELECT CAST(ceil(ceil(count(*) / 50.0) * 2 / 3.0) AS BIGINT) - 1 AS n FROM customer),
 ingested AS (
   SELECT p.*, (CAST(substr(id, 4) AS BIGINT) // 50 + 1) * 4294967296 + CAST(substr(id, 4) AS BIGINT) % 50 AS load_seq
   FROM places_raw p, last_page WHERE CAST(substr(id, 4) AS BIGINT) < n * 50)"""
 
+_SILVER_INGESTED = _silver().replace(_DUP, _INGESTED).replace("places_dup", "ingested")
+
 _UNFILLED = f"{_DUP}, {_clean('places_dup')}"
 _GAPPY = """tagged AS (SELECT o_orderkey, o_orderstatus,
   CASE WHEN o_orderkey % 3 <> 0 THEN 'p' || CAST(CAST(trunc(o_totalprice) AS BIGINT) AS VARCHAR) END AS price_tag
@@ -152,7 +155,7 @@ SELECT * REPLACE (nullif(estado, '') AS estado, nullif(cidade, '') AS cidade) FR
     "gold_count_dense": f"WITH {_silver()} {_dense('silver', 'estado', 'tipo_cervejaria')}",
     "gold_from_table": f"WITH {_silver()} {_GOLD_STORED}",
     "table_partitioned_by_keys": f"WITH {_silver()} {_GOLD_STORED}",
-    "medallion_gold": f"""WITH {_silver().replace(_DUP, _INGESTED).replace('places_dup', 'ingested')} {_GOLD_STORED}""",
+    "medallion_gold": f"WITH {_SILVER_INGESTED} {_GOLD_STORED}",
     "count_documents": "SELECT lang, source, count(*) AS count FROM documents GROUP BY ALL",
     "count_documents_dense": _dense("documents", "lang", "source"),
     "count_events": "SELECT user_id, event_type, count(*) AS count FROM events GROUP BY ALL",

@@ -31,7 +31,7 @@ from placemill.plans.fixtures import page_log, places_dup, places_raw, table
 from placemill.plans.layers import build_gold, build_silver, run_pipeline
 from placemill.sinks import ensure_schemas, write_dataset, write_landing, write_table
 from placemill.sources import read_landing, read_layer
-from placemill.staging import scratch_path
+from placemill.staging import pin, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -150,14 +150,16 @@ def q_dedup_first_lineitem(spark, sf_dir):
 
 @_query
 def q_dedup_first_events(spark, sf_dir):
-    return dedup_first(table(spark, sf_dir, "events").select("event_id", "user_id", "event_type"), "user_id", "event_id")
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    return dedup_first(events, "user_id", "event_id")
 
 
 # Imputation, on records whose missing sites have not been filled
 
 
 def _unfilled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return normalise_columns(rename_columns(places_dup(spark, sf_dir))).select("id", "nome", "site", S.LOAD_SEQ)
+    # Imputation reads its input several times.
+    return pin(normalise_columns(rename_columns(places_dup(spark, sf_dir))).select("id", "nome", "site", S.LOAD_SEQ))
 
 
 @_query
@@ -206,8 +208,9 @@ def q_silver_impute_fill(spark, sf_dir):
 @_query
 def q_silver_struct(spark, sf_dir):
     places = build_silver(places_dup(spark, sf_dir), keep_struct=True)
-    flags = [F.col(S.FLAG_STRUCT)[S.FLAG_STRUCT_VALID].alias("valid"), F.col(S.FLAG_STRUCT)[S.SECURE_FLAG].alias("secure")]
-    return places.select("id", "site", *flags)
+    flags = F.col(S.FLAG_STRUCT)
+    valid, secure = flags[S.FLAG_STRUCT_VALID], flags[S.SECURE_FLAG]
+    return places.select("id", "site", valid.alias("valid"), secure.alias("secure"))
 
 
 @_query

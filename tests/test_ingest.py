@@ -67,6 +67,7 @@ def test_limits(spark):
     assert ids(pm.ingest_pages(df, total_count=0)) == everything
     assert ids(pm.ingest_pages(df, max_pages=9)) == everything
     assert ids(pm.ingest_pages(df, stop=3)) == everything[:4]
+    assert ids(pm.ingest_pages(df, stop=3, max_pages=1)) == everything[:2]
 
 
 def test_fields(spark):

@@ -138,7 +138,8 @@ def test_silver_columns(spark):
     assert tuple(silver.columns) == S.SILVER_COLUMNS
     assert silver.schema.simpleString() == S.SILVER_SCHEMA.simpleString()
     struct = pm.build_silver(places, keep_struct=True)
-    assert struct.schema[S.FLAG_STRUCT].dataType.simpleString() == "struct<valida_forma:boolean,indicador_seguranca_site:boolean>"
+    flags = struct.schema[S.FLAG_STRUCT].dataType
+    assert flags.simpleString() == "struct<valida_forma:boolean,indicador_seguranca_site:boolean>"
     assert len(struct.columns) == 19
 
 

@@ -179,13 +179,15 @@ def test_fill_constants_leaves_other_columns(spark):
 
 def test_fill_comes_too_late_for_empty_text(spark):
     df = spark.createDataFrame([("***",)], "estado string")
-    assert pm.fill_constants(df.select(pm.normalise_text("estado", strip_chars=True).alias("estado")), {"estado": "-"}).first()[0] == ""
+    clean = df.select(pm.normalise_text("estado", strip_chars=True).alias("estado"))
+    assert pm.fill_constants(clean, {"estado": "-"}).first()[0] == ""
 
 
 def test_union_records(spark, rows):
     a = spark.createDataFrame([("1", "x")], "id string, name string")
     b = spark.createDataFrame([("p", "2")], "phone string, id string")
-    assert rows(pm.union_records(a, b, a), "id", "name", "phone") == [("1", "x", None), ("1", "x", None), ("2", None, "p")]
+    wanted = [("1", "x", None), ("1", "x", None), ("2", None, "p")]
+    assert rows(pm.union_records(a, b, a), "id", "name", "phone") == wanted
 
 
 def test_counts(spark, rows):
