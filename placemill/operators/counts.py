@@ -27,18 +27,18 @@ def count_by_dense(
     Spark's estimate for a broadcast would miss the copies.
     """
     counts = count_by(df, first, second, name=name)
-    firsts = _in_parts(_domain(counts, first, name), first, own="part_first", other="part_second")
-    seconds = _in_parts(_domain(counts, second, name), second, own="part_second", other="part_first")
-    grid = firsts.join(seconds.hint("merge"), ["part_first", "part_second"])
+    firsts = _in_parts(_domain(counts, first, name), first, own="__part_first", other="__part_second")
+    seconds = _in_parts(_domain(counts, second, name), second, own="__part_second", other="__part_first")
+    grid = firsts.join(seconds.hint("merge"), ["__part_first", "__part_second"])
     zeros = grid.select(first, second, F.lit(0).cast("bigint").alias(name))
     # Adding the zeros takes one shuffle; a left join of the grid with the counts would take two. Nulls go last and by
     # counting: a filter on the keys would be pushed into each branch, and they could no longer share one count.
     dense = (
         counts.unionByName(zeros)
         .groupBy(first, second)
-        .agg(F.sum(name).alias(name), F.count(first).alias("has_first"), F.count(second).alias("has_second"))
-        .filter("has_first > 0 AND has_second > 0")
-        .drop("has_first", "has_second")
+        .agg(F.sum(name).alias(name), F.count(first).alias("__has_first"), F.count(second).alias("__has_second"))
+        .filter("__has_first > 0 AND __has_second > 0")
+        .drop("__has_first", "__has_second")
     )
     return dense.orderBy(first, second) if sort else dense
 

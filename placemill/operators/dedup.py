@@ -14,7 +14,7 @@ def dedup_first(df: DataFrame, key: str | list[str], order: str | list[str]) ->
     """
     keys, orders = _names(key), _names(order)
     first = Window.partitionBy(*keys).orderBy(*orders)
-    return df.withColumn("dedup_rank", F.row_number().over(first)).filter("dedup_rank = 1").drop("dedup_rank")
+    return df.withColumn("__dedup_rank", F.row_number().over(first)).filter("__dedup_rank = 1").drop("__dedup_rank")
 
 
 def dedup_any(df: DataFrame, key: str | list[str]) -> DataFrame:

@@ -1,6 +1,6 @@
 """Filling a missing value from other rows of the same group.
 
-No step gathers a whole group's rows in one task, so a group with a third of all rows is no special case.
+No step gathers a large group's rows in one task. Columns that exist only in between start with two underscores.
 """
 
 from __future__ import annotations
@@ -23,25 +23,27 @@ def impute_site_max(
     """
     missing = F.col(value).isNull()
     fills = (
-        df.groupBy(F.col(group).alias("fill_group"))
-        .agg(F.max(value).alias("fill_value"), F.count_if(missing).alias("gaps"))
-        .filter("gaps > 0")
+        df.groupBy(F.col(group).alias("__fill_group"))
+        .agg(F.max(value).alias("__fill_value"), F.count_if(missing).alias("__gaps"))
+        .filter("__gaps > 0")
     )
-    threshold = df.agg((F.count_if(missing) / F.lit(heavy_groups)).alias("threshold"))
-    heavy = fills.filter(F.col("gaps") > threshold.scalar()).select(
-        F.col("fill_group").alias("heavy_group"), F.col("fill_value").alias("heavy_value"), F.lit(True).alias("heavy")
+    threshold = df.agg((F.count_if(missing) / F.lit(heavy_groups)).alias("__threshold"))
+    heavy = fills.filter(F.col("__gaps") > threshold.scalar()).select(
+        F.col("__fill_group").alias("__heavy_group"),
+        F.col("__fill_value").alias("__heavy_value"),
+        F.lit(True).alias("__heavy"),
     )
-    light = fills.filter("fill_value IS NOT NULL").select("fill_group", "fill_value")
+    light = fills.filter("__fill_value IS NOT NULL").select("__fill_group", "__fill_value")
 
-    marked = df.join(F.broadcast(heavy), F.col(group).eqNullSafe(F.col("heavy_group")), "left")
-    settled = marked.filter(~missing | F.col("heavy")).withColumn("fill_value", F.col("heavy_value"))
-    # heavy_value is null here; reading it all the same lets both branches share one set of maxima.
+    marked = df.join(F.broadcast(heavy), F.col(group).eqNullSafe(F.col("__heavy_group")), "left")
+    settled = marked.filter(~missing | F.col("__heavy")).withColumn("__fill_value", F.col("__heavy_value"))
+    # __heavy_value is null here; reading it all the same lets both branches share one set of maxima.
     rest = (
-        marked.filter(missing & F.col("heavy").isNull())
-        .join(light, F.col(group).eqNullSafe(F.col("fill_group")), "left")
-        .withColumn("fill_value", F.coalesce("heavy_value", "fill_value"))
+        marked.filter(missing & F.col("__heavy").isNull())
+        .join(light, F.col(group).eqNullSafe(F.col("__fill_group")), "left")
+        .withColumn("__fill_value", F.coalesce("__heavy_value", "__fill_value"))
     )
-    filled = F.coalesce(value, "fill_value").alias(value)
+    filled = F.coalesce(value, "__fill_value").alias(value)
     columns = [filled if name == value else F.col(name) for name in df.columns]
     return settled.select(*columns).union(rest.select(*columns))
 
@@ -69,43 +71,43 @@ def impute_site_fill(
     present, grouped = F.col(value).isNotNull(), F.col(group).isNotNull()
     chunk = F.col(order) - F.pmod(F.col(order), F.lit(span))
 
-    threshold = df.agg((F.count_if(grouped) / F.lit(heavy_groups)).alias("threshold"))
-    sizes = df.filter(grouped).groupBy(F.col(group).alias("heavy_group")).agg(F.count(F.lit(1)).alias("rows"))
-    over = sizes.filter(F.col("rows") > threshold.scalar())
-    heavy = F.broadcast(over.select("heavy_group", F.lit(True).alias("heavy")))
-    is_heavy = F.col(group) == F.col("heavy_group")
+    threshold = df.agg((F.count_if(grouped) / F.lit(heavy_groups)).alias("__threshold"))
+    sizes = df.filter(grouped).groupBy(F.col(group).alias("__heavy_group")).agg(F.count(F.lit(1)).alias("__rows"))
+    over = sizes.filter(F.col("__rows") > threshold.scalar())
+    heavy = F.broadcast(over.select("__heavy_group", F.lit(True).alias("__heavy")))
+    is_heavy = F.col(group) == F.col("__heavy_group")
 
     # Backwards through a group: the nearest value behind the cursor is the next value. (The same in forward direction
     # would need a frame that ends at the group's end, which Spark evaluates anew for each row.)
     edges = (
         df.join(heavy, is_heavy)
-        .groupBy(F.col(group).alias("fill_group"), chunk.alias("fill_chunk"))
+        .groupBy(F.col(group).alias("__fill_group"), chunk.alias("__fill_chunk"))
         .agg(
-            F.min_by(value, F.when(present, F.col(order))).alias("chunk_first"),
-            F.max_by(value, F.when(present, F.col(order))).alias("chunk_last"),
+            F.min_by(value, F.when(present, F.col(order))).alias("__chunk_first"),
+            F.max_by(value, F.when(present, F.col(order))).alias("__chunk_last"),
         )
     )
-    chunks = Window.partitionBy("fill_group").orderBy(F.desc("fill_chunk"))
-    later = F.last("chunk_first", ignorenulls=True).over(chunks.rowsBetween(Window.unboundedPreceding, -1))
+    chunks = Window.partitionBy("__fill_group").orderBy(F.desc("__fill_chunk"))
+    later = F.last("__chunk_first", ignorenulls=True).over(chunks.rowsBetween(Window.unboundedPreceding, -1))
     beyond = edges.select(
-        "fill_group", "fill_chunk", F.coalesce(later, _last_of_all("chunk_last", chunks)).alias("beyond")
+        "__fill_group", "__fill_chunk", F.coalesce(later, _last_of_all("__chunk_last", chunks)).alias("__beyond")
     )
 
-    gaps = df.filter(grouped & ~present).withColumn("is_gap", F.lit(True))
-    values = df.filter(grouped & present).select(group, order, value, F.lit(False).alias("is_gap"))
-    rows = Window.partitionBy(group, "chunk").orderBy(F.desc(order))
+    gaps = df.filter(grouped & ~present).withColumn("__is_gap", F.lit(True))
+    values = df.filter(grouped & present).select(group, order, value, F.lit(False).alias("__is_gap"))
+    rows = Window.partitionBy(group, "__chunk").orderBy(F.desc(order))
     following = F.last(value, ignorenulls=True).over(rows.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     nearest = (
         gaps.unionByName(values, allowMissingColumns=True)
         .join(heavy, is_heavy, "left")
-        .withColumn("chunk", F.when(F.col("heavy"), chunk))
-        .withColumns({"following": following, "last_of_all": _last_of_all(value, rows)})
-        .filter("is_gap")
+        .withColumn("__chunk", F.when(F.col("__heavy"), chunk))
+        .withColumns({"__following": following, "__last_of_all": _last_of_all(value, rows)})
+        .filter("__is_gap")
     )
     # A group that is not cut has no row in ``beyond``; its last value is at hand.
     filled = nearest.join(
-        beyond, (F.col(group) == F.col("fill_group")) & (F.col("chunk") == F.col("fill_chunk")), "left"
-    ).withColumn(value, F.coalesce("following", "beyond", F.when(F.col("heavy").isNull(), F.col("last_of_all"))))
+        beyond, (F.col(group) == F.col("__fill_group")) & (F.col("__chunk") == F.col("__fill_chunk")), "left"
+    ).withColumn(value, F.coalesce("__following", "__beyond", F.when(F.col("__heavy").isNull(), F.col("__last_of_all"))))
     settled = df.filter(~grouped | present).withColumn(value, F.when(grouped, F.col(value)))
     return settled.union(filled.select(*df.columns))
 

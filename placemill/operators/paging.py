@@ -24,27 +24,27 @@ def global_position(df: DataFrame, *order_by: str, name: str = "position", uniqu
     if unique:
         source, order = df, list(order_by)
     else:
-        source = pin(df, "unordered").withColumn("tie", F.monotonically_increasing_id())
-        order = [*order_by, "tie"]
+        source = pin(df, "unordered").withColumn("__tie", F.monotonically_increasing_id())
+        order = [*order_by, "__tie"]
     ranked = (
         source.repartitionByRange(*order)
         .sortWithinPartitions(*order)
-        .select(*df.columns, F.monotonically_increasing_id().alias("number"))
+        .select(*df.columns, F.monotonically_increasing_id().alias("__number"))
     )
     blocks = pin(ranked, "positions").withColumns(
-        {"block": F.shiftright("number", _RANK_BITS), "rank": F.col("number").bitwiseAND((1 << _RANK_BITS) - 1)}
+        {"__block": F.shiftright("__number", _RANK_BITS), "__rank": F.col("__number").bitwiseAND((1 << _RANK_BITS) - 1)}
     )
     # One row for each partition of the range shuffle: small enough to broadcast and for a window without keys.
-    before = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        blocks.groupBy("block")
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .select("block", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start"))
+        blocks.groupBy("__block")
+        .agg(F.count(F.lit(1)).alias("__rows"))
+        .select("__block", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__start"))
     )
     return (
-        blocks.join(F.broadcast(starts), "block")
-        .withColumn(name, F.col("start") + F.col("rank"))
-        .drop("block", "number", "rank", "start")
+        blocks.join(F.broadcast(starts), "__block")
+        .withColumn(name, F.col("__start") + F.col("__rank"))
+        .drop("__block", "__number", "__rank", "__start")
     )
 
 
@@ -56,9 +56,9 @@ def page_plan(
     Rows are paged in the order of ``order_by``; for ``unique`` see :func:`global_position`. If a column already holds
     the 0-based position, name it in ``position``: then nothing is sorted.
     """
-    placed = df if position else global_position(df, *order_by, name="page_position", unique=unique)
+    placed = df if position else global_position(df, *order_by, name="__page_position", unique=unique)
     total = df.agg(page_count(F.count(F.lit(1)), per_page).alias("total_pages"))
     paged = placed.withColumns(
-        {"page": page_of(F.col(position or "page_position"), per_page), "total_pages": total.scalar()}
+        {"page": page_of(F.col(position or "__page_position"), per_page), "total_pages": total.scalar()}
     )
-    return paged if position else paged.drop("page_position")
+    return paged if position else paged.drop("__page_position")

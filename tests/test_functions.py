@@ -108,6 +108,14 @@ def test_ascii_normalising_equals_python(spark, values):
     assert one(spark, values, normalise_text("v", strip_chars=True)) == wanted
 
 
+@settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(texts, min_size=200, max_size=200))
+def test_normalising_again_only_trims(spark, values):
+    # The deletion can lay bare a leading or trailing blank; nothing else is left to do.
+    once = one(spark, values, normalise_text("v", strip_chars=True))
+    assert one(spark, once, normalise_text("v", strip_chars=True)) == [text.strip(" ") for text in once]
+
+
 def test_page_arithmetic(spark):
     df = spark.createDataFrame([(n,) for n in (0, 1, 49, 50, 51, 2**60 + 1)], "n bigint")
     counts = [r[0] for r in df.select(page_count(F.col("n"), 50)).collect()]

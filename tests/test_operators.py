@@ -130,6 +130,22 @@ def test_impute_keeps_columns_and_nothing_to_do(spark):
     assert pm.impute_site_max(df.limit(0)).count() == 0
 
 
+def test_columns_named_like_common_helpers_survive(spark):
+    names = ["rank", "rows", "block", "start", "number", "heavy", "chunk", "gaps", "fill_value", "threshold", "tie"]
+    df = spark.range(30).withColumns({n: F.concat(F.lit(n), F.col("id")) for n in names})
+    df = df.withColumns({"nome": F.lit("g"), "site": F.when(F.col("id") % 2 == 0, F.lit("s"))})
+    for got in (
+        pm.impute_site_max(df),
+        pm.impute_site_fill(df, "id"),
+        pm.global_position(df, "rank").drop("position"),
+        pm.page_plan(df, "tie", unique=True).drop("page", "total_pages"),
+        pm.dedup_first(df, "id", "rank"),
+    ):
+        assert got.columns == df.columns
+        assert got.drop("site").exceptAll(df.drop("site")).isEmpty()
+        assert got.count() == 30
+
+
 def test_impute_fill_wants_whole_number_order(spark):
     with pytest.raises(TypeError, match="site"):
         pm.impute_site_fill(frame(spark, []), "site")

@@ -92,7 +92,7 @@ def test_impute_max_moves_only_rows_with_gaps(bronze):
     assert "PushedFilters: [IsNull(website_url)]" in text
     assert "Window" not in text
     # The branch of rows with a value and of heavy groups gets by without a shuffle.
-    assert re.search(r"Filter \(isnotnull\(site#\d+\) OR heavy#\d+\)\n\W+BroadcastHashJoin", text)
+    assert re.search(r"Filter \(isnotnull\(site#\d+\) OR __heavy#\d+\)\n\W+BroadcastHashJoin", text)
     final = plan(pm.impute_site_max(df), run=True)
     assert final.count("partial_max(site") == 1  # one set of maxima for all that reads them
 
@@ -100,10 +100,10 @@ def test_impute_max_moves_only_rows_with_gaps(bronze):
 def test_impute_fill_never_sorts_a_whole_group(bronze):
     df = pm.rename_columns(bronze)
     text = plan(pm.impute_site_fill(df, S.LOAD_SEQ))
-    assert re.search(r"Exchange hashpartitioning\(nome#\d+, chunk#\d+L", text)
+    assert re.search(r"Exchange hashpartitioning\(nome#\d+, __chunk#\d+L", text)
     # The only window over a group as such runs on one row for each chunk.
     group_windows = re.findall(r"Window \[.*?\], \[(\w+)#\d+\], \[", text)
-    assert group_windows == ["fill_group"]
+    assert group_windows == ["__fill_group"]
 
 
 def test_url_functions_stay_in_codegen(spark):
