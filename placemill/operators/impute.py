@@ -105,9 +105,11 @@ def impute_site_fill(
         .filter("__is_gap")
     )
     # A group that is not cut has no row in ``beyond``; its last value is at hand.
-    filled = nearest.join(
-        beyond, (F.col(group) == F.col("__fill_group")) & (F.col("__chunk") == F.col("__fill_chunk")), "left"
-    ).withColumn(value, F.coalesce("__following", "__beyond", F.when(F.col("__heavy").isNull(), F.col("__last_of_all"))))
+    same_chunk = (F.col(group) == F.col("__fill_group")) & (F.col("__chunk") == F.col("__fill_chunk"))
+    last_if_uncut = F.when(F.col("__heavy").isNull(), F.col("__last_of_all"))
+    filled = nearest.join(beyond, same_chunk, "left").withColumn(
+        value, F.coalesce("__following", "__beyond", last_if_uncut)
+    )
     settled = df.filter(~grouped | present).withColumn(value, F.when(grouped, F.col(value)))
     return settled.union(filled.select(*df.columns))
 

@@ -167,8 +167,8 @@ SELECT * REPLACE (nullif(estado, '') AS estado, nullif(cidade, '') AS cidade) FR
     "page_plan_orders": """SELECT o_orderkey, o_totalprice,
   (row_number() OVER (ORDER BY o_totalprice, o_orderkey) - 1) // 50 + 1 AS page,
   CAST(ceil(count(*) OVER () / 50.0) AS BIGINT) AS total_pages FROM orders""",
-    "global_position_events": """SELECT event_type, user_id, row_number() OVER (ORDER BY event_type, user_id) - 1 AS position
-FROM events""",
+    "global_position_events": """SELECT event_type, user_id,
+  row_number() OVER (ORDER BY event_type, user_id) - 1 AS position FROM events""",
     "ingest_pages": f"WITH {_INGESTED} SELECT * FROM ingested",
     "ingest_pages_total": f"""WITH {_INGESTED}, announced AS (SELECT count(*) // 2 AS n FROM customer)
 SELECT ingested.* FROM ingested, announced WHERE CAST(substr(id, 4) AS BIGINT) < CAST(ceil(n / 50.0) AS BIGINT) * 50""",
