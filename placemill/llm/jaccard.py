@@ -222,7 +222,7 @@ def _prune(threshold: float, tolerance: float):
         for first in range(0, HASHES, STEP):
             same = signatures[left, first : first + STEP] == signatures[right, first : first + STEP]
             matches += same.sum(1)
-            bands = same.reshape(len(left), -1, ROWS).all(2)
+            bands = same.reshape(len(left), STEP // ROWS, ROWS).all(2)
             earlier = np.arange(first // ROWS, (first + STEP) // ROWS)[None, :] < band[left][:, None]
             # A pair belongs to the first of the buckets that it shares.
             kept = (matches >= least[first + STEP]) & ~(bands & earlier).any(1)
