@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from placemill.llm import bpe, langid, quality
 from placemill.llm.decontaminate import find_contamination
 from placemill.llm.jaccard import similar_documents
 
@@ -15,6 +17,40 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _remainder(doc_id: str, by: int) -> Column:
+    """crc32 of the id as text, modulo ``by``; null for a null id."""
+    return F.pmod(F.crc32(F.col(doc_id).cast("string")), F.lit(by))
+
+
+def language_network(documents: DataFrame) -> langid.Network | None:
+    """Fitted to the documents whose remainder by 4 is known and not 2."""
+    return langid.fit(documents.select("doc_id", "text", "lang").filter(_remainder("doc_id", 4) != 2))
+
+
+def quality_model(documents: DataFrame, labels: DataFrame) -> quality.Model | None:
+    """Fitted to the labels whose remainder by 5 is known and not 0."""
+    return quality.fit(documents, labels.filter(_remainder("doc_id", 5) != 0))
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    held_out = F.coalesce(_remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out")
+    texts = documents.select("doc_id", held_out, "text")
+    return langid.identify(texts, language_network(documents), keep=["doc_id", "held_out"])
+
+
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = (_table(spark, sf_dir, name) for name in ("documents", "labels"))
+    held_out = F.coalesce(_remainder("doc_id", 5) == 0, F.lit(False)).alias("held_out")
+    texts = documents.select("doc_id", held_out, "text")
+    return quality.assess(texts, quality_model(documents, labels), keep=["doc_id", "held_out"])
+
+
+def op7_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    automaton = bpe.load(public_tokenizers.path("byte_bpe_50k.json"))
+    return bpe.token_digests(_table(spark, sf_dir, "documents"), automaton, keep=["doc_id"])
+
+
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_documents(_table(spark, sf_dir, "documents")).drop("text_hash")
 
@@ -27,6 +63,9 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     function.__name__: function
     for function in (
+        op1_language_id,
+        op5_quality_classifier,
+        op7_bpe_encoding,
         op8_ngram_jaccard_join,
         op10_benchmark_decontamination,
     )

@@ -51,3 +51,14 @@ def add_text_columns(
         row = T.StructType([T.StructField("__row", T.StructType([T.StructField("__one", T.IntegerType())])), *outputs])
     mapped = df.select(carried.alias("__row"), source.cast("string").alias("__text")).mapInArrow(run, row)
     return mapped.select(*[F.col(f"__row.`{name}`") for name in kept], *[field.name for field in outputs])
+
+
+def segments(offsets: np.ndarray, size: int, *, at_least: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Texts cut into pieces of ``size`` bytes, the last of each shorter: where they begin, their lengths, their texts'
+    numbers. A text has ``at_least`` so many pieces."""
+    sizes = np.diff(offsets)
+    pieces = np.maximum(-(-sizes // size), at_least)
+    text = np.repeat(np.arange(len(sizes)), pieces)
+    place = np.arange(len(text)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    starts = offsets[:-1][text] + place * size
+    return starts, np.minimum(size, offsets[1:][text] - starts), text
