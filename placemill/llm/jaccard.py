@@ -343,8 +343,9 @@ def similar_documents(
     """Classes of documents that are linked, directly or through others, by a Jaccard similarity of ``threshold``.
 
     Returns for each row of ``docs``: its ``doc_id``, ``text_hash`` (xxhash64 of the text, which tells rows with the same
-    id apart), ``class_id`` (the least doc_id of its class; null if all are null), ``n_links`` (other rows with at least
-    the threshold of similarity, copies included) and ``n_shingles``. Similarity is that of the sets of five-word
+    id apart), ``class_key`` (which tells classes apart even if ids repeat), ``class_id`` (the least doc_id of its class;
+    null if all are null), ``n_links`` (other rows with at least the threshold of similarity, copies included) and
+    ``n_shingles``. Similarity is that of the sets of five-word
     shingles; a text of one to four words has all of them as its only shingle. Texts without words are linked with equal
     texts alone (null is empty). Other columns of ``docs`` are not read.
 
@@ -388,10 +389,10 @@ def similar_documents(
     classed = classed.select("__key", "first_id", "copies", "links", F.coalesce("label", "__key").alias("label"))
     least = classed.groupBy("label").agg(F.min("first_id").alias("class_id"))
     found = classed.join(least, "label").select(
-        "__key", "class_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")
+        "__key", F.col("label").alias("class_key"), "class_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")
     )
     return signed.join(found, "__key").select(
-        "doc_id", "text_hash", "class_id", "n_links", F.col("__size").alias("n_shingles")
+        "doc_id", "text_hash", "class_key", "class_id", "n_links", F.col("__size").alias("n_shingles")
     )
 
 
@@ -401,9 +402,8 @@ def keep_one_of_each(docs: DataFrame, **options) -> DataFrame:
     Rows of the same id are told apart by their text; of rows that agree in both, one stays.
     """
     classes = similar_documents(docs, **options)
-    chosen = classes.groupBy("class_id", F.when(F.col("class_id").isNull(), F.col("text_hash")).alias("__other")).agg(
-        F.min(F.struct("doc_id", "text_hash")).alias("__kept")
-    )
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_hash"))
+    chosen = classes.groupBy("class_key").agg(first.alias("__kept"))
     chosen = chosen.select(F.col("__kept.doc_id").alias("__kept_id"), F.col("__kept.text_hash").alias("__kept_hash"))
     row = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("__row")
     rows = docs.select(F.col("doc_id").alias("__id"), F.xxhash64("text").alias("__hash"), row)

@@ -26,6 +26,8 @@ WIDTH = 1024
 #: Training sample: so many documents of each language at most, and of each a stretch of so many bytes.
 SAMPLE_DOCS = 400
 SAMPLE_BYTES = 256
+#: Languages that are learned: those with the most documents.
+LANGUAGES = 500
 EPOCHS = 14
 BATCH = 64
 UNKNOWN = "und"
@@ -254,14 +256,16 @@ def sample(
     """At most ``docs`` documents of each language and of each a stretch of ``size`` bytes: rows (part, lang).
 
     Which documents and where in them the stretch lies follow from hashes of the text, so a rerun takes the same. Rare
-    languages are taken whole. Only about twice as many rows as are taken are shuffled.
+    languages are taken whole, but only the LANGUAGES most frequent ones. Only stretches of about twice as many documents as
+    are taken are shuffled.
     """
     drawn = F.pmod(F.xxhash64(text), F.lit(1 << 30)) / F.lit(1 << 30)
     known = labelled.filter(F.col(lang).isNotNull() & (F.length(text) > 0))
-    counts = known.groupBy(F.col(lang).alias("__lang")).agg((F.lit(2.0 * docs) / F.count(F.lit(1))).alias("__share"))
+    counts = known.groupBy(F.col(lang).alias("__lang")).agg(F.count(F.lit(1)).alias("__docs"))
+    top = counts.orderBy(F.desc("__docs"), "__lang").limit(LANGUAGES)
     raw = F.encode(F.col(text), "utf-8")
     place = F.pmod(F.xxhash64(F.col(text), F.lit(1)), F.greatest(F.octet_length(raw) - size, F.lit(0)) + 1)
-    likely = known.join(counts, F.col(lang) == F.col("__lang")).filter(drawn < F.col("__share"))
+    likely = known.join(F.broadcast(top), F.col(lang) == F.col("__lang")).filter(drawn * F.col("__docs") < 2 * docs)
     stretches = likely.select(
         raw.substr((place + 1).cast("int"), F.lit(size)).alias("part"), F.col(lang).alias("lang"), drawn.alias("drawn")
     ).distinct()  # copies of a text count once

@@ -6,7 +6,54 @@ _WORDS = r"regexp_extract_all(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcd
     r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 )
 
+_LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_QUERY = r"regexp_extract(rest, '^[^?#]*(\?[^#]*)', 1)"
+for _pattern, _by in ((r"([?&])utm_[^&]*", r"\1"), ("&+", "&"), (r"\?&", "?"), ("[?&]+$", "")):
+    _QUERY = f"regexp_replace({_QUERY}, '{_pattern}', '{_by}', 'g')"
+_SPACE, _WORD = r"[^ \t\n\r]+", r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_CLEAN = "regexp_replace(coalesce(text, ''), '[%*&$#!|]+', '', 'g')"
+_COUNT = "len(regexp_extract_all({0}, '{1}'))"
+
 ORACLES: dict[str, str] = {
+    "op3_url_filter": rf"""
+WITH page AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+part AS (
+  SELECT page_id, {_LOWER.format("regexp_extract(rest, '^[^/?#]*')")} AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path, {_QUERY} AS query FROM page),
+keyed AS (
+  SELECT *, CASE WHEN host <> '' THEN
+    regexp_replace(host, '^www\.', '') || regexp_replace(path, '/+$', '') || query END AS key FROM part),
+rules(verdict, host, path) AS (
+  VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
+    ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+fits AS (
+  SELECT page_id, arg_max(r.host || r.path, length(r.host || r.path)) AS rule,
+    arg_max(r.verdict, length(r.host || r.path)) AS verdict
+  FROM keyed k JOIN rules r ON (k.host = r.host OR suffix(k.host, '.' || r.host)) AND starts_with(k.path, r.path)
+  GROUP BY page_id),
+listed AS (
+  SELECT DISTINCT key FROM keyed
+  WHERE regexp_matches(host, '(^|\.)(adult-x|ads-track|casino-win|cheap-pills|free-bets|spam-farm)\.'))
+SELECT k.page_id, k.host, k.path, f.rule,
+  coalesce(f.verdict, CASE WHEN k.key IN (SELECT key FROM listed) THEN 'block' ELSE 'allow' END) AS verdict
+FROM keyed k LEFT JOIN fits f ON k.page_id = f.page_id
+""",
+    "op6_token_counts": f"""
+WITH mark AS (
+  SELECT doc_id, max(toxic) AS toxic, min(quality) AS quality FROM labels GROUP BY doc_id),
+counted AS (
+  SELECT source, lang, coalesce(quality = 0, false) AS cleaned,
+    {_COUNT.format("coalesce(text, '')", _SPACE)} AS space, {_COUNT.format(_CLEAN, _SPACE)} AS clean_space,
+    {_COUNT.format("coalesce(text, '')", _WORD)} AS word, {_COUNT.format(_CLEAN, _WORD)} AS clean_word
+  FROM documents LEFT JOIN mark USING (doc_id) WHERE coalesce(toxic, 0) <> 1),
+each AS (
+  SELECT source, lang, 'space-1' AS tokenizer, CASE WHEN cleaned THEN clean_space ELSE space END AS tokens FROM counted
+  UNION ALL
+  SELECT source, lang, 'word-1', CASE WHEN cleaned THEN clean_word ELSE word END FROM counted)
+SELECT source, lang, tokenizer, count(*) AS docs, CAST(sum(tokens) AS BIGINT) AS tokens
+FROM each GROUP BY source, lang, tokenizer
+""",
     "op10_benchmark_decontamination": f"""
 WITH item AS (
   SELECT item_id, {_WORDS.format("coalesce(text, '')")} AS w FROM benchmark),

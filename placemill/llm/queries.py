@@ -11,6 +11,26 @@ from pyspark.sql import functions as F
 from placemill.llm import bpe, langid, quality
 from placemill.llm.decontaminate import find_contamination
 from placemill.llm.jaccard import similar_documents
+from placemill.llm.materialise import materialise
+from placemill.llm.rollups import TOKENIZERS, Rollup, count_tokens, deleted, inserted, revised
+from placemill.llm.sharding import shard_records
+from placemill.llm.syncmers import fingerprint_documents
+from placemill.llm.urlfilter import Rule, canonical, filter_urls, host_of
+from placemill.staging import pin, scratch_path
+
+URL_RULES = [
+    Rule("allow", "org"),
+    Rule("block", "example.org", "/es/"),
+    Rule("block", "example.org", "/en/1"),
+    Rule("allow", "com", "/fr/"),
+    Rule("block", "com", "/de/"),
+]
+#: Names of hosts whose pages are listed.
+LISTED_NAMES = ("adult-x", "ads-track", "casino-win", "cheap-pills", "free-bets", "spam-farm")
+#: Characters that a revision takes out of texts of low quality.
+NOISE = "[%*&$#!|]+"
+#: Key of the training order.
+ORDER_KEY = 20240607
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +59,22 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(texts, language_network(documents), keep=["doc_id", "held_out"])
 
 
+def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_documents(_table(spark, sf_dir, "documents"))
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The list holds the canonical URLs of all pages on hosts with a listed name."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    named = host_of(F.col("url")).rlike(rf"(^|\.)({'|'.join(LISTED_NAMES)})\.")
+    listed = pages.filter(named).select(canonical(F.col("url")).alias("key"))
+    return filter_urls(pages, listed, URL_RULES, keep=["page_id"])
+
+
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_records(_table(spark, sf_dir, "documents"))
+
+
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, labels = (_table(spark, sf_dir, name) for name in ("documents", "labels"))
     held_out = F.coalesce(_remainder("doc_id", 5) == 0, F.lit(False)).alias("held_out")
@@ -46,13 +82,49 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(texts, quality_model(documents, labels), keep=["doc_id", "held_out"])
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches: all documents come in, toxic ones go, and those of low quality are counted anew without noise.
+
+    One batch is delivered a second time, which changes nothing.
+    """
+    documents, labels = (_table(spark, sf_dir, name) for name in ("documents", "labels"))
+    cleaned = F.regexp_replace("text", NOISE, "")
+    counts = [
+        F.struct(
+            F.lit(name).alias("tokenizer"),
+            count_tokens(F.col("text"), name).alias("old_tokens"),
+            count_tokens(cleaned, name).alias("tokens"),
+        )
+        for name in TOKENIZERS
+    ]
+    counted = pin(documents.select("doc_id", "source", "lang", F.array(*counts).alias("counts")), "counts")
+    marks = labels.groupBy(F.col("doc_id").alias("__id")).agg(F.max("toxic").alias("toxic"), F.min("quality").alias("quality"))
+    marked = counted.join(marks, F.col("doc_id") == F.col("__id"), "left")
+    each = marked.select("source", "lang", "toxic", "quality", F.inline("counts"))
+    toxic = F.coalesce(F.col("toxic") == 1, F.lit(False))
+    first = each.withColumn("tokens", F.col("old_tokens"))
+    batches = [inserted(first), deleted(first.filter(toxic)), revised(each.filter(~toxic & (F.col("quality") == 0)))]
+    rollup = Rollup(spark, scratch_path(spark, "rollup"))
+    for number, changes in enumerate(batches):
+        rollup.commit(number, changes)
+    rollup.commit(1, batches[1])
+    rollup.fold()
+    return rollup.totals()
+
+
 def op7_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     automaton = bpe.load(public_tokenizers.path("byte_bpe_50k.json"))
     return bpe.token_digests(_table(spark, sf_dir, "documents"), automaton, keep=["doc_id"])
 
 
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return similar_documents(_table(spark, sf_dir, "documents")).drop("text_hash")
+    return similar_documents(_table(spark, sf_dir, "documents")).drop("text_hash", "class_key")
+
+
+def op9_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every record with its place; the digest is that of its tokens."""
+    written = materialise(_table(spark, sf_dir, "documents"), key=ORDER_KEY)
+    return written.withColumn("tokens_sha256", F.sha2("tokens", 256)).drop("tokens")
 
 
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,9 +136,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     function.__name__: function
     for function in (
         op1_language_id,
+        op2_document_fingerprints,
+        op3_url_filter,
+        op4_sharding,
         op5_quality_classifier,
+        op6_token_counts,
         op7_bpe_encoding,
         op8_ngram_jaccard_join,
+        op9_training_order,
         op10_benchmark_decontamination,
     )
 }

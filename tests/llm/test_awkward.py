@@ -1,0 +1,103 @@
+"""Every operator and stage on awkward tables, and on empty ones."""
+
+import hashlib
+from collections import Counter
+
+import pytest
+
+import corpus_pipeline
+from placemill.llm import queries as Q
+
+TABLES = {
+    "benchmark": "item_id bigint, text string",
+    "labels": "doc_id bigint, quality bigint, toxic bigint",
+    "pages": "page_id bigint, url string, html string, host string, verdict string, w0 string, block string",
+}
+PER_DOCUMENT = [
+    "op1_language_id",
+    "op2_document_fingerprints",
+    "op4_sharding",
+    "op5_quality_classifier",
+    "op7_bpe_encoding",
+    "op8_ngram_jaccard_join",
+    "op10_benchmark_decontamination",
+]
+
+
+@pytest.fixture
+def folder(spark, tmp_path, awkward):
+    """The tables that queries read, all rows awkward."""
+
+    def write(empty=False):
+        rows = {
+            "benchmark": [(1, "one two three four five six seven"), (None, "one"), (2, None), (3, ""), (1, "no id here")],
+            "labels": [(5, 1, 0), (5, 0, 1), (6, 1, None), (None, 1, 1), (7, None, 1), (4, 0, 0)],
+            "pages": [(1, None, None, "h", "v", "w", "b"), (2, "", "", "h", "v", "w", "b"), (2, "no scheme", "", "", "", "", ""),
+                      (3, "http://Spam-Farm.example.NET", "", "", "", "", ""), (3, "http://x.org?a://b", "", "", "", "", ""),
+                      (4, "x://a.com/de/" + "y" * 50_000, "", "", "", "", "")],
+        }
+        (awkward.limit(0) if empty else awkward).write.parquet(f"{tmp_path}/documents.parquet")
+        for name, schema in TABLES.items():
+            spark.createDataFrame([] if empty else rows[name], schema).write.parquet(f"{tmp_path}/{name}.parquet")
+        return str(tmp_path)
+
+    return write
+
+
+@pytest.mark.parametrize("name", Q.QUERIES)
+def test_empty_tables_give_no_rows(spark, folder, name):
+    assert Q.QUERIES[name](spark, folder(empty=True)).collect() == []
+
+
+@pytest.mark.parametrize("name", PER_DOCUMENT)
+def test_a_row_for_each_document(spark, folder, awkward, name):
+    rows = Q.QUERIES[name](spark, folder()).collect()
+    assert Counter(row["doc_id"] for row in rows) == Counter(row["doc_id"] for row in awkward.collect())
+    once = {row["doc_id"]: row for row in rows}
+    if name.startswith("op1_"):
+        assert (once[1]["lang_pred"], once[1]["score"], once[3]["lang_pred"]) == ("und", 0.0, "und")
+        assert all(0 <= row["score"] <= 1 for row in rows)
+    if name.startswith("op10_"):
+        assert (once[4]["n_words"], once[4]["n_hit"], once[4]["n_items"], once[4]["contaminated"]) == (1, 1, 0, True)
+        assert (once[5]["n_hit"], once[5]["n_items"]) == (7, 1)
+        assert once[3]["items_sha256"] == hashlib.sha256(b"").hexdigest()
+    if name.startswith("op8_"):
+        assert once[5]["class_id"] == once[6]["class_id"] == 5 and once[5]["n_links"] == 1
+        assert (once[1]["class_id"], once[2]["class_id"], once[3]["class_id"], once[4]["n_links"]) == (1, 1, 3, 1)
+    if name.startswith("op4_"):
+        assert sum(row["size"] for row in rows) == sum(len((r["text"] or "").encode()) + 16 for r in awkward.collect())
+    if name.startswith("op7_"):
+        assert once[1]["n_tokens"] == 0 and once[1]["ids_sha256"] == hashlib.sha256(b"").hexdigest()
+
+
+def test_url_filter(spark, folder):
+    got = sorted(tuple(row) for row in Q.op3_url_filter(spark, folder()).select("page_id", "host", "rule", "verdict").collect())
+    assert got == sorted(
+        [(1, "", None, "allow"), (2, "", None, "allow"), (2, "", None, "allow"), (3, "spam-farm.example.net", None, "block"),
+         (3, "x.org", None, "allow"), (4, "a.com", "com/de/", "block")], key=str)
+
+
+def test_token_counts(spark, folder):
+    totals = Q.op6_token_counts(spark, folder()).filter("tokenizer = 'word-1'").groupBy().sum("docs").first()[0]
+    assert totals == 13  # documents 5 and 7 are toxic
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
+@pytest.mark.parametrize("empty", [False, True])
+def test_stages_keep_rows_as_they_are(spark, folder, awkward, name, stage, empty):
+    sf_dir = folder(empty=empty)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    out = stage(spark, docs, sf_dir)
+    kept = out.collect()
+    if (name, stage) == corpus_pipeline.STAGES[-1]:
+        assert len(kept) == (0 if empty else docs.count())
+        return
+    assert out.columns == docs.columns
+    assert set(kept) <= set(docs.collect())
+    if not empty:
+        assert kept
+    if name == "ngram_jaccard_join" and not empty:
+        ids = sorted((row["doc_id"] is not None, row["doc_id"]) for row in kept)
+        assert [number for _, number in ids] == [None, -5, 1, 3, 4, 5, 7, 8, 9, 9, 2**63 - 1]
+    if name == "language_id" and not empty:
+        assert not {1, 2, 3} & {row["doc_id"] for row in kept}
