@@ -41,3 +41,15 @@ def pin(df: DataFrame, label: str = "stage") -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder, in whatever store the path names."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all it holds; none is no error."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
