@@ -23,7 +23,7 @@ BUCKETS = 512
 ENCODING, ATTENTION = 16, 8
 #: Training sample: so many documents of each label at most, and of each a stretch of so many bytes.
 SAMPLE_DOCS = 3000
-SAMPLE_BYTES = 4096
+SAMPLE_BYTES = 2048
 EPOCHS = 12
 BATCH = 32
 #: A document with at least this score counts as good.
@@ -110,8 +110,13 @@ def train(texts: list[bytes], labels: list[int], *, epochs: int = EPOCHS, seed:
     The result depends on the multiset of examples and ``seed`` alone.
     """
     examples = sorted(zip(texts, labels, strict=True))
-    data = np.frombuffer(b"".join(text for text, _ in examples), np.uint8)
-    features, text = passages(data, np.cumsum([0, *(len(text) for text, _ in examples)]))
+    parts = []
+    for begin in range(0, len(examples), 256):
+        some = [text for text, _ in examples[begin : begin + 256]]
+        found, text = passages(np.frombuffer(b"".join(some), np.uint8), np.cumsum([0, *map(len, some)]))
+        parts.append((found, text + begin))
+    features, text = (np.concatenate(values) for values in zip(*parts, strict=True))
+    del parts
     bounds = np.searchsorted(text, np.arange(len(examples) + 1))
     known = np.array([label for _, label in examples], np.float32)
     share = np.array([max((known == k).mean(), 1e-9) for k in (0, 1)])
