@@ -232,7 +232,7 @@ def find_contamination(
     )
 
 
-def _merged_hits(runs: list[bytes | None]) -> int:
+def _merged_hits(runs):
     known = [np.frombuffer(run, np.uint8) for run in runs if run is not None]
     return int(np.unpackbits(np.bitwise_or.reduce(known)).sum()) if known else 0
 

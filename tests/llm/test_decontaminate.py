@@ -1,0 +1,60 @@
+import hashlib
+import random
+
+import pytest
+
+from placemill.llm.decontaminate import find_contamination, remove_contaminated
+
+FOUND = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+
+
+def _brute(docs, items, words_of):
+    windows = {}
+    for item, text in items:
+        words = words_of(text)
+        size = min(13, len(words))
+        for k in range(len(words) - size + 1 if words else 0):
+            windows.setdefault(tuple(words[k : k + size]), set()).add(str(item))
+    out = []
+    for number, text in docs:
+        words, hit, found = words_of(text), set(), set()
+        for size in {len(window) for window in windows}:
+            for k in range(len(words) - size + 1):
+                if names := windows.get(tuple(words[k : k + size])):
+                    found |= names
+                    hit.update(range(k, k + size))
+        digest = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
+        out.append((number, len(words), len(hit), len(found), digest, bool(hit) and 20 * len(hit) >= len(words)))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("part_bytes", [16_000_000, 700])
+@pytest.mark.parametrize("letters", ["ab", "abcdefgh"])
+def test_random_words(spark, words_of, letters, part_bytes):
+    """Few letters make for ties of hashes, repeated windows and items inside items."""
+    rng = random.Random(len(letters))
+    text = lambda size: " ".join(rng.choice(letters) for _ in range(size))
+    items = [(k, text(rng.choice([1, 4, 5, 8, 12, 13, 14, 30]))) for k in range(12)] + [(3, "a b"), (99, "")]
+    docs = []
+    for k in range(120):
+        parts = [text(rng.randrange(40))]
+        if k % 2:
+            words = rng.choice(items)[1].split()
+            at = rng.randrange(max(1, len(words)))
+            parts += [" ".join(words[at : at + rng.randrange(1, 20)]), text(rng.randrange(200))]
+        docs.append((k, " ".join(parts)))
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    found = find_contamination(frame, benchmark, keep=["doc_id"], part_bytes=part_bytes)
+    assert sorted(tuple(row) for row in found.select(*FOUND).collect()) == _brute(docs, items, words_of)
+
+
+def test_every_window_of_thirteen_is_found(spark):
+    words = [f"w{k}" for k in range(60)]
+    benchmark = spark.createDataFrame([(1, " ".join(words))], "item_id bigint, text string")
+    docs = [(at, " ".join(["p"] * 7 + words[at : at + 13] + ["q"] * 9)) for at in range(48)]
+    docs += [(100 + at, " ".join(["p"] * 7 + words[at : at + 12] + ["q"] * 9)) for at in range(49)]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    hits = {row["doc_id"]: row["n_hit"] for row in find_contamination(frame, benchmark).collect()}
+    assert all(hits[number] == (13 if number < 100 else 0) for number, _ in docs)
+    assert {row["doc_id"] for row in remove_contaminated(frame, benchmark).collect()} == {n for n, _ in docs if n >= 100}

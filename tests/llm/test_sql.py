@@ -1,0 +1,62 @@
+"""Queries against their SQL, run by DuckDB on the same tables; and the pipeline against plain versions of its stages."""
+
+import duckdb
+import pytest
+
+import __spark_entry__ as contract
+import corpus_pipeline
+from placemill.llm import bpe
+from placemill.llm.oracles import ORACLES
+from placemill.llm.queries import QUERIES
+
+from ..conftest import TESTDATA
+
+SF_DIR = f"{TESTDATA}/sf0.01"
+
+
+@pytest.mark.parametrize("name", ORACLES)
+def test_query_matches_sql(spark, name):
+    duck = duckdb.connect()
+    for table in ("documents", "benchmark", "labels", "pages"):
+        duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
+    got = QUERIES[name](spark, SF_DIR)
+    columns = sorted(got.columns)
+    wanted = duck.execute(f"SELECT {', '.join(columns)} FROM ({ORACLES[name]})").fetchall()
+    assert wanted and sorted(map(tuple, got.select(*columns).collect()), key=str) == sorted(wanted, key=str)
+
+
+def test_registered():
+    assert set(QUERIES) | {"pipeline"} <= set(contract.queries())
+    assert {int(name[2:].split("_")[0]) for name in QUERIES} == set(range(1, 11))
+
+
+def test_pipeline(spark, tmp_path, words_of):
+    """Each stage on what the one before kept; decisions hold on the documents they are made for."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    labels = {row["doc_id"]: row["quality"] for row in spark.read.parquet(f"{SF_DIR}/labels.parquet").collect()}
+    texts = dict(docs.select("doc_id", "text").collect())
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        stage(spark, docs, SF_DIR).write.parquet(f"{tmp_path}/{name}")
+        docs = spark.read.parquet(f"{tmp_path}/{name}")
+        kept[name] = {row["doc_id"] for row in docs.select("doc_id").collect()}
+    assert kept["language_id"] == {number for number, text in texts.items() if any(char.isalpha() for char in text or "")}
+    gone = kept["language_id"] - kept["quality_classifier"]
+    known = [labels[number] for number in gone if number in labels]
+    assert known.count(0) > 10 * known.count(1)
+    good = [number for number in kept["language_id"] if labels.get(number) == 1]
+    assert sum(number in kept["quality_classifier"] for number in good) > 0.97 * len(good)
+    shingles = {}
+    for number in kept["quality_classifier"]:
+        words = words_of(texts[number])
+        shingles[number] = frozenset(tuple(words[k : k + 5]) for k in range(len(words) - 4)) or frozenset([tuple(words)])
+    for number in kept["ngram_jaccard_join"]:
+        for other in kept["ngram_jaccard_join"]:
+            a, b = shingles[number], shingles[other]
+            assert number >= other or min(len(a), len(b)) < 0.8 * max(len(a), len(b)) or len(a & b) < 0.8 * len(a | b)
+    found = QUERIES["op10_benchmark_decontamination"](spark, SF_DIR).filter("contaminated").collect()
+    assert kept["benchmark_decontamination"] == kept["ngram_jaccard_join"] - {row["doc_id"] for row in found}
+    rows = corpus_pipeline.run(spark, SF_DIR).collect()
+    assert {row["doc_id"] for row in rows} == kept["benchmark_decontamination"]
+    coder = bpe.Coder(bpe.load(corpus_pipeline.public_tokenizers.path("byte_bpe_50k.json")))
+    assert all(row["ids"] == [int(k) for k in coder.encode(texts[row["doc_id"]]).split(",")] for row in rows)
