@@ -1,51 +1,47 @@
 """Filling a missing value from other rows of the same group.
 
-No step gathers a large group's rows in one task. Columns that exist only in between start with two underscores.
+One way for groups of any size; no step gathers a large group's rows in one task. Columns that exist only in between
+start with two underscores.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Fewer groups than this can each hold more than 1/HEAVY_GROUPS of the rows, which bounds what is broadcast.
-HEAVY_GROUPS = 10_000
+from placemill import schema as S
+from placemill.functions.paging import RECORD_SEQ_STRIDE
 
+#: Rows that a chunk of a group may have.
+CHUNK_ROWS = 1_000_000
 
-def impute_site_max(
-    df: DataFrame, group: str = "nome", value: str = "site", *, heavy_groups: int = HEAVY_GROUPS
-) -> DataFrame:
+
+def impute_site_max(df: DataFrame, group: str = "nome", value: str = "site") -> DataFrame:
     """Give rows without a value the largest value of their group; null is a group. A group without any stays null.
 
-    The maxima are combined before the shuffle. Rows with a value never move. Gaps in the groups that have the most of
-    them are filled by a broadcast join, those in all other groups by a shuffled join, in which no group can be large.
+    The maxima are combined before the shuffle, and only those of groups that have gaps are kept. Rows with a value never
+    move. Rows without one meet their group's single maximum in a shuffled join, of which adaptive execution splits
+    partitions that a large group makes too large.
     """
     missing = F.col(value).isNull()
     fills = (
         df.groupBy(F.col(group).alias("__fill_group"))
         .agg(F.max(value).alias("__fill_value"), F.count_if(missing).alias("__gaps"))
-        .filter("__gaps > 0")
-    )
-    threshold = df.agg((F.count_if(missing) / F.lit(heavy_groups)).alias("__threshold"))
-    heavy = fills.filter(F.col("__gaps") > threshold.scalar()).select(
-        F.col("__fill_group").alias("__heavy_group"),
-        F.col("__fill_value").alias("__heavy_value"),
-        F.lit(True).alias("__heavy"),
-    )
-    light = fills.filter("__fill_value IS NOT NULL").select("__fill_group", "__fill_value")
-
-    marked = df.join(F.broadcast(heavy), F.col(group).eqNullSafe(F.col("__heavy_group")), "left")
-    settled = marked.filter(~missing | F.col("__heavy")).withColumn("__fill_value", F.col("__heavy_value"))
-    # __heavy_value is null here; reading it all the same lets both branches share one set of maxima.
-    rest = (
-        marked.filter(missing & F.col("__heavy").isNull())
-        .join(light, F.col(group).eqNullSafe(F.col("__fill_group")), "left")
-        .withColumn("__fill_value", F.coalesce("__heavy_value", "__fill_value"))
+        .filter("__gaps > 0 AND __fill_value IS NOT NULL")
+        .select("__fill_group", "__fill_value")
     )
+    gaps = df.filter(missing).join(fills, F.col(group).eqNullSafe(F.col("__fill_group")), "left")
+    # value is null here; reading it all the same keeps its type.
     filled = F.coalesce(value, "__fill_value").alias(value)
     columns = [filled if name == value else F.col(name) for name in df.columns]
-    return settled.select(*columns).union(rest.select(*columns))
+    return df.filter(~missing).union(gaps.select(*columns))
+
+
+def chunk_span(order: str, per_page: int = 50, rows: int = CHUNK_ROWS) -> int:
+    """Order values that ``rows`` consecutive rows span: as many for a dense number; for the landing order, whose pages
+    of ``per_page`` records lie far apart, the pages that hold them."""
+    return max(1, rows // per_page) * RECORD_SEQ_STRIDE if order == S.LOAD_SEQ else rows
 
 
 def impute_site_fill(
@@ -54,33 +50,28 @@ def impute_site_fill(
     group: str = "nome",
     value: str = "site",
     *,
-    span: int = 1_000_000,
-    heavy_groups: int = HEAVY_GROUPS,
+    span: int | None = None,
+    per_page: int = 50,
 ) -> DataFrame:
     """Give rows without a value the next value of their group in ``order``, else the last one before them.
 
-    Rows whose group is null lose their value. ``order`` is a unique whole number. Groups with more than
-    1/``heavy_groups`` of the rows are cut into chunks of ``span`` consecutive order values, so a chunk has at most
-    ``span`` rows; what a gap needs from beyond its chunk (the next chunk's first value, else the group's last) comes
-    from a table with one row for each of these groups and chunks. Order values with long gaps make for many chunks;
-    number the rows with ``global_position`` first, then, or raise ``span``. Rows that have a value send only that
-    value, not the whole row.
+    Rows whose group is null lose their value. ``order`` is a unique whole number. Every group is cut into chunks of
+    ``span`` consecutive order values (by default :func:`chunk_span`), so a chunk has at most ``span`` rows, or as many
+    as a span of pages holds. What a gap needs from beyond its chunk (the next chunk's first value, else the group's
+    last) comes from a table with one row for each group and chunk, joined by a shuffle on both. Order values with
+    long gaps make for many chunks; number the rows with ``global_position`` first, then, or raise ``span``. Rows that
+    have a value send only that value, not the whole row. The input is read three times.
     """
     if not isinstance(df.schema[order].dataType, T.IntegralType):
         raise TypeError(f"{order} must be a whole-number column to be cut into chunks")
     present, grouped = F.col(value).isNotNull(), F.col(group).isNotNull()
-    chunk = F.col(order) - F.pmod(F.col(order), F.lit(span))
-
-    threshold = df.agg((F.count_if(grouped) / F.lit(heavy_groups)).alias("__threshold"))
-    sizes = df.filter(grouped).groupBy(F.col(group).alias("__heavy_group")).agg(F.count(F.lit(1)).alias("__rows"))
-    over = sizes.filter(F.col("__rows") > threshold.scalar())
-    heavy = F.broadcast(over.select("__heavy_group", F.lit(True).alias("__heavy")))
-    is_heavy = F.col(group) == F.col("__heavy_group")
+    width = F.lit(span or chunk_span(order, per_page))
+    chunk = F.col(order) - F.pmod(F.col(order), width)
 
     # Backwards through a group: the nearest value behind the cursor is the next value. (The same in forward direction
     # would need a frame that ends at the group's end, which Spark evaluates anew for each row.)
     edges = (
-        df.join(heavy, is_heavy)
+        df.filter(grouped)
         .groupBy(F.col(group).alias("__fill_group"), chunk.alias("__fill_chunk"))
         .agg(
             F.min_by(value, F.when(present, F.col(order))).alias("__chunk_first"),
@@ -89,31 +80,18 @@ def impute_site_fill(
     )
     chunks = Window.partitionBy("__fill_group").orderBy(F.desc("__fill_chunk"))
     later = F.last("__chunk_first", ignorenulls=True).over(chunks.rowsBetween(Window.unboundedPreceding, -1))
-    beyond = edges.select(
-        "__fill_group", "__fill_chunk", F.coalesce(later, _last_of_all("__chunk_last", chunks)).alias("__beyond")
-    )
-
-    gaps = df.filter(grouped & ~present).withColumn("__is_gap", F.lit(True))
-    values = df.filter(grouped & present).select(group, order, value, F.lit(False).alias("__is_gap"))
-    rows = Window.partitionBy(group, "__chunk").orderBy(F.desc(order))
-    following = F.last(value, ignorenulls=True).over(rows.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    nearest = (
-        gaps.unionByName(values, allowMissingColumns=True)
-        .join(heavy, is_heavy, "left")
-        .withColumn("__chunk", F.when(F.col("__heavy"), chunk))
-        .withColumns({"__following": following, "__last_of_all": _last_of_all(value, rows)})
-        .filter("__is_gap")
-    )
-    # A group that is not cut has no row in ``beyond``; its last value is at hand.
-    same_chunk = (F.col(group) == F.col("__fill_group")) & (F.col("__chunk") == F.col("__fill_chunk"))
-    last_if_uncut = F.when(F.col("__heavy").isNull(), F.col("__last_of_all"))
-    filled = nearest.join(beyond, same_chunk, "left").withColumn(
-        value, F.coalesce("__following", "__beyond", last_if_uncut)
-    )
+    whole = chunks.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    last_of_all = F.first("__chunk_last", ignorenulls=True).over(whole)
+    beyond = edges.select("__fill_group", "__fill_chunk", F.coalesce(later, last_of_all).alias("__beyond"))
+
+    others = [name for name in df.columns if name not in (group, order, value)]
+    rest: Column = F.when(~present, F.struct(*others)) if others else F.lit(None)
+    rows = df.filter(grouped).select(group, order, value, rest.alias("__rest"), chunk.alias("__chunk"))
+    backwards = Window.partitionBy(group, "__chunk").orderBy(F.desc(order))
+    following = F.last(value, ignorenulls=True).over(backwards.rowsBetween(Window.unboundedPreceding, 0))
+    gaps = rows.withColumn("__following", following).filter(~present)
+    same_chunk = (F.col(group) == F.col("__fill_group")) & F.col("__chunk").eqNullSafe(F.col("__fill_chunk"))
+    filled = gaps.join(beyond, same_chunk, "left").withColumn(value, F.coalesce("__following", "__beyond"))
+    columns = [F.col(f"__rest.`{name}`").alias(name) if name in others else F.col(name) for name in df.columns]
     settled = df.filter(~grouped | present).withColumn(value, F.when(grouped, F.col(value)))
-    return settled.union(filled.select(*df.columns))
-
-
-def _last_of_all(value: str, backwards: WindowSpec) -> Column:
-    whole = backwards.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return F.first(value, ignorenulls=True).over(whole)
+    return settled.union(filled.select(*columns))

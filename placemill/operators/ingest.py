@@ -16,16 +16,32 @@ def first_bad_page(pages: DataFrame, *, max_pages: int | None = None) -> DataFra
 
     That is the lowest page number that is missing, has a status other than 200, is empty, or lies beyond
     ``max_pages``. Every page vouches for itself and names its successor, so one aggregation of small integers finds
-    all of this, without sorting the pages or walking through them.
+    all of this, without sorting the pages or walking through them. A page before the stop that was landed twice with
+    status 200 would double its records, and fails the job.
     """
     good = (F.col("status") == 200) & F.coalesce(~F.col("body").rlike(_EMPTY_BODY), F.lit(True))
     page = F.col("page").cast("bigint")
-    itself = F.struct(page.alias("page"), F.coalesce(good, F.lit(False)).alias("good"))
-    successor = F.struct((page + 1).alias("page"), F.lit(False).alias("good"))
+    landed = F.coalesce(F.col("status") == 200, F.lit(False)).cast("int")
+    itself = F.struct(page.alias("page"), F.coalesce(good, F.lit(False)).alias("good"), landed.alias("landed"))
+    successor = F.struct((page + 1).alias("page"), F.lit(False).alias("good"), F.lit(0).alias("landed"))
     named = _up_to(pages, max_pages).filter("page >= 1").select(F.inline(F.array(itself, successor)))
-    start = pages.sparkSession.range(1, 2, 1, 1).select(F.col("id").alias("page"), F.lit(False).alias("good"))
-    by_page = named.unionByName(start).groupBy("page").agg(F.max("good").alias("good"))
-    return by_page.filter(~F.col("good")).agg(F.min("page").alias("stop"))
+    first = pages.sparkSession.range(1, 2, 1, 1)
+    start = first.select(F.col("id").alias("page"), F.lit(False).alias("good"), F.lit(0).alias("landed"))
+    by_page = named.unionByName(start).groupBy("page").agg(F.max("good").alias("good"), F.sum("landed").alias("landed"))
+    found = by_page.agg(
+        F.min(F.when(~F.col("good"), F.col("page"))).alias("stop"),
+        F.min(F.when(F.col("landed") > 1, F.col("page"))).alias("twice"),
+    )
+    doubled = F.raise_error(F.concat(F.lit("landed twice: page "), F.col("twice").cast("string"))).cast("bigint")
+    return found.select(F.when(F.col("twice") < F.col("stop"), doubled).otherwise(F.col("stop")).alias("stop"))
+
+
+def page_limit(max_pages: int | None, total_count: int | None, per_page: int) -> int | None:
+    """Pages to read at most: ``max_pages``, and no more than ``total_count`` records need. Zero or None is no limit."""
+    if total_count:
+        needed = -(-total_count // per_page)
+        max_pages = min(needed, max_pages) if max_pages else needed
+    return max_pages
 
 
 def _up_to(pages: DataFrame, max_pages: int | None) -> DataFrame:
@@ -42,6 +58,7 @@ def ingest_pages(
     per_page: int = 50,
     stop: int | None = None,
     keep_position: bool = False,
+    rest: str | None = None,
 ) -> DataFrame:
     """Records of the pages before the first bad one, from rows (page, status, body), one for each page.
 
@@ -49,20 +66,28 @@ def ingest_pages(
     are null. A page before the stop that is no JSON list fails the job; what follows the stop is never decoded. Adds
     the landing order ``load_seq``, and with ``keep_position`` also ``page`` and ``pos``. Pass ``stop`` when it is
     known: it then filters the scan instead of being worked out first.
+
+    Fields that ``record_schema`` does not name are left out, unless ``rest`` names a column for them: it holds them as
+    a JSON object of texts, null where there are none. Each record is then decoded twice.
     """
-    if total_count:
-        needed = -(-total_count // per_page)
-        max_pages = min(needed, max_pages) if max_pages else needed
-    pages = _up_to(pages, max_pages)
+    pages = _up_to(pages, page_limit(max_pages, total_count, per_page))
     limit = F.lit(stop) if stop is not None else first_bad_page(pages).scalar()
     no_list = F.raise_error(F.concat(F.lit("no JSON list in page "), F.col("page").cast("string"))).cast("string")
     text = F.when(F.col("body").rlike(r"^\s*\["), F.col("body")).otherwise(no_list)
-    decoded = F.from_json(text, T.ArrayType(record_schema), {"mode": "FAILFAST"})
+    strict = {"mode": "FAILFAST"}
+    decoded = F.from_json(text, T.ArrayType(T.StringType() if rest else record_schema), strict)
     # Not posexplode: from it Spark infers size(decoded) > 0 and may decode pages before the stop filter drops them.
     records = (
         pages.filter((F.col("page") >= 1) & (F.col("status") == 200) & (F.col("page") < limit))
         .select("page", F.posexplode_outer(decoded).alias("pos", "record"))
         .filter(F.col("pos").isNotNull())
     )
+    fields, others = ["record.*"], []
+    if rest:
+        unnamed = F.map_filter(
+            F.from_json("record", "map<string, string>", strict), lambda name, _: ~name.isin(record_schema.names)
+        )
+        records = records.withColumn("whole", F.from_json("record", record_schema, strict))
+        fields, others = ["whole.*"], [F.when(F.size(unnamed) > 0, F.to_json(unnamed)).alias(rest)]
     position = ["page", "pos"] if keep_position else []
-    return records.select("record.*", *position, record_seq(F.col("page"), F.col("pos")).alias(S.LOAD_SEQ))
+    return records.select(*fields, *position, record_seq(F.col("page"), F.col("pos")).alias(S.LOAD_SEQ), *others)

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,34 +20,41 @@ def global_position(df: DataFrame, *order_by: str, name: str = "position", uniqu
     those sizes, one row for each partition, are brought together.
 
     Rows with equal order values come in any order among themselves. So that many of them spread over several
-    partitions, their place in the input breaks the tie, and the input is pinned as well to make that place lasting. If
-    no two rows have equal order values, say ``unique``, which saves this copy.
+    partitions, their place in the input breaks the tie, and the input is pinned to make that place lasting; the order
+    columns alone are then sorted and pinned, and the rows join them by place. If no two rows have equal order values,
+    say ``unique``: the rows are sorted and pinned themselves.
     """
+    return _placed(df, order_by, name, unique)[0]
+
+
+def _placed(df: DataFrame, order_by: Sequence[str], name: str, unique: bool) -> tuple[DataFrame, DataFrame]:
+    """The rows with their position, and the sizes of the range partitions (column ``__rows``)."""
     if unique:
-        source, order = df, list(order_by)
+        source, order, moved = df, list(order_by), df.columns
     else:
-        source = pin(df, "unordered").withColumn("__tie", F.monotonically_increasing_id())
-        order = [*order_by, "__tie"]
+        # Only order columns are sorted and pinned again; the rows are read from the first copy.
+        copy = pin(df.withColumn("__tie", F.monotonically_increasing_id()), "unordered")
+        source, order, moved = copy.select(*order_by, "__tie"), [*order_by, "__tie"], ["__tie"]
     ranked = (
         source.repartitionByRange(*order)
         .sortWithinPartitions(*order)
-        .select(*df.columns, F.monotonically_increasing_id().alias("__number"))
+        .select(*moved, F.monotonically_increasing_id().alias("__number"))
     )
     blocks = pin(ranked, "positions").withColumns(
         {"__block": F.shiftright("__number", _RANK_BITS), "__rank": F.col("__number").bitwiseAND((1 << _RANK_BITS) - 1)}
     )
     # One row for each partition of the range shuffle: small enough to broadcast and for a window without keys.
     before = Window.orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        blocks.groupBy("__block")
-        .agg(F.count(F.lit(1)).alias("__rows"))
-        .select("__block", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__start"))
-    )
-    return (
+    sizes = blocks.groupBy("__block").agg(F.count(F.lit(1)).alias("__rows"))
+    starts = sizes.select("__block", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__start"))
+    placed = (
         blocks.join(F.broadcast(starts), "__block")
-        .withColumn(name, F.col("__start") + F.col("__rank"))
+        .withColumn("__place", F.col("__start") + F.col("__rank"))
         .drop("__block", "__number", "__rank", "__start")
     )
+    if not unique:
+        placed = copy.join(placed, "__tie").drop("__tie")
+    return placed.withColumnRenamed("__place", name), sizes
 
 
 def page_plan(
@@ -56,8 +65,12 @@ def page_plan(
     Rows are paged in the order of ``order_by``; for ``unique`` see :func:`global_position`. If a column already holds
     the 0-based position, name it in ``position``: then nothing is sorted.
     """
-    placed = df if position else global_position(df, *order_by, name="__page_position", unique=unique)
-    total = df.agg(page_count(F.count(F.lit(1)), per_page).alias("total_pages"))
+    if position:
+        placed, rows = df, df.agg(F.count(F.lit(1)).alias("rows"))
+    else:
+        placed, sizes = _placed(df, order_by, "__page_position", unique)
+        rows = sizes.agg(F.coalesce(F.sum("__rows"), F.lit(0)).alias("rows"))
+    total = rows.select(page_count(F.col("rows"), per_page).alias("total_pages"))
     paged = placed.withColumns(
         {"page": page_of(F.col(position or "__page_position"), per_page), "total_pages": total.scalar()}
     )

@@ -69,12 +69,13 @@ def places_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(PLACES_DUP, places_raw=places_raw(spark, sf_dir))
 
 
-def page_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def page_log(spark: SparkSession, sf_dir: str, *, extra: bool = False) -> DataFrame:
     """``places_raw`` as landed (so: stored) pages of 50 records. Two thirds through lies an empty page, behind it a
-    failed one.
+    failed one. With ``extra``, two records of three have a further field, ``rating``.
     """
     number = F.substr("id", F.lit(4)).cast("bigint")
-    record = F.struct(*S.SOURCE_COLUMNS)
+    rating = [F.when(number % 3 != 0, (number % 5).cast("string")).alias("rating")] if extra else []
+    record = F.struct(*S.SOURCE_COLUMNS, *rating)
     numbered = F.struct(number.alias("k"), record.alias("record"))
     pages = (
         places_raw(spark, sf_dir)

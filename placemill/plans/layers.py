@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import partial
 from typing import Literal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from placemill import schema as S
-from placemill.functions import RECORD_SEQ_STRIDE
 from placemill.operators import (
     add_url_flags,
     count_by,
@@ -26,17 +25,15 @@ from placemill.operators import (
     rename_columns,
     rewrite_site,
 )
-from placemill.sinks import ensure_schemas, write_if_nonempty, write_landing, write_table
+from placemill.operators.ingest import page_limit
+from placemill.sinks import ensure_schemas, write_landing, write_table
 from placemill.sources import read_landing, read_layer
-from placemill.staging import pin
+from placemill.staging import pin, scratch
 
-# Order values in one chunk of impute_site_fill: 20,000 landed pages, a million records of 50 to the page.
-PAGE_CHUNK = 20_000 * RECORD_SEQ_STRIDE
 
-
-def build_bronze(spark: SparkSession, landing: str) -> DataFrame:
-    """Landed records, unchanged, all columns text, with their landing order."""
-    return read_landing(spark, landing)
+def build_bronze(spark: SparkSession, landing: str, schema: T.StructType = S.LANDING_SCHEMA) -> DataFrame:
+    """Landed records, unchanged, with their landing order."""
+    return read_landing(spark, landing, schema)
 
 
 def build_silver(
@@ -48,24 +45,30 @@ def build_silver(
     unicode: bool = False,
     keep_struct: bool = False,
     empty_to: str | None = None,
-    chunk: int = PAGE_CHUNK,
+    chunk: int | None = None,
+    per_page: int = 50,
 ) -> DataFrame:
     """Clean records: rename, deduplicate, normalise, fill nulls, flag URLs, impute and repair sites.
 
-    * ``order``: keep the first record of an id in this column's order; None keeps any.
+    * ``order``: keep the first record of an id in this column's order, of which a null or, within an id, repeated value
+      fails the job; None keeps any.
     * ``fill_site_first``: missing sites become ``-`` before imputation, which then finds nothing to fill and is left
       out. False imputes first and fills what remains; flags and repair then see the imputed site.
     * ``impute``: ``"max"`` takes the group's largest site, a missing name being a group; ``"fill"`` the next site in
-      ``order``, else the previous one, and records without a name lose their site. ``chunk`` is its ``span``.
+      ``order``, else the previous one, and records without a name lose their site. ``chunk`` is its ``span``, by
+      default one for pages of ``per_page`` records.
     * ``unicode``: Unicode whitespace in text normalisation.
     * ``keep_struct``: add both URL flags as one struct column, too.
     * ``empty_to``: replaces state and city names that normalisation left empty. As partition values they would
       otherwise be read back as null.
 
-    Needs one shuffle. Imputing first also writes the cleaned records to the shared folder, as several steps read them.
+    Columns that the source has beyond the declared ones come last, as they are. Needs one shuffle. Imputing first also
+    writes the cleaned records to the shared folder, as several steps read them; build and write silver within
+    ``scratch`` to have that copy deleted.
     """
     renamed = rename_columns(bronze)
-    unique = dedup_first(renamed, "id", order) if order else dedup_any(renamed, "id")
+    extra = [name for name in bronze.columns if name not in (*S.RENAMES, S.LOAD_SEQ, order)]
+    unique = dedup_first(renamed, "id", order, unique=True) if order else dedup_any(renamed, "id")
     clean = normalise_columns(unique, unicode=unicode)
     if empty_to is not None:
         clean = clean.replace("", empty_to, subset=["estado", "cidade"])
@@ -74,14 +77,14 @@ def build_silver(
     elif impute == "max":
         filled = fill_constants(impute_site_max(pin(clean, "clean")))
     elif order:
-        filled = fill_constants(impute_site_fill(pin(clean, "clean"), order, span=chunk))
+        filled = fill_constants(impute_site_fill(pin(clean, "clean"), order, span=chunk, per_page=per_page))
     else:
         raise ValueError('impute="fill" needs an order')
     flagged = add_url_flags(filled, keep_struct=keep_struct)
     if fill_site_first and impute == "fill":
         flagged = flagged.withColumn("site", F.when(F.col("nome").isNotNull(), F.col("site")))
     struct = [S.FLAG_STRUCT] if keep_struct else []
-    return rewrite_site(flagged).select(*S.RENAMES.values(), *struct, S.VALID_FLAG, S.SECURE_FLAG)
+    return rewrite_site(flagged).select(*S.RENAMES.values(), *struct, S.VALID_FLAG, S.SECURE_FLAG, *extra)
 
 
 def build_gold(silver: DataFrame, *, dense: bool = False, sort: bool = False) -> DataFrame:
@@ -101,22 +104,30 @@ def run_pipeline(
     gold_partitions: Sequence[str] = (),
     dense: bool = False,
     max_pages: int | None = None,
+    total_count: int | None = None,
+    per_page: int = 50,
+    record_schema: T.StructType = S.RECORD_SCHEMA,
+    rest: str | None = S.REST,
     **silver_options,
 ) -> DataFrame | None:
     """Land the pages, then rebuild bronze, silver and gold, each from the stored layer before it.
 
     Returns the gold table, or None if there was nothing to land; then nothing is written. An error stops the run.
-    ``silver_options`` go to :func:`build_silver`.
+    ``max_pages``, ``total_count``, ``per_page``, ``record_schema`` and ``rest`` are those of :func:`ingest_pages`;
+    columns of the schema beyond the declared ones, and ``rest``, are kept up to silver. ``silver_options`` go to
+    :func:`build_silver`. Intermediate copies are deleted when the run ends.
     """
-    # One number, worked out once: it then filters the page scan of the emptiness check and of the landing.
-    stop = first_bad_page(pages, max_pages=max_pages).first()["stop"]
-    if not write_if_nonempty(ingest_pages(pages, stop=stop), partial(write_landing, path=landing)):
+    # One number, worked out once: it then filters the page scan of the landing. Each page before it has records.
+    stop = first_bad_page(pages, max_pages=page_limit(max_pages, total_count, per_page)).first()["stop"]
+    if stop <= 1:
         return None
+    records = ingest_pages(pages, stop=stop, record_schema=record_schema, rest=rest)
+    write_landing(records, landing)
     ensure_schemas(spark, *schemas, root=root)
     bronze, silver, gold = (f"{schema}.{table}" for schema in schemas)
-    write_table(build_bronze(spark, landing), bronze)
-    write_table(
-        build_silver(read_layer(spark, bronze), **silver_options), silver, partition_by=silver_partitions
-    )
+    write_table(build_bronze(spark, landing, records.schema), bronze)
+    with scratch(spark):
+        cleaned = build_silver(read_layer(spark, bronze), per_page=per_page, **silver_options)
+        write_table(cleaned, silver, partition_by=silver_partitions)
     write_table(build_gold(read_layer(spark, silver), dense=dense), gold, partition_by=gold_partitions)
     return read_layer(spark, gold)

@@ -104,6 +104,23 @@ ingested AS (
 
 _SILVER_INGESTED = _silver().replace(_DUP, _INGESTED).replace("places_dup", "ingested")
 
+_TOTAL = f"""{_INGESTED}, announced AS (SELECT count(*) // 2 AS n FROM customer),
+needed AS (SELECT i.* FROM ingested i, announced
+  WHERE CAST(substr(id, 4) AS BIGINT) < CAST(ceil(n / 50.0) AS BIGINT) * 50)"""
+_SILVER_TOTAL = _silver().replace(_DUP, _TOTAL).replace("places_dup", "needed")
+_SILVER_BLANK = _silver().replace("coalesce(cidade, '-')", "CASE cidade WHEN '' THEN '?' ELSE coalesce(cidade, '-') END")
+_SILVER_BLANK = _SILVER_BLANK.replace("coalesce(estado, '-')", "CASE estado WHEN '' THEN '?' ELSE coalesce(estado, '-') END")
+_TAGGED_EVENTS = """tagged AS (SELECT event_id, user_id,
+  CASE WHEN event_id % 5 = 0 THEN event_type || '-' || CAST(event_id AS VARCHAR) END AS tag FROM events)"""
+
+
+def _filled(value: str, group: str, order: str) -> str:
+    by = f"OVER (PARTITION BY {group} ORDER BY {order} ROWS BETWEEN"
+    return f"""CASE WHEN {group} IS NOT NULL THEN coalesce(
+  first_value({value} IGNORE NULLS) {by} CURRENT ROW AND UNBOUNDED FOLLOWING),
+  last_value({value} IGNORE NULLS) {by} UNBOUNDED PRECEDING AND CURRENT ROW)) END"""
+
+
 _UNFILLED = f"{_DUP}, {_clean('places_dup')}"
 _GAPPY = """tagged AS (SELECT o_orderkey, o_orderstatus,
   CASE WHEN o_orderkey % 3 <> 0 THEN 'p' || CAST(CAST(trunc(o_totalprice) AS BIGINT) AS VARCHAR) END AS price_tag
@@ -137,6 +154,26 @@ QUALIFY row_number() OVER (
   PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) = 1""",
     "dedup_first_events": """SELECT event_id, user_id, event_type FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id) = 1""",
+    "dedup_first_repeated_order": """SELECT user_id, event_type, event_id FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_type, event_id) = 1""",
+    "impute_site_max_events": f"""WITH {_TAGGED_EVENTS} SELECT event_id, user_id,
+  coalesce(tag, max(tag) OVER (PARTITION BY user_id)) AS tag FROM tagged""",
+    "impute_site_fill_events": f"""WITH {_TAGGED_EVENTS}
+SELECT event_id, user_id, {_filled('tag', 'user_id', 'event_id')} AS tag FROM tagged""",
+    "impute_site_fill_ingested": f"""WITH {_INGESTED}
+SELECT id, name, load_seq, {_filled('website_url', 'name', 'load_seq')} AS website_url FROM ingested""",
+    "silver_fill_then_impute": f"""WITH {_silver()}
+SELECT * REPLACE (CASE WHEN nome IS NOT NULL THEN site END AS site) FROM silver""",
+    "silver_empty_to": f"WITH {_SILVER_BLANK} SELECT * FROM silver",
+    "medallion_gold_total": f"WITH {_SILVER_TOTAL} {_GOLD_STORED}",
+    "medallion_unknown_field": f"""WITH {_INGESTED} SELECT id, CASE WHEN CAST(substr(id, 4) AS BIGINT) % 3 <> 0
+  THEN '{{"rating":"' || CAST(CAST(substr(id, 4) AS BIGINT) % 5 AS VARCHAR) || '"}}' END AS other_fields FROM ingested""",
+    "first_page_failed": f"""WITH {_INGESTED} SELECT 'up' AS first_page, count(*) AS records FROM ingested
+UNION ALL SELECT 'down', 0""",
+    "nothing_written_when_empty": """SELECT step, step = 'all' AS wrote, stored
+FROM (SELECT count(*) AS stored FROM customer) CROSS JOIN (VALUES ('all'), ('none')) AS steps(step)""",
+    "page_files": f"WITH {_INGESTED} SELECT * FROM ingested",
+    "dataset_unpartitioned": f"WITH {_RAW} SELECT * FROM places_raw",
     "impute_site_max": f"WITH {_UNFILLED} SELECT id, nome, {_IMPUTED_MAX} AS site, load_seq FROM clean",
     "impute_site_fill": f"WITH {_UNFILLED} SELECT id, nome, {_IMPUTED_FILL} AS site, load_seq FROM clean",
     "impute_site_max_orders": f"""WITH {_GAPPY} SELECT o_orderkey, o_orderstatus,

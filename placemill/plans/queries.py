@@ -29,8 +29,8 @@ from placemill.operators import (
 )
 from placemill.plans.fixtures import page_log, places_dup, places_raw, table
 from placemill.plans.layers import build_gold, build_silver, run_pipeline
-from placemill.sinks import ensure_schemas, write_dataset, write_landing, write_table
-from placemill.sources import read_landing, read_layer
+from placemill.sinks import ensure_schemas, write_dataset, write_if_nonempty, write_landing, write_table
+from placemill.sources import read_landing, read_layer, read_page_files
 from placemill.staging import pin, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -144,8 +144,8 @@ def q_dedup_any(spark, sf_dir):
 @_query
 def q_dedup_first_lineitem(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem")
-    first = dedup_first(lines, "l_orderkey", ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"])
-    return first.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    lines = lines.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    return dedup_first(lines, "l_orderkey", ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"])
 
 
 @_query
@@ -154,6 +154,13 @@ def q_dedup_first_events(spark, sf_dir):
     return dedup_first(events, "user_id", "event_id")
 
 
+@_query
+def q_dedup_first_repeated_order(spark, sf_dir):
+    # A user has many events of the first type; the row itself breaks the tie.
+    events = table(spark, sf_dir, "events").select("user_id", "event_type", "event_id")
+    return dedup_first(events, "user_id", "event_type")
+
+
 # Imputation, on records whose missing sites have not been filled
 
 
@@ -187,6 +194,29 @@ def q_impute_site_fill_orders(spark, sf_dir):
     return impute_site_fill(_gappy_orders(spark, sf_dir), "o_orderkey", "o_orderstatus", "price_tag")
 
 
+def _gappy_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tag = F.when(F.col("event_id") % 5 == 0, F.concat_ws("-", "event_type", "event_id"))
+    return table(spark, sf_dir, "events").select("event_id", "user_id", tag.alias("tag"))
+
+
+@_query
+def q_impute_site_max_events(spark, sf_dir):
+    return impute_site_max(_gappy_events(spark, sf_dir), "user_id", "tag")
+
+
+@_query
+def q_impute_site_fill_events(spark, sf_dir):
+    # Many groups, each in many chunks.
+    return impute_site_fill(_gappy_events(spark, sf_dir), "event_id", "user_id", "tag", span=97)
+
+
+@_query
+def q_impute_site_fill_ingested(spark, sf_dir):
+    # The landing order, with the span that goes with it.
+    places = ingest_pages(page_log(spark, sf_dir)).select("id", "name", "website_url", S.LOAD_SEQ)
+    return impute_site_fill(pin(places), S.LOAD_SEQ, "name", "website_url")
+
+
 # Silver and gold
 
 
@@ -205,6 +235,16 @@ def q_silver_impute_fill(spark, sf_dir):
     return build_silver(places_dup(spark, sf_dir), fill_site_first=False, impute="fill", chunk=1_000_000)
 
 
+@_query
+def q_silver_fill_then_impute(spark, sf_dir):
+    return build_silver(places_dup(spark, sf_dir), impute="fill")
+
+
+@_query
+def q_silver_empty_to(spark, sf_dir):
+    return build_silver(places_dup(spark, sf_dir), empty_to="?")
+
+
 @_query
 def q_silver_struct(spark, sf_dir):
     places = build_silver(places_dup(spark, sf_dir), keep_struct=True)
@@ -246,12 +286,54 @@ def q_table_partitioned_by_keys(spark, sf_dir):
     return read_layer(spark, name)
 
 
-@_query
-def q_medallion_gold(spark, sf_dir):
+def _run(spark: SparkSession, pages: DataFrame, **options) -> tuple[DataFrame | None, tuple[str, ...]]:
     root = scratch_path(spark, "run")
     suffix = root.rsplit("-", 1)[1]
     schemas = tuple(f"{layer}_{suffix}" for layer in ("bronze", "silver", "gold"))
-    return run_pipeline(spark, page_log(spark, sf_dir), f"{root}/landing", schemas=schemas, root=root)
+    return run_pipeline(spark, pages, f"{root}/landing", schemas=schemas, root=root, **options), schemas
+
+
+@_query
+def q_medallion_gold(spark, sf_dir):
+    return _run(spark, page_log(spark, sf_dir))[0]
+
+
+@_query
+def q_medallion_gold_total(spark, sf_dir):
+    # The source announces half as many records as it holds.
+    announced = table(spark, sf_dir, "customer").count() // 2
+    return _run(spark, page_log(spark, sf_dir), total_count=announced, per_page=50)[0]
+
+
+@_query
+def q_medallion_unknown_field(spark, sf_dir):
+    # Records have a seventeenth field, of which the schema knows nothing.
+    _, (_, silver, _) = _run(spark, page_log(spark, sf_dir, extra=True))
+    return read_layer(spark, f"{silver}.places").select("id", S.REST)
+
+
+@_query
+def q_first_page_failed(spark, sf_dir):
+    # Records that are ingested if the first page answers, and if it does not.
+    log = page_log(spark, sf_dir)
+    down = log.withColumn("status", F.when(F.col("page") == 1, 503).otherwise(F.col("status")))
+    counts = [
+        ingest_pages(pages).agg(F.lit(case).alias("first_page"), F.count(F.lit(1)).alias("records"))
+        for case, pages in (("up", log), ("down", down))
+    ]
+    return counts[0].union(counts[1])
+
+
+@_query
+def q_nothing_written_when_empty(spark, sf_dir):
+    path = scratch_path(spark, "landing")
+    places = places_raw(spark, sf_dir)
+    outcomes = []
+    for step, records in (("all", places), ("none", places.filter("id IS NULL"))):
+        wrote = write_if_nonempty(records, partial(write_landing, path=path))
+        stored = pin(read_landing(spark, path, S.RECORD_SCHEMA).agg(F.count(F.lit(1)).alias("stored")))
+        outcomes.append(stored.select(F.lit(step).alias("step"), F.lit(wrote).alias("wrote"), "stored"))
+    return outcomes[0].union(outcomes[1])
 
 
 # Grouped counts on the other tables
@@ -319,6 +401,13 @@ def q_ingest_pages_total(spark, sf_dir):
     return ingest_pages(page_log(spark, sf_dir), total_count=table(spark, sf_dir, "customer").count() // 2)
 
 
+@_query
+def q_page_files(spark, sf_dir):
+    path = scratch_path(spark, "pages")
+    page_log(spark, sf_dir).write.partitionBy("page", "status").text(path)
+    return ingest_pages(read_page_files(spark, path, r"/page=(\d+)/status=(\d+)/[^/]*$"))
+
+
 # Files
 
 
@@ -347,6 +436,13 @@ def q_dataset_overwrite(spark, sf_dir):
     return _write_twice(spark, sf_dir, "overwrite")
 
 
+@_query
+def q_dataset_unpartitioned(spark, sf_dir):
+    path = scratch_path(spark, "dataset")
+    write_dataset(places_raw(spark, sf_dir), path)
+    return read_layer(spark, path)
+
+
 @_query
 def q_documents_by_lang(spark, sf_dir):
     path = scratch_path(spark, "documents")

@@ -50,6 +50,9 @@ GOLD_KEYS = ("estado", "tipo_cervejaria")
 # Order in which the records were landed: unique, growing. Carried through landing and bronze for keep-first.
 LOAD_SEQ = "load_seq"
 
+# Fields of a record that its schema does not name, as a JSON object. A run carries them to silver.
+REST = "other_fields"
+
 SOURCE_COLUMNS = tuple(RENAMES)
 SILVER_COLUMNS = (*RENAMES.values(), VALID_FLAG, SECURE_FLAG)
 

@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 def ensure_schemas(spark: SparkSession, *names: str, root: str | None = None) -> None:
     """Create namespaces that do not exist yet; below the folder ``root`` if given, else in the warehouse."""
     for name in names:
-        where = f" LOCATION '{root.rstrip('/')}/{name}'" if root else ""
-        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name}{where}")
+        quoted = "`" + name.replace("`", "``") + "`"
+        if root:
+            spark.sql(f"CREATE SCHEMA IF NOT EXISTS {quoted} LOCATION :place", args={"place": f"{root.rstrip('/')}/{name}"})
+        else:
+            spark.sql(f"CREATE SCHEMA IF NOT EXISTS {quoted}")
 
 
 def write_if_nonempty(df: DataFrame, write: Callable[[DataFrame], None]) -> bool:
@@ -43,8 +46,10 @@ def write_table(
 
 
 def write_dataset(df: DataFrame, path: str, *, partition_by: Sequence[str] = (), mode: str = "overwrite") -> None:
-    """Parquet files below ``path``; ``mode="append"`` adds to what is there."""
-    _by_partition(df, partition_by).write.mode(mode).partitionBy(*partition_by).parquet(path)
+    """Parquet files below ``path``; ``mode="append"`` adds to what is there, overwriting replaces all of it."""
+    # Said here, because a session set to dynamic overwriting would leave partitions of an earlier run.
+    writer = _by_partition(df, partition_by).write.mode(mode).option("partitionOverwriteMode", "static")
+    writer.partitionBy(*partition_by).parquet(path)
 
 
 def _by_partition(df: DataFrame, keys: Sequence[str]) -> DataFrame:

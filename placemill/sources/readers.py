@@ -9,13 +9,13 @@ from placemill import schema as S
 _INFER_PARTITION_TYPES = "spark.sql.sources.partitionColumnTypeInference.enabled"
 
 
-def read_page_files(spark: SparkSession, path: str, pattern: str = r"^page-(\d+)(?:\.(\d+))?\.json$") -> DataFrame:
+def read_page_files(spark: SparkSession, path: str, pattern: str = r"/page-(\d+)(?:\.(\d+))?\.json$") -> DataFrame:
     """Page files as rows (page, status, body).
 
-    ``pattern`` takes the page number, and optionally the status (else 200), from the file name. Files are read whole:
+    ``pattern`` takes the page number, and optionally the status (else 200), from a file's path. Files are read whole:
     a JSON scan would yield nothing for an empty page and so hide it.
     """
-    name = F.col("_metadata.file_name")
+    name = F.col("_metadata.file_path")
     status = F.regexp_extract(name, pattern, 2)
     return spark.read.text(path, wholetext=True).select(
         F.regexp_extract(name, pattern, 1).cast("int").alias("page"),
@@ -40,9 +40,9 @@ def read_layer(spark: SparkSession, source: str, schema: T.StructType | None = N
         return spark.table(source)
     if schema is not None:
         return spark.read.schema(schema).parquet(source)
-    before = spark.conf.get(_INFER_PARTITION_TYPES)
-    spark.conf.set(_INFER_PARTITION_TYPES, "false")
-    try:
-        return spark.read.parquet(source)
-    finally:
-        spark.conf.set(_INFER_PARTITION_TYPES, before)
+    # In a session of its own, so that other threads keep their settings.
+    own = spark.newSession()
+    own.conf.set(_INFER_PARTITION_TYPES, "false")
+    found = own.read.parquet(source).schema
+    names = [name for name in found.names]
+    return spark.read.schema(T.StructType([found[name] for name in names])).parquet(source)

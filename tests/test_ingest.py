@@ -88,6 +88,28 @@ def test_stop_page(spark):
     assert pm.first_bad_page(df.limit(0)).first().stop == 1
 
 
+def test_a_page_landed_twice_fails(spark):
+    rows = [(1, 200, body("a")), (1, 200, body("a")), (2, 200, body("b"))]
+    with pytest.raises(Exception, match="landed twice: page 1"):
+        pm.ingest_pages(spark.createDataFrame(rows, PAGES)).collect()
+    # A failed attempt beside a good one, and a second copy behind the stop, do no harm.
+    rows = [(1, 500, None), (1, 200, body("a")), (2, 200, "[]"), (3, 200, body("c")), (3, 200, body("c"))]
+    assert ids(pm.ingest_pages(spark.createDataFrame(rows, PAGES))) == ["a"]
+
+
+def test_rest(spark):
+    text = json.dumps([{"id": "a", "extra": 1, "deep": {"x": [1]}}, None, {"id": "b", "extra": None}, {"id": "c"}])
+    df = spark.createDataFrame([(1, 200, text)], PAGES)
+    got = pm.ingest_pages(df, rest="others").orderBy(S.LOAD_SEQ).collect()
+    assert [row.id for row in got] == ["a", None, "b", "c"]
+    assert [row.others and json.loads(row.others) for row in got] == [
+        {"extra": "1", "deep": '{"x":[1]}'}, None, {"extra": None}, None]
+    plain = pm.ingest_pages(df).orderBy(S.LOAD_SEQ).collect()
+    assert [tuple(row) for row in plain] == [tuple(row)[:-1] for row in got]
+    with pytest.raises(Exception, match="MALFORMED|Malformed"):
+        pm.ingest_pages(spark.createDataFrame([(1, 200, "[1]")], PAGES), rest="others").collect()
+
+
 def test_page_number_at_the_end_of_its_type(spark):
     df = spark.createDataFrame([(2**31 - 1, 200, body("a")), (1, 200, body("b"))], PAGES)
     assert ids(pm.ingest_pages(df)) == ["b"]

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 import placemill as pm
 from placemill import schema as S
+from placemill import staging
 from placemill.plans.fixtures import page_log, places_dup, places_raw
-from placemill.staging import pin, shared_dir
+from placemill.staging import SHARED_MOUNT, pin, scratch, shared_dir
 
 from .conftest import TESTDATA
 
@@ -110,6 +111,77 @@ def test_write_if_nonempty(spark, tmp_path):
     assert len(written) == 1
 
 
+def test_overwrite_replaces_all_in_a_dynamic_session(spark, tmp_path):
+    path, setting = str(tmp_path / "set"), "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "dynamic")
+    try:
+        for key in ("a", "b"):
+            pm.write_dataset(spark.createDataFrame([("1", key)], "id string, estado string"), path, partition_by=["estado"])
+    finally:
+        spark.conf.set(setting, before)
+    assert [row["estado"] for row in pm.read_layer(spark, path).collect()] == ["b"]
+
+
+def test_dataset_without_partitions(spark, tmp_path, rows):
+    df = spark.createDataFrame([("1", "a"), ("2", None)], "id string, estado string")
+    for _ in range(2):
+        pm.write_dataset(df, str(tmp_path / "set"))
+    assert rows(pm.read_layer(spark, str(tmp_path / "set"))) == rows(df)
+
+
+def test_schema_names_and_places_are_quoted(spark, tmp_path):
+    name, root = f"1_{uuid.uuid4().hex}", tmp_path / "it's here"
+    pm.ensure_schemas(spark, name, root=str(root))
+    assert spark.catalog.databaseExists(f"`{name}`")
+    spark.sql(f"DROP SCHEMA `{name}`")
+
+
+def test_silver_refuses_records_without_landing_order(spark, tmp_path):
+    (tmp_path / "x.json").write_text('{"id": "1"}\n{"id": "1"}\n')
+    with pytest.raises(Exception, match="load_seq is null"):
+        pm.build_silver(pm.read_landing(spark, str(tmp_path))).collect()
+    assert pm.build_silver(pm.read_landing(spark, str(tmp_path)), order=None).count() == 1
+
+
+def test_scratch_leaves_nothing(spark, schemas, tmp_path, monkeypatch):
+    pages = page_log(spark, SF_DIR)
+    monkeypatch.setattr(staging, "shared_dir", lambda _: str(tmp_path / "shared"))
+    pm.run_pipeline(spark, pages, str(tmp_path / "landing"), schemas=schemas, fill_site_first=False)
+    folder = tmp_path / "shared" / "placemill"
+    assert folder.is_dir() and list(folder.iterdir()) == []
+    with pytest.raises(ZeroDivisionError), scratch(spark):
+        pin(spark.range(3))
+        assert len(list(folder.iterdir())) == 1
+        raise ZeroDivisionError
+    assert list(folder.iterdir()) == []
+
+
+def test_unknown_fields_reach_silver(spark, schemas, tmp_path):
+    record = [{"id": "a", "name": "n", "rating": 4, "tags": ["x"]}, {"id": "b"}]
+    pages = spark.createDataFrame([(1, 200, json.dumps(record)), (2, 200, "[]")], "page int, status int, body string")
+    pm.run_pipeline(spark, pages, str(tmp_path / "landing"), schemas=schemas)
+    stored = {row["id"]: row[S.REST] for row in spark.table(f"{schemas[1]}.places").collect()}
+    assert {key: value and json.loads(value) for key, value in stored.items()} == {
+        "a": {"rating": "4", "tags": '["x"]'}, "b": None}
+    wider = S.RECORD_SCHEMA.add("rating", "integer")
+    try:
+        pm.run_pipeline(spark, pages, str(tmp_path / "landing"), schemas=schemas, record_schema=wider, rest=None)
+    finally:
+        S.RECORD_SCHEMA.fields.pop()
+        S.RECORD_SCHEMA.names.pop()
+    assert {row["id"]: row["rating"] for row in spark.table(f"{schemas[1]}.places").collect()} == {"a": 4, "b": None}
+
+
+def test_run_with_a_known_total(spark, schemas, tmp_path):
+    pages = spark.createDataFrame(
+        [(p, 200, json.dumps([{"id": f"{p}{k}"} for k in "ab"])) for p in (1, 2, 3)], "page int, status int, body string"
+    )
+    for total, count in ((3, 4), (0, 6), (2, 2)):
+        pm.run_pipeline(spark, pages, str(tmp_path / "landing"), schemas=schemas, total_count=total, per_page=2)
+        assert spark.table(f"{schemas[0]}.places").count() == count
+
+
 def test_pin(spark):
     df = spark.range(5)
     copy = pin(df)
@@ -130,6 +202,12 @@ def test_shared_dir(tmp_path):
     assert local != shared_dir(_Session(master="local[2]", app_id="b"))
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_dir(_Session(master="yarn"))
+    with pytest.raises(ValueError, match="one machine"):
+        shared_dir(_Session(checkpoint_dir="file:/tmp/x", master="yarn"))
+    mounted = _Session(checkpoint_dir="file:/mnt/x", master="yarn")
+    mounted.conf[SHARED_MOUNT] = "true"
+    assert shared_dir(mounted) == "file:/mnt/x"
+    assert shared_dir(_Session(checkpoint_dir="file:/tmp/x", master="local-cluster[2,1,1024]")) == "file:/tmp/x"
 
 
 def test_silver_columns(spark):
@@ -202,7 +280,7 @@ def test_run_with_options(spark, schemas, tmp_path):
     assert gold.columns == ["count", *S.GOLD_KEYS]
     silver = spark.table(f"{schemas[1]}.sites")
     assert silver.columns[-2:] == ["estado", "cidade"]
-    assert len(silver.columns) == 19
+    assert len(silver.columns) == 20
     assert silver.filter("estado IS NULL").isEmpty()
     assert (tmp_path / schemas[1] / "sites").is_dir()
 
