@@ -70,7 +70,12 @@ def main() -> None:
         "gold_count_dense": lambda: run(pm.build_gold(silver, dense=True)),
         "medallion_gold": lambda: pm.run_pipeline(spark, log, f"{root}/landing", schemas=schemas, root=root).collect(),
     }
+    queries["silver_impute_fill"] = lambda: run(pm.build_silver(bronze, fill_site_first=False, impute="fill", chunk=1_000_000))
     for name in (
+        "dedup_any",
+        "global_position_events",
+        "impute_site_max_events",
+        "impute_site_fill_events",
         "normalise_documents",
         "count_lineitem",
         "count_events_dense",
