@@ -24,6 +24,8 @@ ENCODING, ATTENTION = 16, 8
 #: Training sample: so many documents of each label at most, and of each a stretch of so many bytes.
 SAMPLE_DOCS = 3000
 SAMPLE_BYTES = 2048
+#: Words of a short excerpt, one of which is added for each document of the sample.
+EXCERPT_WORDS = 15
 EPOCHS = 12
 BATCH = 32
 #: A document with at least this score counts as good.
@@ -110,14 +112,14 @@ def train(texts: list[bytes], labels: list[int], *, epochs: int = EPOCHS, seed:
     The result depends on the multiset of examples and ``seed`` alone.
     """
     examples = sorted(zip(texts, labels, strict=True))
-    parts = []
+    examples += _excerpts(examples, seed)
+    bounds = np.cumsum([0, *(max(1, -(-len(text) // PASSAGE)) for text, _ in examples)])
+    # Half precision, filled in parts: the features of all passages take about as much memory as four times the sample.
+    features = np.empty((bounds[-1], FEATURES), np.float16)
     for begin in range(0, len(examples), 256):
         some = [text for text, _ in examples[begin : begin + 256]]
-        found, text = passages(np.frombuffer(b"".join(some), np.uint8), np.cumsum([0, *map(len, some)]))
-        parts.append((found, text + begin))
-    features, text = (np.concatenate(values) for values in zip(*parts, strict=True))
-    del parts
-    bounds = np.searchsorted(text, np.arange(len(examples) + 1))
+        found, _ = passages(np.frombuffer(b"".join(some), np.uint8), np.cumsum([0, *map(len, some)]))
+        features[bounds[begin] : bounds[begin + len(some)]] = found
     known = np.array([label for _, label in examples], np.float32)
     share = np.array([max((known == k).mean(), 1e-9) for k in (0, 1)])
     rng = np.random.default_rng(seed)
@@ -142,7 +144,7 @@ def train(texts: list[bytes], labels: list[int], *, epochs: int = EPOCHS, seed:
             counts = (bounds[1:] - bounds[:-1])[chosen]
             first, owner = np.cumsum(counts) - counts, np.repeat(np.arange(len(chosen)), counts)
             balance = 0.5 / share[known[chosen].astype(int)]
-            slopes = _slopes(Model(*weights), features[rows], first, owner, known[chosen], balance)
+            slopes = _slopes(Model(*weights), features[rows].astype(np.float32), first, owner, known[chosen], balance)
             rate = 0.01 * (1 - taken / (epochs * batches + 1))
             for k, (slope, (mean, square)) in enumerate(zip(slopes, moments, strict=True)):
                 mean += 0.1 * (slope - mean)
@@ -152,6 +154,18 @@ def train(texts: list[bytes], labels: list[int], *, epochs: int = EPOCHS, seed:
     return Model(*weights)
 
 
+def _excerpts(examples: list[tuple[bytes, int]], seed: int) -> list[tuple[bytes, int]]:
+    """Of each example a few words with its label, so that short documents are not rare among the examples."""
+    rng = np.random.default_rng(seed)
+    short = []
+    for text, label in examples:
+        words = text.split(b" ")
+        size = int(rng.integers(1, EXCERPT_WORDS + 1))
+        begin = int(rng.integers(0, max(1, len(words) - size + 1)))
+        short.append((b" ".join(words[begin : begin + size]), label))
+    return short
+
+
 def _slopes(model: Model, features, first, owner, known, balance) -> list[np.ndarray]:
     """Derivatives of the mean loss by all weights."""
     score, pooled, weights, encoded, value, gate = _forward(model, features, first, owner)
