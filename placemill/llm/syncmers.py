@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -89,12 +90,12 @@ def _range_of(doc_id: Column, bounds: list[int], *, at: bool = False) -> Column:
     if not bounds:
         return F.lit(0)
     step = max(1, round(len(bounds) ** 0.5))
-    parts = [bounds[k : k + step] for k in range(0, len(bounds), step)]
-    heads = F.array(*[F.lit(part[0]) for part in parts])
-    nested = F.array(*[F.array(*map(F.lit, part)) for part in parts])
+    # As arrays, each is one literal of the plan, however many bounds there are.
+    heads, every = F.lit(np.array(bounds[::step], np.int64)), F.lit(np.array(bounds, np.int64))
     below = lambda values: F.size(F.filter(values, lambda bound: (bound <= doc_id) if at else (bound < doc_id)))
     coarse = below(heads)
-    fine = F.when(coarse > 0, (coarse - 1) * step + below(F.element_at(nested, coarse))).otherwise(0)
+    part = F.slice(every, (coarse - 1) * step + 1, F.lit(step))
+    fine = F.when(coarse > 0, (coarse - 1) * step + below(part)).otherwise(0)
     return F.coalesce(fine, F.lit(0))
 
 
