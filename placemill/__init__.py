@@ -1,5 +1,7 @@
 """placemill: layered (bronze, silver, gold) pipelines over place directories, on Spark."""
 
+# ruff: noqa: F401
+
 from placemill.functions import (
     RECORD_SEQ_STRIDE,
     normalise_text,
@@ -36,41 +38,4 @@ from placemill.sinks import (
     write_table,
 )
 from placemill.sources import read_landing, read_layer, read_page_files
-
-__all__ = [
-    "RECORD_SEQ_STRIDE",
-    "add_url_flags",
-    "build_bronze",
-    "build_gold",
-    "build_silver",
-    "count_by",
-    "count_by_dense",
-    "dedup_any",
-    "dedup_first",
-    "ensure_schemas",
-    "fill_constants",
-    "first_bad_page",
-    "global_position",
-    "impute_site_fill",
-    "impute_site_max",
-    "ingest_pages",
-    "normalise_columns",
-    "normalise_text",
-    "page_count",
-    "page_of",
-    "page_plan",
-    "read_landing",
-    "read_layer",
-    "read_page_files",
-    "rename_columns",
-    "rewrite_scheme",
-    "rewrite_site",
-    "run_pipeline",
-    "union_records",
-    "url_flags",
-    "url_flags_struct",
-    "write_dataset",
-    "write_if_nonempty",
-    "write_landing",
-    "write_table",
-]
+from placemill.staging import pin, scratch
