@@ -32,7 +32,7 @@ STEP = 16
 #: A pair is dropped when the posterior probability that it reaches the threshold falls below this.
 TOLERANCE = 1e-6
 #: Members of a bucket that are compared with each other by one task at a time.
-BLOCK = 512
+BLOCK = 256
 #: Pairs of members that a task holds at a time.
 PAIRS = 500_000
 

@@ -45,7 +45,7 @@ def test_whole_documents(spark, words_of):
     assert _found(J.similar_documents(docs)) == _brute(texts, words_of)
 
 
-@pytest.mark.parametrize("block", [512, 4])
+@pytest.mark.parametrize("block", [J.BLOCK, 4])
 def test_large_groups(spark, words_of, block):
     """Copies, and near copies of one text in buckets that are far larger than a block."""
     rng = random.Random(5)
