@@ -181,7 +181,7 @@ def find_contamination(
     text: str = "text",
     item_id: str = "item_id",
     item_text: str = "text",
-    min_share: float = 0.05,
+    one_in: int = 20,
     part_bytes: int = PART_BYTES,
     keep: list[str] | None = None,
 ) -> DataFrame:
@@ -189,7 +189,7 @@ def find_contamination(
 
     Adds ``n_words``, ``n_hit`` (words in any shared window), ``n_items`` (different ids of the items they come from),
     ``items_sha256`` (of those ids, sorted as strings and joined by commas) and ``contaminated`` (any hit, and at least
-    ``min_share`` of the words). Input columns of these names are replaced. A window is ``WINDOW`` consecutive words of
+    one of ``one_in`` words). Input columns of these names are replaced. A window is ``WINDOW`` consecutive words of
     an item; an item of fewer words is one window; a null or wordless text has no words and no windows. Repeated items
     count once; an item without an id marks words but is not counted. With an empty benchmark nothing is hit.
 
@@ -205,9 +205,8 @@ def find_contamination(
     before: list[str] = []
     for number, index in enumerate(_parts(benchmark, item_id, item_text, part_bytes)):
         shared = spark.sparkContext.broadcast(index)
-        current = add_text_columns(
-            current, _FOUND, lambda shared=shared: _search(shared.value), text="__text", keep=[*columns, "__text", *before]
-        )
+        search = lambda shared=shared: _search(shared.value)
+        current = add_text_columns(current, _FOUND, search, text="__text", keep=[*columns, "__text", *before])
         names = {"__runs": f"__runs{number}", "__items": f"__items{number}"}
         current = current.withColumnsRenamed(names)
         before += names.values()
@@ -219,9 +218,7 @@ def find_contamination(
         items = F.flatten(F.array(*[f"__items{k}" for k in range(parts)]))
     ids = F.array_sort(F.array_distinct(items))
     out = current.select(*columns, "n_words", hits.alias("n_hit"), ids.alias("__ids"))
-    share = F.col("n_hit") >= F.col("n_words") * F.lit(min_share)
-    if min_share == 0.05:
-        share = F.col("n_hit") * 20 >= F.col("n_words")
+    share = F.col("n_hit") * one_in >= F.col("n_words")
     return out.select(
         *columns,
         "n_words",
