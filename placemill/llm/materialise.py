@@ -135,8 +135,10 @@ def materialise(
     an empty table writes none. The text is shuffled once, by ranges of places, which are equally full whatever the data.
     """
     spark = docs.sparkSession
-    cut = pin(records(docs, doc_id=doc_id, text=text, stride=stride), "records")
-    counted, size = numbered(cut)
+    cut = scratch_path(spark, "records")
+    written = records(docs, doc_id=doc_id, text=text, stride=stride)
+    written.write.option("compression", "zstd").parquet(cut)
+    counted, size = numbered(spark.read.schema(written.schema).parquet(cut))
 
     @F.pandas_udf("bigint")
     def place_of(number: pd.Series) -> pd.Series:
@@ -153,7 +155,7 @@ def materialise(
     root = root or scratch_path(spark, "shards")
     shards = max(1, -(-size // per_shard))
     ranged = placed.select(*columns).repartitionByRange(min(shards, 100_000), "shard").sortWithinPartitions("place")
-    ranged.write.partitionBy("shard").mode("overwrite").parquet(root)
+    ranged.write.partitionBy("shard").mode("overwrite").option("compression", "zstd").parquet(root)
     return read_places(spark, root, schema=placed.select(*columns).schema)
 
 
