@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 from typing import NamedTuple
@@ -59,14 +60,13 @@ class Automaton(NamedTuple):
 
     def follows(self, x: int, t: int) -> bool:
         """Whether the state behind token ``x`` has an arc ``t``."""
-        until, a = len(self.parts) + len(self.labels), x
+        until, a = math.inf, x
         while True:
-            later, b = until, t
             # Arcs of b are copied from its left part's; before b was made, removals concern that part.
-            above = len(self.parts) + len(self.labels)
+            above, b = math.inf, t
             while True:
                 rule = self.removed.get((a, b))
-                if rule is not None and rule < later and self.born[b] < rule <= above:
+                if rule is not None and rule < until and self.born[b] < rule <= above:
                     return False
                 if b not in self.parts:
                     break

@@ -73,7 +73,8 @@ def passages(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     kinds = np.bincount(owner * 7 + _KINDS[data], minlength=len(starts) * 7).reshape(-1, 7)
     size = np.maximum(lengths, 1)[:, None].astype(np.float32)
     features = np.empty((len(starts), FEATURES), np.float32)
-    np.sqrt(counts / size, out=features[:, :BUCKETS], casting="same_kind")
+    np.divide(counts, size, out=features[:, :BUCKETS], casting="same_kind")
+    np.sqrt(features[:, :BUCKETS], out=features[:, :BUCKETS])
     features[:, BUCKETS : BUCKETS + 7] = kinds / size
     features[:, BUCKETS + 7] = (counts > 0).sum(1) / size[:, 0]
     features[:, BUCKETS + 8] = lengths / PASSAGE

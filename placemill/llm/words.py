@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that are worked on at once; a longer text is worked on alone.
-BLOCK_BYTES = 2_000_000
+BLOCK_BYTES = 1_000_000
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _UNBASE = np.uint64(pow(int(_BASE), -1, 2**64))
