@@ -28,6 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from placemill.llm.shipping import ship_package
+
 #: Pieces into which text is cut before encoding (fixed value of byte-level tokenizers); ``newer`` are code points to
 #: be taken for neither letters nor numbers.
 PIECES = (
@@ -202,6 +204,7 @@ class Coder:
 
 def _map_rows(df: DataFrame, columns: list[str], source: str, automaton: Automaton, outputs: T.StructType, work) -> DataFrame:
     """``columns`` of ``df`` and what ``work(coder, value)`` gives for each value of ``source``, a row of ``outputs``."""
+    ship_package(df.sparkSession)
     row = F.struct(*[F.col(f"`{name}`") for name in columns]).alias("__row")
     chosen = df.select(row, F.col(source).alias("__source"))
     shared = df.sparkSession.sparkContext.broadcast(automaton)

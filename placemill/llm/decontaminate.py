@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from placemill.llm.shipping import ship_package
 from placemill.llm.texts import Scorer, add_text_columns
 from placemill.llm.words import Words, blocks, words_of
 
@@ -198,6 +199,7 @@ def find_contamination(
     extra.
     """
     spark = docs.sparkSession
+    ship_package(spark)
     columns = list(docs.columns if keep is None else keep)
     found = {"n_words", "n_hit", "n_items", "items_sha256", "contaminated"}
     columns = [name for name in columns if name.lower() not in found]

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from placemill.llm.shipping import ship_package
 from placemill.llm.texts import Scorer, add_text_columns
 from placemill.llm.words import mix, words_of
 from placemill.staging import pin
@@ -353,6 +354,7 @@ def similar_documents(
     compared block by block in several tasks. Only nodes that share a bucket move their signature, and only members of a
     pair that pruning kept move their shingles.
     """
+    ship_package(docs.sparkSession)
     ids = docs.select(
         F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.col(text).cast("string").alias("__text")
     )

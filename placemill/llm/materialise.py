@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from placemill.llm.shipping import ship_package
 from placemill.llm.texts import segments
 from placemill.llm.words import blocks, mix
 from placemill.staging import pin, scratch_path
@@ -66,6 +67,7 @@ def records(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", stri
 
     ``n_tokens`` counts END but no padding. A null or empty text is END alone. Nothing is shuffled.
     """
+    ship_package(docs.sparkSession)
     kind = docs.schema[doc_id].dataType
     schema = T.StructType(
         [

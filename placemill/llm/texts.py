@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from placemill.llm.shipping import ship_package
 from placemill.llm.words import blocks
 
 #: What a task makes once: from a block's bytes and offsets to one array for each output column.
@@ -29,6 +30,7 @@ def add_text_columns(
     Texts reach the scorer as UTF-8 in blocks of about ``words.BLOCK_BYTES``; null is empty. An input column with the
     name of an output is dropped. Nothing is shuffled: a lost task is run again by itself.
     """
+    ship_package(df.sparkSession)
     made = {field.name.lower() for field in outputs}
     kept = [name for name in (df.columns if keep is None else keep) if name.lower() not in made]
     row = T.StructType([T.StructField("__row", T.StructType([df.schema[name] for name in kept])), *outputs])
