@@ -4,6 +4,9 @@ The alphabet is that of tokens: lower-cased runs of characters that are no white
 characters; ideographs stand alone. Of all runs of ``K`` tokens those are kept whose smallest inner run of ``S`` tokens
 (by hash) is the first or the last. Whether a run is kept depends on its own tokens alone, so it is kept wherever it
 occurs, and at least one of any few neighbouring runs is kept.
+
+Token anchors are coarse: a text of fewer than ``K`` tokens has only one. Every text therefore also has anchors over its
+characters, by the same rule with ``CHAR_K`` and ``CHAR_S``: any 2 * CHAR_K - CHAR_S - 1 = 8 of them hold one.
 """
 
 from __future__ import annotations
@@ -16,6 +19,8 @@ from pyspark.sql import functions as F
 
 K, S = 7, 2
 LONGEST = 32
+#: The same of the finer form, whose alphabet is that of characters.
+CHAR_K, CHAR_S = 6, 3
 _ALONE = r"\x{2E80}-\x{D7FF}\x{F900}-\x{FAFF}\x{20000}-\x{3FFFF}"
 _TOKEN = rf"[{_ALONE}]|[^\s{_ALONE}]{{1,{LONGEST}}}"
 
@@ -69,7 +74,66 @@ def fingerprint(marks: Column) -> Column:
 
 def likeness(marks: Column, others: Column) -> Column:
     """Jaccard similarity of the sets of anchors; 1 if neither has any."""
-    one, two = marks["hash"], others["hash"]
+    return _shared(marks["hash"], others["hash"])
+
+
+def folded(text: Column) -> Column:
+    """Lower case, of each character by itself: a sigma does not depend on whether it ends a word. Null is empty."""
+    return F.lower(F.replace(F.coalesce(text, F.lit("")), F.lit("\u03a3"), F.lit("\u03c3")))
+
+
+def _packed(place: Column, hashed: Column) -> Column:
+    return F.shiftleft(place.cast("bigint"), 32).bitwiseOR(hashed.cast("bigint").bitwiseAND(F.lit(2**32 - 1)))
+
+
+def char_anchors(text: Column) -> Column:
+    """Closed syncmers over the characters of a ``folded`` text in order, each as place of its first character (from 1)
+    * 2**32 + its 32-bit hash. A text of fewer than ``CHAR_K`` characters has one run, of all it has."""
+    found = F.regexp_extract_all(text, F.lit(rf"(?s)(?=(.{{{CHAR_S}}}))."), F.lit(1))
+    inner = F.transform(found, lambda run: F.xxhash64(run))
+    width = CHAR_K - CHAR_S + 1
+
+    def of_hashes(hashes: Column) -> Column:
+        def at_edge(first: Column, place: Column) -> Column:
+            between = [F.get(hashes, place + F.lit(k)) for k in range(1, width - 1)]
+            last = F.get(hashes, place + F.lit(width - 1))
+            # First and last inner run together hold the whole run, as CHAR_K = 2 * CHAR_S.
+            return F.when(F.least(first, last) <= F.least(*between), _packed(place + F.lit(1), F.hash(first, last)))
+
+        starts = F.slice(hashes, F.lit(1), F.greatest(F.size(hashes) - F.lit(width - 1), F.lit(0)))
+        return F.array_compact(F.transform(starts, at_edge))
+
+    whole = F.array(_packed(F.lit(1), F.hash(text)))
+    size = F.length(text)
+    return F.when(size == 0, F.slice(whole, 1, 0)).when(size < CHAR_K, whole).otherwise(_let(inner, of_hashes))
+
+
+def spliced(marks: Column, head: Column, others: Column, tail: Column) -> Column:
+    """``char_anchors`` of a text made of the folded start ``head`` of one text and ``tail`` of another, from the anchors
+    of both. An anchor depends on its own characters alone, so only runs across the seam are looked at anew."""
+    a, b, reach = F.length(head), F.length(tail), CHAR_K - 1
+    before = F.least(a, F.lit(reach))
+    seam = F.concat(F.substring(head, a - before + 1, before), F.substring(tail, F.lit(1), F.lit(reach)))
+
+    def within(places: Column, size: Column) -> Column:
+        limit = F.shiftleft((F.greatest(size - reach, F.lit(0)) + 1).cast("bigint"), 32)
+        return _let(limit, lambda limit: F.filter(places, lambda mark: mark < limit))
+
+    def moved(places: Column, by: Column) -> Column:
+        shift = F.shiftleft(by.cast("bigint"), 32)
+        return _let(shift, lambda shift: F.transform(places, lambda mark: mark + shift))
+
+    across = F.when(F.length(seam) < CHAR_K, F.slice(marks, 1, 0)).otherwise(moved(char_anchors(seam), a - before))
+    made = F.concat(within(marks, a), across, moved(within(others, b), a))
+    return F.when(a + b < CHAR_K, char_anchors(F.concat(head, tail))).otherwise(made)
+
+
+def char_hashes(marks: Column) -> Column:
+    """The 32-bit hashes of ``char_anchors`` in order."""
+    return F.transform(marks, lambda mark: F.shiftright(F.shiftleft(mark, 32), 32).cast("int"))
+
+
+def _shared(one: Column, two: Column) -> Column:
     common, all_of = F.size(F.array_intersect(one, two)), F.size(F.array_union(one, two))
     return F.when(all_of == 0, F.lit(1.0)).otherwise(common / all_of)
 
@@ -106,7 +170,8 @@ def fingerprint_documents(docs: DataFrame, *, ranges: int | None = None) -> Data
     next document's, in descending order of ``doc_id``; the first document follows the last. Rows of equal ids follow in
     the order of their texts' hashes, then texts; rows without an id come last. A null text is empty. A single document
     is its own next. Returns ``doc_id``, ``n_chars``, ``edited_sha256``, ``fingerprint``, ``edited_fingerprint``,
-    ``near_edited``, ``near_next``; other columns are not read.
+    ``near_edited``, ``near_next``; and of the anchors over characters, which short texts have several of, too,
+    ``char_hashes``, ``edited_char_hashes``, ``near_edited_chars``, ``near_next_chars``. Other columns are not read.
 
     Ids are dealt to ranges of about equal size, each sorted by itself; the row that follows a range's last is sent to
     that range as well. Texts are shuffled once.
@@ -128,13 +193,26 @@ def fingerprint_documents(docs: DataFrame, *, ranges: int | None = None) -> Data
         F.when(F.col("doc_id").eqNullSafe(F.lit(largest).cast("bigint")), wraps),
     )
     dealt = rows.select("doc_id", "text", F.inline(F.array_compact(places)))
-    marked = dealt.repartition("range").withColumn("marks", anchors(F.col("text")))
+    marked = dealt.repartition("range").withColumns(
+        {"marks": anchors(F.col("text")), "char_marks": char_anchors(folded(F.col("text")))}
+    )
     order = Window.partitionBy("range").orderBy("guest", F.desc_nulls_last("doc_id"), F.xxhash64("text"), "text")
-    following = F.lead(F.struct("text", "marks")).over(order)
+    following = F.lead(F.struct("text", "marks", "char_marks")).over(order)
     paired = marked.withColumn("next", following).filter("guest = 0")
     size, half = F.length("text"), F.floor(F.length("text") / 2).cast("int")
-    edited = F.concat(F.substring("text", F.lit(1), size - half), F.substring(F.col("next.text"), F.lit(1), half))
-    both = paired.withColumn("edited", edited).withColumn("edited_marks", anchors(F.col("edited")))
+    head, tail = F.substring("text", F.lit(1), size - half), F.substring(F.col("next.text"), F.lit(1), half)
+    chars = spliced(F.col("char_marks"), folded(head), F.col("next.char_marks"), folded(tail))
+    both = (
+        paired.withColumns({"edited": F.concat(head, tail), "edited_char_marks": chars})
+        .withColumn("edited_marks", anchors(F.col("edited")))
+        .withColumns(
+            {
+                "char_hashes": char_hashes(F.col("char_marks")),
+                "edited_char_hashes": char_hashes(F.col("edited_char_marks")),
+                "next_char_hashes": char_hashes(F.col("next.char_marks")),
+            }
+        )
+    )
     return both.select(
         "doc_id",
         size.cast("bigint").alias("n_chars"),
@@ -143,4 +221,8 @@ def fingerprint_documents(docs: DataFrame, *, ranges: int | None = None) -> Data
         fingerprint(F.col("edited_marks")).alias("edited_fingerprint"),
         likeness(F.col("marks"), F.col("edited_marks")).alias("near_edited"),
         likeness(F.col("marks"), F.col("next.marks")).alias("near_next"),
+        "char_hashes",
+        "edited_char_hashes",
+        _shared(F.col("char_hashes"), F.col("edited_char_hashes")).alias("near_edited_chars"),
+        _shared(F.col("char_hashes"), F.col("next_char_hashes")).alias("near_next_chars"),
     )

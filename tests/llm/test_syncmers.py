@@ -105,3 +105,44 @@ def test_plan_is_native(spark):
     docs = spark.read.parquet(f"{TESTDATA}/sf0.001/documents.parquet")
     plan = S.fingerprint_documents(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and plan.split("Initial Plan")[-1].count("Exchange hash") == 1
+
+
+def _plain_chars(text):
+    """Closed syncmers over characters by their definition: (place from 1, signed 32-bit hash)."""
+    text = "".join(char.lower() if char != "Σ" else "σ" for char in text or "")
+    if len(text) < S.CHAR_K:
+        return [(1, _signed(_hash_strings([text]), 32))] if text else []
+    hashes = [
+        _signed(xxhash.xxh64_intdigest(text[k : k + S.CHAR_S].encode(), seed=42)) for k in range(len(text) - S.CHAR_S + 1)
+    ]
+    width = S.CHAR_K - S.CHAR_S + 1
+    windows = [(k + 1, hashes[k : k + width]) for k in range(len(hashes) - width + 1)]
+    return [
+        (place, _signed(_hash_longs([run[0], run[-1]]), 32))
+        for place, run in windows
+        if min(run) in (run[0], run[-1])
+    ]
+
+
+def test_anchors_over_characters(spark):
+    """Of every text, and of every edited text, although these are spliced from the anchors of whole texts."""
+    odd = ["", None, "a", "ab", "abcde", "abcdef", "ΟΔΟΣ ΣΑ", "x\U0001f389y\U0001f389\U0001f389zz\nİstanbul",
+           "De.", "Avec ceci.", "aaaaaaaaaaaaaaaa", "日本語テキスト日本語", "One TWO three", "ab" * 50]
+    texts = [row["text"] for row in spark.read.parquet(f"{TESTDATA}/sf0.001/documents.parquet").select("text").collect()]
+    texts = odd + texts + odd[::-1] + odd[::2]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    rows = {row["doc_id"]: row for row in S.fingerprint_documents(docs, ranges=3).collect()}
+    for number, text in enumerate(texts):
+        text, after = text or "", texts[number - 1] or ""
+        row, half = rows[number], len(text) // 2
+        hashes = [[mark for _, mark in _plain_chars(t)] for t in (text, text[: len(text) - half] + after[:half], after)]
+        assert (row["char_hashes"], row["edited_char_hashes"]) == (hashes[0], hashes[1])
+        assert row["near_edited_chars"] == pytest.approx(_likeness(hashes[0], hashes[1]))
+        assert row["near_next_chars"] == pytest.approx(_likeness(hashes[0], hashes[2]))
+
+
+def test_half_of_a_short_text_leaves_shared_anchors(spark):
+    """Half of 16 characters holds a run that is kept, whatever it is."""
+    texts = ["The shorter texts.", "Six words are not very many", "abcdefghijklmnop", "Die tzeiten ändern sich"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert all(row["near_edited_chars"] > 0 for row in S.fingerprint_documents(docs).collect())
