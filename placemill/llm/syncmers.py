@@ -3,7 +3,8 @@
 The alphabet is that of tokens: lower-cased runs of characters that are no white space, cut after ``LONGEST``
 characters; ideographs stand alone. Of all runs of ``K`` tokens those are kept whose smallest inner run of ``S`` tokens
 (by hash) is the first or the last. Whether a run is kept depends on its own tokens alone, so it is kept wherever it
-occurs, and at least one of any few neighbouring runs is kept.
+occurs, and at least one of any few neighbouring runs is kept. The cut counts from where a run without white space
+begins, so a long unspaced passage has other tokens at another offset; its character anchors (below) are the same.
 
 Token anchors are coarse: a text of fewer than ``K`` tokens has only one. Every text therefore also has anchors over its
 characters, by the same rule with ``CHAR_K`` and ``CHAR_S``: any 2 * CHAR_K - CHAR_S - 1 = 8 of them hold one.

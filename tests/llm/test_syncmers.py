@@ -146,3 +146,12 @@ def test_half_of_a_short_text_leaves_shared_anchors(spark):
     texts = ["The shorter texts.", "Six words are not very many", "abcdefghijklmnop", "Die tzeiten ändern sich"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
     assert all(row["near_edited_chars"] > 0 for row in S.fingerprint_documents(docs).collect())
+
+
+@pytest.mark.parametrize("alphabet", ["กขคงจฉชซฌญ", "ཀཁགངཅཆཇཉཏཐ", "abcXYZ0189+/"])
+def test_an_unspaced_passage_keeps_its_anchors_at_any_offset(spark, alphabet):
+    passage = "".join(alphabet[k * k * 7 % 101 % len(alphabet)] for k in range(150))
+    texts = [passage, alphabet[:5] + passage, alphabet[3:] * 3 + passage + alphabet]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {row["doc_id"]: set(row["char_hashes"]) for row in S.fingerprint_documents(docs).collect()}
+    assert len(found[0]) > 5 and found[0] <= found[1] and found[0] <= found[2]
