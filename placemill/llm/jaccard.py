@@ -1,9 +1,10 @@
 """N-gram Jaccard join: MinHash bands propose pairs, Bayesian pruning drops most, the rest are verified exactly.
 
 A document stands for its set of five-word shingles. Documents with the same words are one node. Pairs of nodes are
-compared inside buckets (equal band of the signature), a bounded block of members against another, so that neither the
-pairs nor a large bucket are ever written out: each block returns one row for each member, with the number of its links
-and the block's connected components.
+compared inside buckets (equal band of the signature), a bounded block of members against another, so that no task holds
+a large bucket. Pruning returns one row for each member of a block, with the keys of all its partners that survived: these
+pairs are written, and n different near copies make n(n-1)/2 of them. Verification returns one row for each member, with
+the number of its links and the block's connected components.
 """
 
 from __future__ import annotations
