@@ -13,6 +13,10 @@ for _pattern, _by in ((r"([?&])utm_[^&]*", r"\1"), ("&+", "&"), (r"\?&", "?"), (
 _SPACE, _WORD = r"[^ \t\n\r]+", r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _CLEAN = "regexp_replace(coalesce(text, ''), '[%*&$#!|]+', '', 'g')"
 _COUNT = "len(regexp_extract_all({0}, '{1}'))"
+# crc32 of a text, as DuckDB has none: a byte at a time, of each byte a bit at a time.
+_BYTES = "list_transform(range(octet_length(encode({0}))), lambda i: CAST('0x' || substr(hex(encode({0})), 2 * i + 1, 2) AS BIGINT))"
+_BIT = "list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b: xor(a >> 1, 3988292384 * (a & 1)))"
+_CRC32 = f"xor(list_reduce({_BYTES}, lambda crc, byte: {_BIT}, CAST(4294967295 AS BIGINT)), 4294967295)"
 
 ORACLES: dict[str, str] = {
     "op3_url_filter": rf"""
@@ -77,5 +81,34 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
   CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM doc LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
+""",
+    "op13_conversation_prefix_trie": f"""
+WITH turn AS (
+  SELECT conv_id, [coalesce(role, ''), coalesce(text, '')] AS said,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS place
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (
+  SELECT conv_id, list(said ORDER BY place) AS said, {_CRC32.format("CAST(conv_id AS VARCHAR)")} % 6 AS h
+  FROM turn GROUP BY conv_id),
+rebuilt AS (
+  SELECT o.conv_id, list_concat(coalesce(b.said, [])[:o.h], o.said[o.h + 1:]) AS said
+  FROM own o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 100),
+node AS (
+  SELECT d AS depth, said[:d] AS path, min(conv_id) AS conv_id, count(*) AS n_convs,
+    coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (len(said) = d), '') AS ends
+  FROM rebuilt, unnest(generate_series(0, len(said))) AS t(d) GROUP BY depth, path),
+hung AS (
+  SELECT n.*, p.conv_id AS parent_conv_id, CASE WHEN n.depth = 0 THEN 0 ELSE (n.n_convs - 1) * length(n.path[-1][2]) END AS saved
+  FROM node n LEFT JOIN node p ON p.depth = n.depth - 1 AND p.path = n.path[:n.depth - 1]),
+child AS (
+  SELECT depth - 1 AS depth, parent_conv_id AS conv_id, count(*) AS n_children FROM hung WHERE depth > 0 GROUP BY ALL),
+counted AS (
+  SELECT hung.*, coalesce(n_children, 0) AS n_children FROM hung LEFT JOIN child USING (depth, conv_id)),
+subtree AS (
+  SELECT a.depth, a.path, sum(CASE WHEN b.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum(b.saved) AS saved_tokens
+  FROM counted a JOIN counted b ON b.depth >= a.depth AND b.path[:a.depth] = a.path GROUP BY a.depth, a.path)
+SELECT conv_id, depth, parent_conv_id, n_convs, n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+  CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(ends) AS ends_sha256
+FROM counted JOIN subtree USING (depth, path)
 """,
 }

@@ -12,6 +12,7 @@ from placemill.llm import bpe, langid, quality
 from placemill.llm.decontaminate import find_contamination
 from placemill.llm.jaccard import similar_documents
 from placemill.llm.materialise import materialise
+from placemill.llm.prefixes import conversation_trie
 from placemill.llm.rollups import TOKENIZERS, Rollup, count_tokens, deleted, inserted, revised
 from placemill.llm.sharding import shard_records
 from placemill.llm.syncmers import fingerprint_documents
@@ -132,6 +133,10 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return find_contamination(documents, benchmark, keep=["doc_id"])
 
 
+def op13_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(_table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     function.__name__: function
     for function in (
@@ -145,5 +150,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_ngram_jaccard_join,
         op9_training_order,
         op10_benchmark_decontamination,
+        op13_conversation_prefix_trie,
     )
 }

@@ -12,6 +12,7 @@ TABLES = {
     "benchmark": "item_id bigint, text string",
     "labels": "doc_id bigint, quality bigint, toxic bigint",
     "pages": "page_id bigint, url string, html string, host string, verdict string, w0 string, block string",
+    "conversations": "conv_id bigint, turn bigint, role string, text string, depth string, level string, prior string",
 }
 PER_DOCUMENT = [
     "op1_language_id",
@@ -35,6 +36,7 @@ def folder(spark, tmp_path, awkward):
             "pages": [(1, None, None, "h", "v", "w", "b"), (2, "", "", "h", "v", "w", "b"), (2, "no scheme", "", "", "", "", ""),
                       (3, "http://Spam-Farm.example.NET", "", "", "", "", ""), (3, "http://x.org?a://b", "", "", "", "", ""),
                       (4, "x://a.com/de/" + "y" * 50_000, "", "", "", "", "")],
+            "conversations": [(1, None, None, None, "", "", ""), (1, 1, "user", "x" * 50_000, "", "", ""), (None, 1, "a", "b", "", "", "")],
         }
         (awkward.limit(0) if empty else awkward).write.parquet(f"{tmp_path}/documents.parquet")
         for name, schema in TABLES.items():
