@@ -89,6 +89,12 @@ def _blocks_of(turns: DataFrame, first: int, further: int) -> DataFrame:
     return turns.sparkSession.read.schema(cut.schema).parquet(path)
 
 
+def _stored(frame: DataFrame, root: str, block: int) -> DataFrame:
+    """The rows of a block, written below ``root``; all blocks are later read as one table."""
+    frame.write.parquet(f"{root}/block={block}")
+    return frame.sparkSession.read.schema(frame.schema).parquet(f"{root}/block={block}")
+
+
 def _wide(cut: DataFrame, block: int, width: int) -> DataFrame:
     """Rows (conv_id, t0 ..): the turns of a block by position, null behind the last."""
     cells = [F.expr(f"max(CASE WHEN cell = {k} THEN turn END) AS t{k}") for k in range(width)]
@@ -181,7 +187,8 @@ def prefix_trie(
     blocks = 1 + max(0, -(-(longest - first_block) // next_block))
     alive = lengths.select("conv_id", "length", F.lit(0).cast("bigint").alias("prior"))
     measures = [F.min("conv_id").alias("conv_id"), F.count(F.lit(1)).alias("n_convs")]
-    nodes, ends, offset = [], [], 0
+    nodes, offset = [], 0
+    roots = [scratch_path(turns.sparkSession, name) for name in ("nodes", "placed", "subtrees")]
     for block in range(blocks):
         width = next_block if block else first_block
         names = _columns(width)
@@ -200,7 +207,7 @@ def prefix_trie(
             F.expr(parent).alias("parent"),
             (F.col("level") + F.lit(offset)).cast("bigint").alias("depth"),
         )
-        found = pin(found, "nodes")
+        found = _stored(found, roots[0], block)
         nodes.append(found)
         # Each conversation meets the node of the path that it has in this block: there it ends, or goes on below it.
         size = F.least(F.col("length") - offset, F.lit(width)).alias("size")
@@ -208,16 +215,17 @@ def prefix_trie(
             "__key", F.expr(f"CASE WHEN size = 0 THEN X'' ELSE {_key(block, 'size', width)} END")
         )
         of = found.select(F.col("key").alias("__key"), F.col("conv_id").alias("node"))
-        placed = pin(keyed.select("conv_id", "length", "__key").join(of, "__key").drop("__key"), "placed")
         offset += width
-        ends.append(placed.filter(F.col("length") <= offset).select(F.col("length").alias("depth"), "node", "conv_id"))
-        alive = placed.filter(F.col("length") > offset).select("conv_id", "length", F.col("node").alias("prior"))
-    return _measured(nodes, ends, blocks, first_block, next_block)
+        placed = keyed.join(of, "__key").select("conv_id", "length", "node", (F.col("length") <= offset).alias("ends"))
+        placed = _stored(placed, roots[1], block)
+        alive = placed.filter("NOT ends").select("conv_id", "length", F.col("node").alias("prior"))
+    return _measured(nodes, roots, first_block, next_block)
 
 
-def _measured(nodes: list[DataFrame], ends: list[DataFrame], blocks: int, first: int, further: int) -> DataFrame:
-    slim = ["key", "parent", "depth", "conv_id", "n_convs"]
-    every = reduce(DataFrame.unionByName, [found.select("prior", "level", *slim) for found in nodes])
+def _measured(nodes: list[DataFrame], roots: list[str], first: int, further: int) -> DataFrame:
+    reader = nodes[0].sparkSession.read
+    slim = "key binary, parent binary, depth bigint, conv_id bigint, n_convs bigint, prior bigint"
+    every = reader.schema(slim).parquet(roots[0])
     # The first level of a later block hangs on the node that the block continues.
     above = every.select(F.col("key").alias("__above"), F.col("conv_id").alias("parent_conv_id"))
     inside = every.filter("parent IS NOT NULL").join(above, F.col("parent") == F.col("__above")).drop("__above")
@@ -229,8 +237,9 @@ def _measured(nodes: list[DataFrame], ends: list[DataFrame], blocks: int, first:
         (F.col("depth") - 1).alias("depth"), F.col("parent_conv_id").alias("conv_id")
     ).agg(F.count(F.lit(1)).alias("n_children"))
     children = pin(children, "children")
-    sums = _subtrees(nodes, children, blocks, first, further)
-    digests = _ends_digest(reduce(DataFrame.unionByName, ends)).withColumnRenamed("node", "conv_id")
+    sums = _subtrees(nodes, children, roots[2], first, further)
+    placed = reader.schema("conv_id bigint, length bigint, node bigint, ends boolean").parquet(roots[1]).filter("ends")
+    digests = _ends_digest(placed.select(F.col("length").alias("depth"), "node", "conv_id")).withColumnRenamed("node", "conv_id")
     names = ["depth", "conv_id"]
     return (
         hung.join(children, names, "left")
@@ -249,10 +258,10 @@ def _measured(nodes: list[DataFrame], ends: list[DataFrame], blocks: int, first:
     )
 
 
-def _subtrees(nodes: list[DataFrame], children: DataFrame, blocks: int, first: int, further: int) -> DataFrame:
+def _subtrees(nodes: list[DataFrame], children: DataFrame, root: str, first: int, further: int) -> DataFrame:
     """Rows (depth, conv_id, n_leaves, saved_tokens): sums over each node's subtree, from the last block to the first."""
-    totals, below = [], None
-    for block in reversed(range(blocks)):
+    below = None
+    for block in reversed(range(len(nodes))):
         width = further if block else first
         names = _columns(width)
         own = nodes[block].join(children, ["depth", "conv_id"], "left").select(
@@ -277,11 +286,13 @@ def _subtrees(nodes: list[DataFrame], children: DataFrame, blocks: int, first: i
                 F.min(F.struct("depth", "conv_id")).alias("top"),
             ],
         )
-        summed = pin(summed.select("prior", "level", "n_leaves", "saved_tokens", "top.depth", "top.conv_id"), "subtrees")
-        totals.append(summed.filter("level > 0") if block else summed)
+        summed = summed.select("prior", "level", "n_leaves", "saved_tokens", "top.depth", "top.conv_id")
+        summed = _stored(summed, root, block)
         below = summed.filter("level = 0")
-    wanted = ["depth", "conv_id", "n_leaves", "saved_tokens"]
-    return reduce(DataFrame.unionByName, [part.select(*wanted) for part in totals])
+    schema = "level int, n_leaves bigint, saved_tokens bigint, depth bigint, conv_id bigint, block int"
+    stored = nodes[0].sparkSession.read.schema(schema).parquet(root)
+    # The top of a later block is a node of the one before, which has its sums.
+    return stored.filter("level > 0 OR block = 0").select("depth", "conv_id", "n_leaves", "saved_tokens")
 
 
 def _nothing(turns: DataFrame) -> DataFrame:
