@@ -1,8 +1,8 @@
 """Words and word n-grams of many texts at once, in numpy over UTF-8 bytes.
 
-A word is a run of ASCII digits, ASCII letters (A-Z lower-cased) and bytes of other characters, that is the pattern
-``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after lower-casing A-Z. Words and n-grams are represented by 64-bit hashes that
-depend on their bytes alone, so they agree between tasks.
+A word is a run of an alphabet's bytes, by default of ASCII digits, ASCII letters and bytes of other characters; A-Z are
+lower-cased. Words and n-grams are represented by 64-bit hashes that depend on their bytes alone, so they agree between
+tasks.
 """
 
 from __future__ import annotations
@@ -17,36 +17,27 @@ import pyarrow.compute as pc
 #: Bytes of text that are worked on at once; a longer text is worked on alone.
 BLOCK_BYTES = 1_000_000
 
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_UNBASE = np.uint64(pow(int(_BASE), -1, 2**64))
+_PLACE = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
+#: For 0 .. 8 bytes a mask that keeps so many of a 64-bit number's lowest.
+_KEEP = np.array([(1 << 8 * count) - 1 for count in range(9)], np.uint64)
 
 
-def _byte_values() -> np.ndarray:
-    """Lower-cased byte plus one for bytes of words, zero for all others."""
-    values = np.zeros(256, np.uint64)
-    for byte in range(256):
-        char = byte + 32 if 65 <= byte <= 90 else byte
-        if 48 <= char <= 57 or 97 <= char <= 122 or char >= 128:
-            values[byte] = char + 1
-    return values
-
+class Alphabet(NamedTuple):
+    """Which bytes words are made of, and each byte with A-Z lowered."""
 
-_VALUES = _byte_values()
-_IS_WORD = _VALUES > 0
-_powers: dict[str, np.ndarray] = {}
+    inside: np.ndarray
+    lowered: np.ndarray
 
 
-def _power(base: np.uint64, size: int) -> np.ndarray:
-    """base ** 0 .. base ** (size - 1), modulo 2 ** 64."""
-    known = _powers.get(str(base))
-    if known is None or len(known) < size:
-        steps = np.full(max(size, BLOCK_BYTES + 1), base, np.uint64)
-        steps[0] = 1
-        known = np.cumprod(steps)
-        if size <= BLOCK_BYTES + 1:
-            _powers[str(base)] = known
-    return known[:size]
+_BYTES = np.arange(256, dtype=np.uint8)
+_LOWERED = np.where((_BYTES >= 65) & (_BYTES <= 90), _BYTES + 32, _BYTES).astype(np.uint8)
+#: ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+``: digits, letters, and all bytes of other characters.
+LETTERS_AND_DIGITS = Alphabet(
+    ((_LOWERED >= 48) & (_LOWERED <= 57)) | ((_LOWERED >= 97) & (_LOWERED <= 122)) | (_LOWERED >= 128), _LOWERED
+)
+#: ``[^\x20\x09-\x0D]+``: all but ASCII white space.
+UNSPACED = Alphabet((_BYTES != 32) & ((_BYTES < 9) | (_BYTES > 13)), _LOWERED)
 
 
 def mix(values: np.ndarray) -> np.ndarray:
@@ -105,11 +96,11 @@ def blocks(texts: pa.Array | pa.ChunkedArray, limit: int = BLOCK_BYTES) -> Itera
         first = stop
 
 
-def words_of(data: np.ndarray, offsets: np.ndarray) -> Words:
+def words_of(data: np.ndarray, offsets: np.ndarray, alphabet: Alphabet = LETTERS_AND_DIGITS) -> Words:
     """Words of the texts that ``blocks`` gave."""
     # A text's end also ends its last word.
     inside = np.zeros(len(data) + 1, np.int8)
-    inside[:-1] = _IS_WORD[data]
+    inside[:-1] = alphabet.inside[data]
     change = np.diff(inside, prepend=np.int8(0))
     starts, ends = change == 1, change == -1
     cut = offsets[1:-1]
@@ -118,7 +109,23 @@ def words_of(data: np.ndarray, offsets: np.ndarray) -> Words:
     starts[cut] = True
     ends[cut] = True
     starts, ends = np.flatnonzero(starts), np.flatnonzero(ends)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_VALUES[data] * _power(_BASE, len(data)), out=sums[1:])
-    hashes = mix((sums[ends] - sums[starts]) * _power(_UNBASE, len(data) + 1)[starts])
-    return Words(hashes, np.searchsorted(starts, offsets))
+    return Words(_hashes(alphabet.lowered[data], starts, ends), np.searchsorted(starts, offsets))
+
+
+def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of each run of bytes: the sum of its eight-byte pieces, each mixed with its place, mixed with its length.
+
+    Mixing every piece before they are summed leaves no linear relation between words that would make them collide.
+    """
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+    sizes = ends - starts
+    pieces = (sizes + 7) >> 3
+    first = np.cumsum(pieces) - pieces
+    owner = np.repeat(np.arange(len(starts)), pieces)
+    place = np.arange(len(owner)) - first[owner]
+    value = eight[starts[owner] + 8 * place] & _KEEP[np.minimum(sizes[owner] - 8 * place, 8)]
+    mixed = mix(value + place.astype(np.uint64) * _PLACE)
+    return mix(np.add.reduceat(mixed, first) + sizes.astype(np.uint64) * _STEP)
