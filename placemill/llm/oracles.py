@@ -81,6 +81,28 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
   CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM doc LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
+""",
+    "op12_minhash_near_dedup": f"""
+WITH RECURSIVE word AS (
+  SELECT doc_id, list_filter(regexp_split_to_array({_LOWER.format("coalesce(text, '')")}, '[ \\t\\n\\x0B\\f\\r]+'),
+    lambda w: w <> '') AS w FROM documents),
+shingle AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + least(len(w), 3) - 1], ' ') AS s
+  FROM word, unnest(generate_series(1, greatest(len(w) - 2, 1))) AS t(i) WHERE len(w) > 0),
+size AS (
+  SELECT doc_id, count(s) AS n FROM word LEFT JOIN shingle USING (doc_id) GROUP BY doc_id),
+pair AS (
+  SELECT a.doc_id AS one, b.doc_id AS two, count(*) AS common
+  FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+link AS (
+  SELECT one, two FROM pair JOIN size x ON x.doc_id = one JOIN size y ON y.doc_id = two
+  WHERE 100 * common >= 85 * (x.n + y.n - common)),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM size
+  UNION
+  SELECT reach.doc_id, link.two FROM reach JOIN link ON link.one = reach.other)
+SELECT size.doc_id, n AS n_shingles, min(other) AS component_id, size.doc_id = min(other) AS kept
+FROM size JOIN reach ON reach.doc_id = size.doc_id GROUP BY size.doc_id, n
 """,
     "op13_conversation_prefix_trie": f"""
 WITH turn AS (

@@ -16,6 +16,7 @@ from placemill.llm.prefixes import conversation_trie
 from placemill.llm.rollups import TOKENIZERS, Rollup, count_tokens, deleted, inserted, revised
 from placemill.llm.sharding import shard_records
 from placemill.llm.syncmers import fingerprint_documents
+from placemill.llm.tensored import near_duplicates
 from placemill.llm.urlfilter import Rule, canonical, filter_urls, host_of
 from placemill.staging import pin, scratch_path
 
@@ -133,6 +134,10 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return find_contamination(documents, benchmark, keep=["doc_id"])
 
 
+def op12_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op13_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_trie(_table(spark, sf_dir, "conversations"))
 
@@ -150,6 +155,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_ngram_jaccard_join,
         op9_training_order,
         op10_benchmark_decontamination,
+        op12_minhash_near_dedup,
         op13_conversation_prefix_trie,
     )
 }
