@@ -81,6 +81,39 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
   CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM doc LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
+""",
+    "op11_spelling_variants": f"""
+WITH RECURSIVE run AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+    unnest(regexp_extract_all({_LOWER.format("text")}, '[a-zÀ-ÿ]{{6,}}')) AS r FROM documents),
+hashed AS (
+  SELECT r, {_CRC32.format("id || ':' || r")} AS h FROM run),
+vocabulary AS (
+  SELECT word, count(*) AS n FROM (
+    SELECT CASE WHEN h % 199 = 0 THEN substr(r, 1, h % length(r)) || substr(r, h % length(r) + 2) ELSE r END AS word FROM hashed)
+  WHERE length(word) >= 6 GROUP BY word HAVING count(*) >= 5),
+without AS (
+  SELECT word, p, substr(word, 1, p - 1) || substr(word, p + 1) AS rest
+  FROM vocabulary, unnest(generate_series(1, length(word))) AS t(p)),
+near AS (
+  SELECT a.word, b.word AS other FROM without a JOIN without b ON a.rest = b.rest AND a.p = b.p AND a.word <> b.word
+  UNION
+  SELECT w.word, v.word FROM without w JOIN vocabulary v ON v.word = w.rest
+  UNION
+  SELECT v.word, w.word FROM without w JOIN vocabulary v ON v.word = w.rest),
+best AS (
+  SELECT near.word, count(*) AS n_near, list(other ORDER BY n DESC, other)[1] AS top, max(n) AS top_n
+  FROM near JOIN vocabulary v ON v.word = near.other GROUP BY near.word),
+formed AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN top_n >= 5 * n THEN top END AS form,
+    CASE WHEN top_n >= 5 * n THEN top_n END AS form_n
+  FROM vocabulary v LEFT JOIN best ON best.word = v.word),
+climb(word, root, further) AS (
+  SELECT word, word, form FROM formed
+  UNION ALL
+  SELECT climb.word, f.word, f.form FROM climb JOIN formed f ON f.word = climb.further)
+SELECT f.word, form, root, n, n_near, form_n
+FROM formed f JOIN climb ON climb.word = f.word AND climb.further IS NULL
 """,
     "op12_minhash_near_dedup": f"""
 WITH RECURSIVE word AS (

@@ -18,6 +18,7 @@ from placemill.llm.sharding import shard_records
 from placemill.llm.syncmers import fingerprint_documents
 from placemill.llm.tensored import near_duplicates
 from placemill.llm.urlfilter import Rule, canonical, filter_urls, host_of
+from placemill.llm.variants import spelling_variants
 from placemill.staging import pin, scratch_path
 
 URL_RULES = [
@@ -134,6 +135,10 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return find_contamination(documents, benchmark, keep=["doc_id"])
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(_table(spark, sf_dir, "documents"))
+
+
 def op12_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -155,6 +160,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_ngram_jaccard_join,
         op9_training_order,
         op10_benchmark_decontamination,
+        op11_spelling_variants,
         op12_minhash_near_dedup,
         op13_conversation_prefix_trie,
     )
