@@ -37,5 +37,5 @@ from placemill.sinks import (
     write_landing,
     write_table,
 )
-from placemill.sources import read_landing, read_layer, read_page_files
+from placemill.sources import read_landing, read_layer, read_page_files, split_landing
 from placemill.staging import pin, scratch

@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,6 +10,9 @@ from placemill.functions.paging import record_seq
 # Bodies that decode to an empty page: an empty list, or any other JSON value that counts as nothing.
 _EMPTY_BODY = r'^\s*(\[\s*\]|\{\s*\}|""|null|false|-?0+(\.0*)?)\s*\z'
 
+#: Keys beyond the declared ones that may become columns.
+MOST_KEYS = 1000
+
 
 def first_bad_page(pages: DataFrame, *, max_pages: int | None = None) -> DataFrame:
     """One row, one column ``stop``: the number of the page at which reading stops.
@@ -49,6 +52,35 @@ def _up_to(pages: DataFrame, max_pages: int | None) -> DataFrame:
     return pages.filter(F.col("page") <= max_pages) if max_pages else pages
 
 
+def _list_text() -> Column:
+    """The body of a page, which must be a JSON list."""
+    no_list = F.raise_error(F.concat(F.lit("no JSON list in page "), F.col("page").cast("string"))).cast("string")
+    return F.when(F.col("body").rlike(r"^\s*\["), F.col("body")).otherwise(no_list)
+
+
+def other_keys(pages: DataFrame, stop: int, record_schema: T.StructType, *, most: int = MOST_KEYS) -> list[T.StructField]:
+    """Fields for the keys that records before page ``stop`` have and ``record_schema`` lacks, sorted by name.
+
+    All are text, as the declared fields are: a key that holds a text here and a number there is one column, and the text
+    of a number, list or object is its JSON. Keys are collected in each task, so names alone are shuffled. Records that
+    use keys for data would make a column of each; with more than ``most`` such keys, or keys that differ from each other
+    or from another column only in case, which columns cannot, the call fails and ``rest`` is the way to keep them.
+    """
+    read = pages.filter((F.col("page") >= 1) & (F.col("status") == 200) & (F.col("page") < stop))
+    records = read.select(F.explode(F.from_json(_list_text(), "array<map<string, string>>", {"mode": "FAILFAST"})).alias("record"))
+    names = records.select(F.explode(F.map_keys("record")).alias("name")).distinct()
+    names = names.filter(~F.col("name").isin(record_schema.names))
+    found = sorted(row["name"] for row in names.limit(most + 1).collect())
+    if len(found) > most:
+        raise ValueError(f"records have more than {most} keys beyond their schema; name a column for them with rest=")
+    taken = {name.lower() for name in (*record_schema.names, S.LOAD_SEQ, "page", "pos")}
+    for name in found:
+        if name.lower() in taken:
+            raise ValueError(f"key {name} clashes with another column; name a column for unknown keys with rest=")
+        taken.add(name.lower())
+    return [T.StructField(name, T.StringType()) for name in found]
+
+
 def ingest_pages(
     pages: DataFrame,
     *,
@@ -59,6 +91,7 @@ def ingest_pages(
     stop: int | None = None,
     keep_position: bool = False,
     rest: str | None = None,
+    extra: bool = True,
 ) -> DataFrame:
     """Records of the pages before the first bad one, from rows (page, status, body), one for each page.
 
@@ -67,15 +100,18 @@ def ingest_pages(
     the landing order ``load_seq``, and with ``keep_position`` also ``page`` and ``pos``. Pass ``stop`` when it is
     known: it then filters the scan instead of being worked out first.
 
-    Fields that ``record_schema`` does not name are left out, unless ``rest`` names a column for them: it holds them as
-    a JSON object of texts, null where there are none. Each record is then decoded twice.
+    The columns are the union of all records' keys: fields that ``record_schema`` does not name become columns of text
+    behind it, in the order of their names (see :func:`other_keys`; this reads the pages before the stop once more, when
+    the function is called). ``extra=False`` leaves such fields out. ``rest`` instead names one column for them: it holds
+    them as a JSON object of texts, null where there are none; each record is then decoded twice.
     """
     pages = _up_to(pages, page_limit(max_pages, total_count, per_page))
+    if extra and rest is None:
+        stop = first_bad_page(pages).first()["stop"] if stop is None else stop
+        record_schema = T.StructType([*record_schema, *other_keys(pages, stop, record_schema)])
     limit = F.lit(stop) if stop is not None else first_bad_page(pages).scalar()
-    no_list = F.raise_error(F.concat(F.lit("no JSON list in page "), F.col("page").cast("string"))).cast("string")
-    text = F.when(F.col("body").rlike(r"^\s*\["), F.col("body")).otherwise(no_list)
     strict = {"mode": "FAILFAST"}
-    decoded = F.from_json(text, T.ArrayType(T.StringType() if rest else record_schema), strict)
+    decoded = F.from_json(_list_text(), T.ArrayType(T.StringType() if rest else record_schema), strict)
     # Not posexplode: from it Spark infers size(decoded) > 0 and may decode pages before the stop filter drops them.
     records = (
         pages.filter((F.col("page") >= 1) & (F.col("status") == 200) & (F.col("page") < limit))

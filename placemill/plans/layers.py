@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Callable, Sequence
 from typing import Literal
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,14 +27,23 @@ from placemill.operators import (
     rewrite_site,
 )
 from placemill.operators.ingest import page_limit
+from placemill.plans.ledger import Ledger, attempt, digest_of, fingerprint_of_pages
 from placemill.sinks import ensure_schemas, write_landing, write_table
-from placemill.sources import read_landing, read_layer
-from placemill.staging import pin, scratch
+from placemill.sinks.versions import current_version
+from placemill.sources import read_landing, read_layer, split_landing
+from placemill.staging import path_exists, pin, scratch
 
 
-def build_bronze(spark: SparkSession, landing: str, schema: T.StructType = S.LANDING_SCHEMA) -> DataFrame:
-    """Landed records, unchanged, with their landing order."""
-    return read_landing(spark, landing, schema)
+def build_bronze(
+    spark: SparkSession, landing: str, schema: T.StructType = S.LANDING_SCHEMA, *, rejects: str | None = None
+) -> DataFrame:
+    """Landed records, unchanged, with their landing order. A line that is no record fails the job, unless ``rejects``
+    names a table: then such lines go there, as rows (file, line), in place of those of an earlier call."""
+    if rejects is None:
+        return read_landing(spark, landing, schema)
+    split = split_landing(spark, landing, schema)
+    write_table(split.rejects, rejects)
+    return split.records
 
 
 def build_silver(
@@ -108,26 +118,68 @@ def run_pipeline(
     per_page: int = 50,
     record_schema: T.StructType = S.RECORD_SCHEMA,
     rest: str | None = S.REST,
+    ledger: str | None = None,
+    retries: int = 0,
     **silver_options,
 ) -> DataFrame | None:
     """Land the pages, then rebuild bronze, silver and gold, each from the stored layer before it.
 
-    Returns the gold table, or None if there was nothing to land; then nothing is written. An error stops the run.
-    ``max_pages``, ``total_count``, ``per_page``, ``record_schema`` and ``rest`` are those of :func:`ingest_pages`;
-    columns of the schema beyond the declared ones, and ``rest``, are kept up to silver. ``silver_options`` go to
-    :func:`build_silver`. Intermediate copies are deleted when the run ends.
+    Returns the gold table, or None if there was nothing to land; then nothing is written. An error stops the run, and
+    every layer stays as it was or is whole. ``max_pages``, ``total_count``, ``per_page``, ``record_schema`` and ``rest``
+    are those of :func:`ingest_pages`; columns beyond the declared ones, and ``rest``, are kept up to silver. ``silver_options`` go to :func:`build_silver`. Intermediate copies are deleted when the run ends.
+
+    ``ledger`` is a folder that notes each finished layer with a fingerprint of what it was made from: the pages, the
+    options that matter, the layer before. A run with the same pages and options goes on at the first layer that is not
+    noted or no longer stored as noted, and does not decode the pages again if they were landed. ``retries``: how often a
+    layer that fails is tried again by itself before the run stops.
     """
-    # One number, worked out once: it then filters the page scan of the landing. Each page before it has records.
-    stop = first_bad_page(pages, max_pages=page_limit(max_pages, total_count, per_page)).first()["stop"]
-    if stop <= 1:
-        return None
-    records = ingest_pages(pages, stop=stop, record_schema=record_schema, rest=rest)
-    write_landing(records, landing)
-    ensure_schemas(spark, *schemas, root=root)
     bronze, silver, gold = (f"{schema}.{table}" for schema in schemas)
-    write_table(build_bronze(spark, landing, records.schema), bronze)
-    with scratch(spark):
-        cleaned = build_silver(read_layer(spark, bronze), per_page=per_page, **silver_options)
-        write_table(cleaned, silver, partition_by=silver_partitions)
-    write_table(build_gold(read_layer(spark, silver), dense=dense), gold, partition_by=gold_partitions)
+
+    def land() -> dict:
+        # One number, worked out once: it then filters the page scan of the landing. Each page before it has records.
+        stop = first_bad_page(pages, max_pages=page_limit(max_pages, total_count, per_page)).first()["stop"]
+        if stop <= 1:
+            return {"schema": None}
+        records = ingest_pages(pages, stop=stop, record_schema=record_schema, rest=rest)
+        write_landing(records, landing)
+        return {"schema": records.schema.json()}
+
+    def make_bronze() -> dict:
+        ensure_schemas(spark, *schemas, root=root)
+        write_table(build_bronze(spark, landing, T.StructType.fromJson(json.loads(landed["schema"]))), bronze)
+        return {"version": current_version(spark, bronze)}
+
+    def make_silver() -> dict:
+        with scratch(spark):
+            cleaned = build_silver(read_layer(spark, bronze), per_page=per_page, **silver_options)
+            write_table(cleaned, silver, partition_by=silver_partitions)
+        return {"version": current_version(spark, silver)}
+
+    def make_gold() -> dict:
+        write_table(build_gold(read_layer(spark, silver), dense=dense), gold, partition_by=gold_partitions)
+        return {"version": current_version(spark, gold)}
+
+    def stored(name: str) -> Callable[[dict], bool]:
+        return lambda noted: noted["version"] is not None and noted["version"] == current_version(spark, name)
+
+    if ledger is None:
+        landed = attempt(land, retries)
+        if landed["schema"] is None:
+            return None
+        for make in (make_bronze, make_silver, make_gold):
+            attempt(make, retries)
+        return read_layer(spark, gold)
+    book = Ledger(spark, ledger)
+    options = (landing, max_pages, total_count, per_page, record_schema.json(), rest)
+    made_from = digest_of(fingerprint_of_pages(pages), *options)
+    there = lambda noted: noted["schema"] is None or path_exists(spark, f"{landing}/_SUCCESS")
+    landed = book.run("landing", made_from, land, still=there, retries=retries)
+    if landed["schema"] is None:
+        return None
+    made_from = digest_of(made_from, bronze)
+    noted = book.run("bronze", made_from, make_bronze, still=stored(bronze), retries=retries)
+    made_from = digest_of(made_from, noted["version"], silver, silver_partitions, silver_options)
+    noted = book.run("silver", made_from, make_silver, still=stored(silver), retries=retries)
+    made_from = digest_of(made_from, noted["version"], gold, gold_partitions, dense)
+    book.run("gold", made_from, make_gold, still=stored(gold), retries=retries)
     return read_layer(spark, gold)

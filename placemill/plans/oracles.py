@@ -168,6 +168,15 @@ SELECT * REPLACE (CASE WHEN nome IS NOT NULL THEN site END AS site) FROM silver"
     "medallion_gold_total": f"WITH {_SILVER_TOTAL} {_GOLD_STORED}",
     "medallion_unknown_field": f"""WITH {_INGESTED} SELECT id, CASE WHEN CAST(substr(id, 4) AS BIGINT) % 3 <> 0
   THEN '{{"rating":"' || CAST(CAST(substr(id, 4) AS BIGINT) % 5 AS VARCHAR) || '"}}' END AS other_fields FROM ingested""",
+    "medallion_resumed": f"WITH {_SILVER_INGESTED} {_GOLD_STORED}",
+    "table_after_failed_write": f"""WITH {_silver()}
+SELECT * REPLACE (nullif(estado, '') AS estado) FROM silver""",
+    "ingest_pages_unknown_field": f"""WITH {_INGESTED} SELECT *, CASE WHEN CAST(substr(id, 4) AS BIGINT) % 3 <> 0
+  THEN CAST(CAST(substr(id, 4) AS BIGINT) % 5 AS VARCHAR) END AS rating FROM ingested""",
+    "landing_rejects": f"""WITH {_RAW}
+SELECT *, NULL AS line FROM places_raw WHERE CAST(substr(id, 4) AS BIGINT) % 7 <> 0
+UNION ALL BY NAME
+SELECT '{{"id": "' || id || '"' AS line FROM places_raw WHERE CAST(substr(id, 4) AS BIGINT) % 7 = 0""",
     "first_page_failed": f"""WITH {_INGESTED} SELECT 'up' AS first_page, count(*) AS records FROM ingested
 UNION ALL SELECT 'down', 0""",
     "nothing_written_when_empty": """SELECT step, step = 'all' AS wrote, stored

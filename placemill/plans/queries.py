@@ -30,7 +30,7 @@ from placemill.operators import (
 from placemill.plans.fixtures import page_log, places_dup, places_raw, table
 from placemill.plans.layers import build_gold, build_silver, run_pipeline
 from placemill.sinks import ensure_schemas, write_dataset, write_if_nonempty, write_landing, write_table
-from placemill.sources import read_landing, read_layer, read_page_files
+from placemill.sources import read_landing, read_layer, read_page_files, split_landing
 from placemill.staging import pin, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -286,6 +286,24 @@ def q_table_partitioned_by_keys(spark, sf_dir):
     return read_layer(spark, name)
 
 
+@_query
+def q_table_after_failed_write(spark, sf_dir):
+    # The second write fails at its last records, when others are written already; the table is as the first left it.
+    name = f"{_scratch_schema(spark)}.silver"
+    silver = pin(build_silver(places_dup(spark, sf_dir)))
+    write_table(silver, name, partition_by=["estado"])
+    largest = silver.agg(F.max("id")).scalar()
+    oops = F.raise_error(F.lit("a record that cannot be written")).cast("string")
+    broken = silver.withColumn("nome", F.when(F.col("id") == largest, oops).otherwise(F.lit("second write")))
+    try:
+        write_table(broken, name, partition_by=["estado"])
+    except Exception as error:
+        if "cannot be written" not in str(error):
+            raise
+        return read_layer(spark, name)
+    raise RuntimeError("the second write should have failed")
+
+
 def _run(spark: SparkSession, pages: DataFrame, **options) -> tuple[DataFrame | None, tuple[str, ...]]:
     root = scratch_path(spark, "run")
     suffix = root.rsplit("-", 1)[1]
@@ -312,6 +330,20 @@ def q_medallion_unknown_field(spark, sf_dir):
     return read_layer(spark, f"{silver}.places").select("id", S.REST)
 
 
+@_query
+def q_medallion_resumed(spark, sf_dir):
+    # The first run fails in silver; the second goes on there, from the bronze table of the first.
+    log, root = page_log(spark, sf_dir), scratch_path(spark, "run")
+    suffix = root.rsplit("-", 1)[1]
+    schemas = tuple(f"{layer}_{suffix}" for layer in ("bronze", "silver", "gold"))
+    run = partial(run_pipeline, spark, log, f"{root}/landing", schemas=schemas, root=root, ledger=f"{root}/ledger")
+    try:
+        run(order=None, fill_site_first=False, impute="fill")
+    except ValueError:
+        return run()
+    raise RuntimeError("the first run should have failed")
+
+
 @_query
 def q_first_page_failed(spark, sf_dir):
     # Records that are ingested if the first page answers, and if it does not.
@@ -395,6 +427,12 @@ def q_ingest_pages(spark, sf_dir):
     return ingest_pages(page_log(spark, sf_dir))
 
 
+@_query
+def q_ingest_pages_unknown_field(spark, sf_dir):
+    # Two records of three have a seventeenth field; no option says so.
+    return ingest_pages(page_log(spark, sf_dir, extra=True))
+
+
 @_query
 def q_ingest_pages_total(spark, sf_dir):
     # The source announces half as many records as it holds: reading stops at the page that completes them.
@@ -418,6 +456,19 @@ def q_landing_roundtrip(spark, sf_dir):
     return read_landing(spark, path, S.RECORD_SCHEMA)
 
 
+@_query
+def q_landing_rejects(spark, sf_dir):
+    # Every seventh line is cut off behind its id.
+    path = scratch_path(spark, "landing")
+    places = places_raw(spark, sf_dir)
+    cut = F.concat(F.lit('{"id": "'), "id", F.lit('"'))
+    whole = F.to_json(F.struct(*S.SOURCE_COLUMNS))
+    broken = F.substr("id", F.lit(4)).cast("bigint") % 7 == 0
+    places.select(F.when(broken, cut).otherwise(whole).alias("line")).write.text(path)
+    landing = split_landing(spark, path, S.RECORD_SCHEMA)
+    return union_records(landing.records, landing.rejects.select("line"))
+
+
 def _write_twice(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
     path = scratch_path(spark, "dataset")
     write = partial(write_dataset, places_raw(spark, sf_dir), path, partition_by=["state"])

@@ -1,18 +1,20 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
+from placemill.sinks.versions import append_to, quoted, replace_table
+
 
 def ensure_schemas(spark: SparkSession, *names: str, root: str | None = None) -> None:
     """Create namespaces that do not exist yet; below the folder ``root`` if given, else in the warehouse."""
     for name in names:
-        quoted = "`" + name.replace("`", "``") + "`"
         if root:
-            spark.sql(f"CREATE SCHEMA IF NOT EXISTS {quoted} LOCATION :place", args={"place": f"{root.rstrip('/')}/{name}"})
+            spark.sql(f"CREATE SCHEMA IF NOT EXISTS {quoted(name)} LOCATION :place", args={"place": f"{root.rstrip('/')}/{name}"})
         else:
-            spark.sql(f"CREATE SCHEMA IF NOT EXISTS {quoted}")
+            spark.sql(f"CREATE SCHEMA IF NOT EXISTS {quoted(name)}")
 
 
 def write_if_nonempty(df: DataFrame, write: Callable[[DataFrame], None]) -> bool:
@@ -36,13 +38,26 @@ def write_table(
     mode: str = "overwrite",
     replace_schema: bool = True,
 ) -> None:
-    """Managed Parquet table. Unless ``replace_schema``, an existing table must have the same columns and types."""
+    """Parquet table ``schema.table``. Unless ``replace_schema``, an existing table must have the same columns and types.
+
+    Overwriting is one step (see :mod:`placemill.sinks.versions`): a write that fails half-way leaves the table as it was,
+    and the rows may come from the table itself. Appending adds files to what is there.
+    """
     spark = df.sparkSession
     if not replace_schema and spark.catalog.tableExists(name):
         stored, new = sorted(spark.table(name).dtypes), sorted(df.dtypes)
         if stored != new:
             raise ValueError(f"schema of {name} would change from {stored} to {new}")
-    _by_partition(df, partition_by).write.format("parquet").mode(mode).partitionBy(*partition_by).saveAsTable(name)
+    moved = _by_partition(df, partition_by)
+    if mode == "overwrite":
+        replace_table(moved, name, partial(_save, partition_by=partition_by))
+    elif mode != "append" or not append_to(moved, name, partial(_save, partition_by=partition_by, mode="append")):
+        _save(moved, name, partition_by=partition_by, mode=mode)
+
+
+def _save(df: DataFrame, name: str, folder: str | None = None, *, partition_by: Sequence[str], mode: str = "error") -> None:
+    writer = df.write.format("parquet").mode(mode).partitionBy(*partition_by)
+    (writer.option("path", folder) if folder else writer).saveAsTable(quoted(name))
 
 
 def write_dataset(df: DataFrame, path: str, *, partition_by: Sequence[str] = (), mode: str = "overwrite") -> None:

@@ -104,7 +104,7 @@ def test_rest(spark):
     assert [row.id for row in got] == ["a", None, "b", "c"]
     assert [row.others and json.loads(row.others) for row in got] == [
         {"extra": "1", "deep": '{"x":[1]}'}, None, {"extra": None}, None]
-    plain = pm.ingest_pages(df).orderBy(S.LOAD_SEQ).collect()
+    plain = pm.ingest_pages(df, extra=False).orderBy(S.LOAD_SEQ).collect()
     assert [tuple(row) for row in plain] == [tuple(row)[:-1] for row in got]
     with pytest.raises(Exception, match="MALFORMED|Malformed"):
         pm.ingest_pages(spark.createDataFrame([(1, 200, "[1]")], PAGES), rest="others").collect()
@@ -129,3 +129,33 @@ def test_page_files(spark, tmp_path):
     (tmp_path / "notes.json").write_text("[]")
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         pm.read_page_files(spark, str(tmp_path)).collect()
+
+
+def test_unknown_keys_become_columns(spark):
+    """A key that is text here, a number there, and null or missing elsewhere is one column of text."""
+    first = json.dumps([{"id": "a", "rating": "good", "tags": ["x", 1]}, None, {"id": "b", "rating": 4.5}])
+    second = json.dumps([{"id": "c", "rating": None, "open hours": {"mon": True}}, {"id": "d"}])
+    behind = json.dumps([{"id": "e", "late": 1}])
+    df = spark.createDataFrame([(1, 200, first), (2, 200, second), (3, 200, "[]"), (4, 200, behind), (5, 200, "{oops")], PAGES)
+    got = pm.ingest_pages(df, keep_position=True)
+    assert got.columns == [*S.SOURCE_COLUMNS, "open hours", "rating", "tags", "page", "pos", S.LOAD_SEQ]
+    found = {row.id: (row.rating, row.tags, row["open hours"]) for row in got.collect()}
+    assert found == {
+        "a": ("good", '["x",1]', None), None: (None, None, None), "b": ("4.5", None, None), "c": (None, None, '{"mon":true}'),
+        "d": (None, None, None)}
+    assert pm.ingest_pages(df, stop=2).columns == [*S.SOURCE_COLUMNS, "rating", "tags", S.LOAD_SEQ]
+    assert pm.ingest_pages(df.filter("page > 1")).columns == S.LANDING_SCHEMA.names
+
+
+@pytest.mark.parametrize("key", ["ID", "Load_Seq", "page"])
+def test_keys_that_cannot_be_columns(spark, key):
+    df = spark.createDataFrame([(1, 200, json.dumps([{"id": "a", key: "x"}]))], PAGES)
+    with pytest.raises(ValueError, match="rest="):
+        pm.ingest_pages(df)
+    assert json.loads(pm.ingest_pages(df, rest="others").first().others) == {key: "x"}
+
+
+def test_keys_that_are_data(spark):
+    df = spark.createDataFrame([(1, 200, json.dumps([{f"k{n}": 1} for n in range(1001)]))], PAGES)
+    with pytest.raises(ValueError, match="more than 1000"):
+        pm.ingest_pages(df)

@@ -2,6 +2,8 @@
 
 import json
 import uuid
+from collections import Counter
+from functools import partial
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +11,9 @@ from pyspark.sql import functions as F
 import placemill as pm
 from placemill import schema as S
 from placemill import staging
+from placemill.plans import layers
 from placemill.plans.fixtures import page_log, places_dup, places_raw
+from placemill.plans.ledger import fingerprint_of_pages
 from placemill.staging import SHARED_MOUNT, pin, scratch, shared_dir
 
 from .conftest import TESTDATA
@@ -104,6 +108,134 @@ def test_write_table_schema_change(spark, schemas):
     assert pm.read_layer(spark, name).columns == ["id"]
 
 
+def _failing(df, column="id"):
+    """Rows of which the last cannot be worked out."""
+    return df.withColumn(column, F.when(F.col("id") == 999, F.raise_error(F.lit("half-way")).cast("bigint")).otherwise(F.col(column)))
+
+
+@pytest.mark.parametrize("keys", [[], ["k"], ["k", "j"]])
+def test_failed_overwrite_leaves_the_table(spark, schemas, rows, keys):
+    name = f"{schemas[0]}.t"
+    pm.ensure_schemas(spark, schemas[0])
+    old = spark.range(10).selectExpr("id", "'a' k", "'b' j")
+    pm.write_table(old, name, partition_by=keys)
+    wanted, files = rows(old), set(pm.read_layer(spark, name).inputFiles())
+    new = _failing(spark.range(0, 1000, 1, 8)).selectExpr("id", "'c' k", "'d' j", "1 added")
+    for _ in range(2):
+        with pytest.raises(Exception, match="half-way"):
+            pm.write_table(new, name, partition_by=keys)
+        assert rows(pm.read_layer(spark, name), "id", "k", "j") == wanted
+    assert set(pm.read_layer(spark, name).inputFiles()) == files
+    assert [row.tableName for row in spark.sql(f"SHOW TABLES IN {schemas[0]}").collect() if row.tableName != "t"] != []
+    # A table may be made from itself, and readers of the version before are not disturbed.
+    reader = pm.read_layer(spark, name)
+    pm.write_table(reader.filter("id < 5"), name, partition_by=keys)
+    assert rows(reader, "id", "k", "j") == wanted and pm.read_layer(spark, name).count() == 5
+    pm.write_table(reader.limit(0), name, partition_by=keys, mode="append")
+    pm.write_table(old.filter("id = 7"), name, partition_by=keys, mode="append")
+    assert pm.read_layer(spark, name).count() == 6
+
+
+def test_old_versions_go(spark, schemas, tmp_path):
+    pm.ensure_schemas(spark, schemas[0], root=str(tmp_path))
+    for size in range(1, 5):
+        pm.write_table(spark.range(size), f"{schemas[0]}.t")
+    assert len(list((tmp_path / schemas[0] / "t").glob("__v*"))) == 2
+    assert spark.table(f"{schemas[0]}.t").count() == 4
+
+
+def test_plain_table_is_taken_over(spark, schemas):
+    pm.ensure_schemas(spark, schemas[0])
+    spark.range(3).write.saveAsTable(f"{schemas[0]}.t")
+    with pytest.raises(Exception, match="half-way"):
+        pm.write_table(_failing(spark.range(1000)), f"{schemas[0]}.t")
+    assert spark.table(f"{schemas[0]}.t").count() == 3
+    pm.write_table(spark.range(5), f"{schemas[0]}.t")
+    assert spark.table(f"{schemas[0]}.t").count() == 5
+
+
+def test_split_landing(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"id": "1"}\n{oops\n\n[1]\n{"id": "2", "load_seq": 5}\n{"id": "3", "load_seq": "x"}\n')
+    (tmp_path / "b.json").write_text('{"id": "4"}\n')
+    landing = pm.split_landing(spark, str(tmp_path))
+    assert landing.records.columns == S.LANDING_SCHEMA.names
+    assert {row.id for row in landing.records.collect()} == {"1", "2", "4"}
+    assert sorted(tuple(row) for row in landing.rejects.collect()) == [
+        ("a.json", "[1]"), ("a.json", '{"id": "3", "load_seq": "x"}'), ("a.json", "{oops")]
+    assert [tuple(row) for row in landing.reject_counts().collect()] == [("a.json", 3)]
+    assert landing.rejects.count() == 3
+
+
+def test_bronze_with_rejects(spark, schemas, tmp_path):
+    (tmp_path / "a.json").write_text('{"id": "1"}\n{oops\n')
+    pm.ensure_schemas(spark, schemas[0])
+    with pytest.raises(Exception, match="MALFORMED|Malformed"):
+        pm.build_bronze(spark, str(tmp_path)).collect()
+    assert pm.build_bronze(spark, str(tmp_path), rejects=f"{schemas[0]}.rejects").count() == 1
+    assert spark.table(f"{schemas[0]}.rejects").first().line == "{oops"
+
+
+@pytest.fixture
+def counted(monkeypatch):
+    """How often each step of a run is called."""
+    calls = Counter()
+    for name in ("ingest_pages", "first_bad_page", "build_bronze", "build_silver", "build_gold"):
+        def call(*args, _name=name, _plain=getattr(layers, name), **options):
+            calls[_name] += 1
+            return _plain(*args, **options)
+        monkeypatch.setattr(layers, name, call)
+    return calls
+
+
+def test_run_goes_on_where_it_failed(spark, schemas, tmp_path, rows, counted):
+    pages = page_log(spark, SF_DIR)
+    run = partial(pm.run_pipeline, spark, pages, str(tmp_path / "landing"), schemas=schemas, ledger=str(tmp_path / "ledger"))
+    with pytest.raises(ValueError, match="needs an order"):
+        run(order=None, fill_site_first=False, impute="fill")
+    assert counted == {"first_bad_page": 1, "ingest_pages": 1, "build_bronze": 1, "build_silver": 1}
+    counted.clear()
+    gold = rows(run())
+    assert counted == {"build_silver": 1, "build_gold": 1} and sum(row[-1] for row in gold) == 50
+    counted.clear()
+    assert rows(run()) == gold and not counted
+    # Other options, a table that is gone or was written by another run, other pages: from there on anew.
+    assert rows(run(dense=True)) != gold and counted == {"build_gold": 1}
+    counted.clear()
+    pm.write_table(spark.table(f"{schemas[1]}.places").limit(1), f"{schemas[1]}.places")
+    assert rows(run()) == gold and counted == {"build_silver": 1, "build_gold": 1}
+    counted.clear()
+    fewer = pages.filter("page <> 2")
+    assert sum(row.asDict()["count"] for row in pm.run_pipeline(
+        spark, fewer, str(tmp_path / "landing"), schemas=schemas, ledger=str(tmp_path / "ledger")).collect()) == 50
+    assert counted["ingest_pages"] == 1 and counted["build_gold"] == 1
+    assert rows(run(ledger=None)) == gold
+
+
+def test_a_layer_is_tried_again(spark, schemas, tmp_path, monkeypatch, counted):
+    plain, failures = layers.build_silver, [ValueError("once")]
+
+    def sometimes(*args, **options):
+        if failures:
+            raise failures.pop()
+        return plain(*args, **options)
+
+    monkeypatch.setattr(layers, "build_silver", sometimes)
+    run = partial(pm.run_pipeline, spark, page_log(spark, SF_DIR), str(tmp_path / "landing"), schemas=schemas)
+    assert run(retries=1).count() > 0
+    assert counted["build_bronze"] == counted["build_silver"] == 1
+    failures += [ValueError("once"), ValueError("twice")]
+    with pytest.raises(ValueError, match="once"):
+        run(retries=1)
+
+
+def test_fingerprint_of_pages(spark):
+    rows = [(1, 200, "[]"), (2, 200, None), (2, 200, None)]
+    frame = lambda rows: spark.createDataFrame(rows, "page int, status int, body string")
+    first = fingerprint_of_pages(frame(rows))
+    assert fingerprint_of_pages(frame(rows[::-1]).repartition(3)) == first
+    assert len({first, fingerprint_of_pages(frame(rows[:2])), fingerprint_of_pages(frame(rows[:0])), fingerprint_of_pages(frame([(1, 200, "[ ]"), *rows[1:]]))}) == 4
+
+
 def test_write_if_nonempty(spark, tmp_path):
     written = []
     assert not pm.write_if_nonempty(spark.range(0), written.append)
