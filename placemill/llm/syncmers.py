@@ -1,13 +1,11 @@
 """Document fingerprints from closed syncmers, in built-in expressions.
 
-The alphabet is that of tokens: lower-cased runs of characters that are no white space, cut after ``LONGEST``
-characters; ideographs stand alone. Of all runs of ``K`` tokens those are kept whose smallest inner run of ``S`` tokens
-(by hash) is the first or the last. Whether a run is kept depends on its own tokens alone, so it is kept wherever it
-occurs, and at least one of any few neighbouring runs is kept. The cut counts from where a run without white space
-begins, so a long unspaced passage has other tokens at another offset; its character anchors (below) are the same.
-
-Token anchors are coarse: a text of fewer than ``K`` tokens has only one. Every text therefore also has anchors over its
-characters, by the same rule with ``CHAR_K`` and ``CHAR_S``: any 2 * CHAR_K - CHAR_S - 1 = 8 of them hold one.
+The alphabet is that of pieces of words: lower-cased runs of up to ``LONGEST`` characters that end behind a character of
+``_CUT`` (vowels, some digits and signs), at white space, or when they are full. Characters of scripts that are written
+without spaces stand alone. So where a passage is cut depends on its own characters, also inside a long unspaced run, and
+a text of a few words has several pieces. Of all runs of ``K`` pieces those are kept whose smallest piece (by hash,
+``S`` = 1) is the first or the last. Whether a run is kept depends on its own pieces alone, so it is kept wherever it
+occurs, and of any K - S neighbouring runs at least one is kept.
 """
 
 from __future__ import annotations
@@ -18,12 +16,14 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-K, S = 7, 2
-LONGEST = 32
-#: The same of the finer form, whose alphabet is that of characters.
-CHAR_K, CHAR_S = 6, 3
-_ALONE = r"\x{2E80}-\x{D7FF}\x{F900}-\x{FAFF}\x{20000}-\x{3FFFF}"
-_TOKEN = rf"[{_ALONE}]|[^\s{_ALONE}]{{1,{LONGEST}}}"
+K, S = 3, 1
+LONGEST = 4
+#: Ideographs, kana, hangul, and the scripts from Thai to Burmese and Khmer.
+_ALONE = r"\x{0E00}-\x{109F}\x{1780}-\x{17FF}\x{2E80}-\x{D7FF}\x{F900}-\x{FAFF}\x{20000}-\x{3FFFF}"
+_CUT = r"aeiouy\x{E0}-\x{E6}\x{E8}-\x{EF}\x{F2}-\x{F6}\x{F8}-\x{FD}02468+/=_\-"
+#: Latin consonants and the digits left. They are listed, not excluded, because that is faster to match.
+_REST = r"bcdfghjklmnpqrstvwxz\x{DF}\x{E7}\x{F1}13579"
+_PIECE = rf"[{_REST}]{{0,{LONGEST - 1}}}+[{_CUT}]|[{_REST}]{{1,{LONGEST}}}+|[{_ALONE}]|[^\s{_ALONE}{_REST}{_CUT}]{{1,{LONGEST}}}+"
 
 #: Ranges of ids for each shuffle partition, so that ranges spread evenly.
 RANGES_EACH = 4
@@ -34,48 +34,45 @@ def _let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def _of_hashes(tokens: Column, hashes: Column) -> Column:
-    """Anchors from the hashes of all runs of S tokens; a text of fewer than K tokens has one run, of all it has."""
-    width = K - S + 1
+def _piece_hashes(text: Column) -> Column:
+    found = F.regexp_extract_all(folded(text), F.lit(_PIECE), F.lit(0))
+    return F.transform(found, lambda piece: F.xxhash64(piece))
 
-    def at_edge(place: Column) -> Column:
-        first, last = F.element_at(hashes, place), F.element_at(hashes, place + F.lit(width - 1))
-        least = F.array_min(F.slice(hashes, place, F.lit(width)))
-        return (first == least) | (last == least)
 
-    starts = F.filter(F.sequence(F.lit(1), F.size(hashes) - F.lit(width - 1)), at_edge)
-    kept = F.transform(starts, lambda place: _anchor(place, F.hash(F.slice(hashes, place, F.lit(width)))))
-    whole = F.array(_anchor(F.lit(1), F.hash(tokens)))
-    return F.when(F.size(tokens) == 0, F.slice(whole, 1, 0)).when(F.size(tokens) < K, whole).otherwise(kept)
+def _kept(hashes: Column, use: Callable[[Column, Column], Column]) -> Column:
+    """``use`` of the place (from 1) and the 32-bit hash of each run that is kept."""
 
+    def at_edge(first: Column, place: Column) -> Column:
+        middle, last = F.get(hashes, place + F.lit(1)), F.get(hashes, place + F.lit(2))
+        return F.when((first <= middle) | (last <= middle), use(place + 1, F.hash(first, middle, last)))
 
-def _anchor(place: Column, hashed: Column) -> Column:
-    return F.struct(place.cast("int").alias("place"), hashed.alias("hash"))
+    whole = F.array(use(F.lit(1), F.hash(hashes)))
+    kept = F.array_compact(F.transform(F.slice(hashes, 1, F.greatest(F.size(hashes) - F.lit(K - 1), F.lit(0))), at_edge))
+    return F.when(F.size(hashes) == 0, F.slice(whole, 1, 0)).when(F.size(hashes) < K, whole).otherwise(kept)
 
 
 def anchors(text: Column) -> Column:
-    """Closed syncmers of a text in order: an array of (place of the first token, from 1; 32-bit hash). Null is empty."""
-    found = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(_TOKEN), F.lit(0))
+    """Closed syncmers of a text in order: an array of (place of the first piece, from 1; 32-bit hash). A text of fewer
+    than ``K`` pieces has one run, of all it has; one without pieces has none. Null is empty."""
+    with_place = lambda place, hashed: F.struct(place.cast("int").alias("place"), hashed.alias("hash"))
+    return _let(_piece_hashes(text), lambda hashes: _kept(hashes, with_place))
 
-    def of_tokens(tokens: Column) -> Column:
-        inner = F.transform(
-            F.slice(tokens, F.lit(1), F.greatest(F.size(tokens) - F.lit(S - 1), F.lit(0))),
-            lambda token, place: F.xxhash64(token, *[F.get(tokens, place + F.lit(k)) for k in range(1, S)]),
-        )
-        return _let(inner, lambda hashes: _of_hashes(tokens, hashes))
 
-    return _let(found, of_tokens)
+def anchor_hashes(text: Column) -> Column:
+    """The hashes of ``anchors`` alone."""
+    return _let(_piece_hashes(text), lambda hashes: _kept(hashes, lambda _, hashed: hashed))
 
 
 def fingerprint(marks: Column) -> Column:
-    """The hashes of the anchors in order, eight hexadecimal digits each."""
-    digits = F.transform(marks["hash"], lambda mark: F.substring(F.hex(mark.cast("bigint") + F.lit(2**40)), -8, 8))
+    """Hashes of anchors in order, eight hexadecimal digits each."""
+    digits = F.transform(marks, lambda mark: F.substring(F.hex(mark.cast("bigint") + F.lit(2**40)), -8, 8))
     return F.lower(F.array_join(digits, ""))
 
 
 def likeness(marks: Column, others: Column) -> Column:
-    """Jaccard similarity of the sets of anchors; 1 if neither has any."""
-    return _shared(marks["hash"], others["hash"])
+    """Jaccard similarity of the sets of anchors' hashes; 1 if neither has any."""
+    common, all_of = F.size(F.array_intersect(marks, others)), F.size(F.array_union(marks, others))
+    return F.when(all_of == 0, F.lit(1.0)).otherwise(common / all_of)
 
 
 def folded(text: Column) -> Column:
@@ -83,62 +80,6 @@ def folded(text: Column) -> Column:
     return F.lower(F.replace(F.coalesce(text, F.lit("")), F.lit("\u03a3"), F.lit("\u03c3")))
 
 
-def _packed(place: Column, hashed: Column) -> Column:
-    return F.shiftleft(place.cast("bigint"), 32).bitwiseOR(hashed.cast("bigint").bitwiseAND(F.lit(2**32 - 1)))
-
-
-def char_anchors(text: Column) -> Column:
-    """Closed syncmers over the characters of a ``folded`` text in order, each as place of its first character (from 1)
-    * 2**32 + its 32-bit hash. A text of fewer than ``CHAR_K`` characters has one run, of all it has."""
-    found = F.regexp_extract_all(text, F.lit(rf"(?s)(?=(.{{{CHAR_S}}}))."), F.lit(1))
-    inner = F.transform(found, lambda run: F.xxhash64(run))
-    width = CHAR_K - CHAR_S + 1
-
-    def of_hashes(hashes: Column) -> Column:
-        def at_edge(first: Column, place: Column) -> Column:
-            between = [F.get(hashes, place + F.lit(k)) for k in range(1, width - 1)]
-            last = F.get(hashes, place + F.lit(width - 1))
-            # First and last inner run together hold the whole run, as CHAR_K = 2 * CHAR_S.
-            return F.when(F.least(first, last) <= F.least(*between), _packed(place + F.lit(1), F.hash(first, last)))
-
-        starts = F.slice(hashes, F.lit(1), F.greatest(F.size(hashes) - F.lit(width - 1), F.lit(0)))
-        return F.array_compact(F.transform(starts, at_edge))
-
-    whole = F.array(_packed(F.lit(1), F.hash(text)))
-    size = F.length(text)
-    return F.when(size == 0, F.slice(whole, 1, 0)).when(size < CHAR_K, whole).otherwise(_let(inner, of_hashes))
-
-
-def spliced(marks: Column, head: Column, others: Column, tail: Column) -> Column:
-    """``char_anchors`` of a text made of the folded start ``head`` of one text and ``tail`` of another, from the anchors
-    of both. An anchor depends on its own characters alone, so only runs across the seam are looked at anew."""
-    a, b, reach = F.length(head), F.length(tail), CHAR_K - 1
-    before = F.least(a, F.lit(reach))
-    seam = F.concat(F.substring(head, a - before + 1, before), F.substring(tail, F.lit(1), F.lit(reach)))
-
-    def within(places: Column, size: Column) -> Column:
-        limit = F.shiftleft((F.greatest(size - reach, F.lit(0)) + 1).cast("bigint"), 32)
-        return _let(limit, lambda limit: F.filter(places, lambda mark: mark < limit))
-
-    def moved(places: Column, by: Column) -> Column:
-        shift = F.shiftleft(by.cast("bigint"), 32)
-        return _let(shift, lambda shift: F.transform(places, lambda mark: mark + shift))
-
-    across = F.when(F.length(seam) < CHAR_K, F.slice(marks, 1, 0)).otherwise(moved(char_anchors(seam), a - before))
-    made = F.concat(within(marks, a), across, moved(within(others, b), a))
-    return F.when(a + b < CHAR_K, char_anchors(F.concat(head, tail))).otherwise(made)
-
-
-def char_hashes(marks: Column) -> Column:
-    """The 32-bit hashes of ``char_anchors`` in order."""
-    return F.transform(marks, lambda mark: F.shiftright(F.shiftleft(mark, 32), 32).cast("int"))
-
-
-def _shared(one: Column, two: Column) -> Column:
-    common, all_of = F.size(F.array_intersect(one, two)), F.size(F.array_union(one, two))
-    return F.when(all_of == 0, F.lit(1.0)).otherwise(common / all_of)
-
-
 def _ranges(docs: DataFrame, ranges: int) -> tuple[list[int], int | None]:
     """Upper bounds of ranges of ids with about equally many rows, all of them ids that occur; and the largest id."""
     shares = [k / ranges for k in range(1, ranges)]
@@ -170,9 +111,8 @@ def fingerprint_documents(docs: DataFrame, *, ranges: int | None = None) -> Data
     The edited text is the text without its last floor(n / 2) code points, followed by the first as many (or all) of the
     next document's, in descending order of ``doc_id``; the first document follows the last. Rows of equal ids follow in
     the order of their texts' hashes, then texts; rows without an id come last. A null text is empty. A single document
-    is its own next. Returns ``doc_id``, ``n_chars``, ``edited_sha256``, ``fingerprint``, ``edited_fingerprint``,
-    ``near_edited``, ``near_next``; and of the anchors over characters, which short texts have several of, too,
-    ``char_hashes``, ``edited_char_hashes``, ``near_edited_chars``, ``near_next_chars``. Other columns are not read.
+    is its own next. Returns ``doc_id`` (whole numbers), ``n_chars``, ``edited_sha256``, ``fingerprint``,
+    ``edited_fingerprint``, ``near_edited``, ``near_next``. Other columns are not read.
 
     Ids are dealt to ranges of about equal size, each sorted by itself; the row that follows a range's last is sent to
     that range as well. Texts are shuffled once.
@@ -194,26 +134,12 @@ def fingerprint_documents(docs: DataFrame, *, ranges: int | None = None) -> Data
         F.when(F.col("doc_id").eqNullSafe(F.lit(largest).cast("bigint")), wraps),
     )
     dealt = rows.select("doc_id", "text", F.inline(F.array_compact(places)))
-    marked = dealt.repartition("range").withColumns(
-        {"marks": anchors(F.col("text")), "char_marks": char_anchors(folded(F.col("text")))}
-    )
+    marked = dealt.repartition("range").withColumn("marks", anchor_hashes(F.col("text")))
     order = Window.partitionBy("range").orderBy("guest", F.desc_nulls_last("doc_id"), F.xxhash64("text"), "text")
-    following = F.lead(F.struct("text", "marks", "char_marks")).over(order)
-    paired = marked.withColumn("next", following).filter("guest = 0")
+    paired = marked.withColumn("next", F.lead(F.struct("text", "marks")).over(order)).filter("guest = 0")
     size, half = F.length("text"), F.floor(F.length("text") / 2).cast("int")
-    head, tail = F.substring("text", F.lit(1), size - half), F.substring(F.col("next.text"), F.lit(1), half)
-    chars = spliced(F.col("char_marks"), folded(head), F.col("next.char_marks"), folded(tail))
-    both = (
-        paired.withColumns({"edited": F.concat(head, tail), "edited_char_marks": chars})
-        .withColumn("edited_marks", anchors(F.col("edited")))
-        .withColumns(
-            {
-                "char_hashes": char_hashes(F.col("char_marks")),
-                "edited_char_hashes": char_hashes(F.col("edited_char_marks")),
-                "next_char_hashes": char_hashes(F.col("next.char_marks")),
-            }
-        )
-    )
+    edited = F.concat(F.substring("text", F.lit(1), size - half), F.substring(F.col("next.text"), F.lit(1), half))
+    both = paired.withColumn("edited", edited).withColumn("edited_marks", anchor_hashes(F.col("edited")))
     return both.select(
         "doc_id",
         size.cast("bigint").alias("n_chars"),
@@ -222,8 +148,4 @@ def fingerprint_documents(docs: DataFrame, *, ranges: int | None = None) -> Data
         fingerprint(F.col("edited_marks")).alias("edited_fingerprint"),
         likeness(F.col("marks"), F.col("edited_marks")).alias("near_edited"),
         likeness(F.col("marks"), F.col("next.marks")).alias("near_next"),
-        "char_hashes",
-        "edited_char_hashes",
-        _shared(F.col("char_hashes"), F.col("edited_char_hashes")).alias("near_edited_chars"),
-        _shared(F.col("char_hashes"), F.col("next_char_hashes")).alias("near_next_chars"),
     )
