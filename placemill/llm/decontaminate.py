@@ -166,7 +166,7 @@ def _search(index: Index) -> Scorer:
 
 def _parts(benchmark: DataFrame, item_id: str, text: str, part_bytes: int) -> Iterable[Index]:
     """The benchmark in parts of about ``part_bytes`` of text; only one at a time is on the driver."""
-    items = benchmark.select(F.col(item_id).cast("string").alias("name"), F.col(text).alias("text"))
+    items = benchmark.select(F.col(item_id).cast("string").alias("name"), F.col(text).alias("text")).distinct()
     size = items.agg(F.sum(F.octet_length("text") + F.lit(100))).first()[0] or 0
     parts = max(1, math.ceil(size / part_bytes))
     number = F.pmod(F.xxhash64("name", "text"), F.lit(parts))
@@ -203,7 +203,8 @@ def find_contamination(
     columns = list(docs.columns if keep is None else keep)
     found = {"n_words", "n_hit", "n_items", "items_sha256", "contaminated"}
     columns = [name for name in columns if name.lower() not in found]
-    current = docs.withColumn("__text", F.col(text)).select(*columns, "__text")
+    quoted = [F.col(f"`{name}`") for name in columns]
+    current = docs.withColumn("__text", F.col(text)).select(*quoted, "__text")
     before: list[str] = []
     for number, index in enumerate(_parts(benchmark, item_id, item_text, part_bytes)):
         shared = spark.sparkContext.broadcast(index)
@@ -219,10 +220,10 @@ def find_contamination(
         hits = merged(F.array(*[f"__runs{k}" for k in range(parts)]))
         items = F.flatten(F.array(*[f"__items{k}" for k in range(parts)]))
     ids = F.array_sort(F.array_distinct(items))
-    out = current.select(*columns, "n_words", hits.alias("n_hit"), ids.alias("__ids"))
+    out = current.select(*quoted, "n_words", hits.alias("n_hit"), ids.alias("__ids"))
     share = F.col("n_hit") * one_in >= F.col("n_words")
     return out.select(
-        *columns,
+        *quoted,
         "n_words",
         "n_hit",
         F.size("__ids").cast("bigint").alias("n_items"),

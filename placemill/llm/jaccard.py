@@ -2,16 +2,15 @@
 
 A document stands for its set of five-word shingles. Documents with the same words are one node. Pairs of nodes are
 compared inside buckets (equal band of the signature), a bounded block of members against another, so that no task holds
-a large bucket. Pruning returns one row for each member of a block, with the keys of all its partners that survived: these
-pairs are written, and n different near copies make n(n-1)/2 of them. Verification returns one row for each member, with
-the number of its links and the block's connected components.
+a large bucket. Pairs are never written: pruning returns the members of a block that are in any pair that survives, one
+row for each; verification prunes them once more, compares the sets of what survives, and returns one row for each member,
+with the number of its links and the least member it is connected with. As links are counted, n different near copies
+still take n(n-1)/2 comparisons.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from placemill.llm.sets import Classes, least_matches, minima, pairs_in, runs, sequence_keys, shared, shingles, whole_groups
 from placemill.llm.shipping import ship_package
 from placemill.llm.texts import Scorer, add_text_columns
 from placemill.llm.words import mix, words_of
@@ -34,12 +34,11 @@ STEP = 16
 #: A pair is dropped when the posterior probability that it reaches the threshold falls below this.
 TOLERANCE = 1e-6
 #: Members of a bucket that are compared with each other by one task at a time.
-BLOCK = 256
+BLOCK = 512
 #: Pairs of members that a task holds at a time.
 PAIRS = 500_000
 
 _SEEDS = mix(np.arange(1, 2 * HASHES + 1, dtype=np.uint64))
-_MULTIPLY, _ADD = _SEEDS[:HASHES] | np.uint64(1), _SEEDS[HASHES:]
 
 _SIGNED = T.StructType(
     [
@@ -51,77 +50,18 @@ _SIGNED = T.StructType(
 _SET = T.StructType([T.StructField("__key", T.BinaryType()), T.StructField("__set", T.BinaryType())])
 
 
-@cache
-def least_matches(threshold: float, tolerance: float) -> np.ndarray:
-    """For 0 .. HASHES compared hashes the fewest matches with which a pair is kept.
-
-    Under a uniform prior the similarity after m matches of n is Beta(m + 1, n - m + 1) distributed, and exceeds t with
-    the probability that a Binomial(n + 1, t) variable is at most m.
-    """
-    least = np.zeros(HASHES + 1, np.int64)
-    for n in range(HASHES + 1):
-        total, m = 0.0, -1
-        while total < tolerance:
-            m += 1
-            total += math.comb(n + 1, m) * threshold**m * (1 - threshold) ** (n + 1 - m)
-        least[n] = m
-    return least
-
-
 def _keys(words, data: np.ndarray, offsets: np.ndarray) -> list[bytes]:
-    """128 bits that agree for texts with equal words; for texts without words, for equal texts."""
-    keys = []
-    counts = words.counts
-    place = np.arange(len(words.hashes)) - np.repeat(words.bounds[:-1], counts)
-    totals = []
-    for salt in (1, 2):
-        spread = mix(words.hashes + mix(place.astype(np.uint64) * np.uint64(2) + np.uint64(salt)))
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(spread)])
-        totals.append(mix(sums[words.bounds[1:]] - sums[words.bounds[:-1]] + counts.astype(np.uint64)))
-    for number in range(len(offsets) - 1):
-        if counts[number]:
-            keys.append(totals[0][number].tobytes() + totals[1][number].tobytes())
-        else:
-            keys.append(b"-" + data[offsets[number] : offsets[number + 1]].tobytes())
-    return keys
-
-
-def _shingles(words) -> tuple[np.ndarray, np.ndarray]:
-    """Different shingles of the texts, sorted within a text, and where each text's begin. A text of fewer words than a
-    shingle has them all as its only one."""
-    hashes, first = words.grams(SHINGLE)
-    text = words.text_of()[first]
-    for size in range(1, SHINGLE):
-        few = np.flatnonzero(words.counts == size)
-        if len(few):
-            whole, at = words.grams(size)
-            hashes = np.concatenate([hashes, whole[np.searchsorted(at, words.bounds[few])]])
-            text = np.concatenate([text, few])
-    order = np.lexsort((hashes, text))
-    hashes, text = hashes[order], text[order]
-    new = np.ones(len(hashes), bool)
-    new[1:] = (hashes[1:] != hashes[:-1]) | (text[1:] != text[:-1])
-    hashes, text = hashes[new], text[new]
-    return hashes, np.searchsorted(text, np.arange(len(words.bounds)))
-
-
-def _signatures(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """One row of HASHES minima for each text that has shingles."""
-    starts = bounds[:-1][np.diff(bounds) > 0]
-    out = np.empty((len(starts), HASHES), np.uint32)
-    if len(starts):
-        for k in range(HASHES):
-            hashed = ((hashes * _MULTIPLY[k] + _ADD[k]) >> np.uint64(32)).astype(np.uint32)
-            out[:, k] = np.minimum.reduceat(hashed, starts)
-    return out
+    """Those of ``sequence_keys``; texts without words have keys that agree for equal texts."""
+    found = sequence_keys(words)
+    return [key or b"-" + data[offsets[k] : offsets[k + 1]].tobytes() for k, key in enumerate(found)]
 
 
 def _sign() -> Scorer:
     def score(data: np.ndarray, offsets: np.ndarray) -> list[pa.Array]:
         words = words_of(data, offsets)
-        hashes, bounds = _shingles(words)
+        hashes, bounds = shingles(words, SHINGLE)
         sizes = np.diff(bounds)
-        rows = iter(_signatures(hashes, bounds))
+        rows = iter(minima(hashes, bounds, _SEEDS))
         signatures = [next(rows).tobytes() if size else None for size in sizes]
         keys = pa.array(_keys(words, data, offsets), pa.binary())
         return [keys, pa.array(sizes, pa.int64()), pa.array(signatures, pa.binary())]
@@ -132,7 +72,7 @@ def _sign() -> Scorer:
 def _sets() -> Scorer:
     def score(data: np.ndarray, offsets: np.ndarray) -> list[pa.Array]:
         words = words_of(data, offsets)
-        hashes, bounds = _shingles(words)
+        hashes, bounds = shingles(words, SHINGLE)
         sets = [hashes[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
         return [pa.array(_keys(words, data, offsets), pa.binary()), pa.array(sets, pa.binary())]
 
@@ -147,7 +87,7 @@ def _bands(signature: Column) -> Column:
 
 
 def _blocks_of(buckets: DataFrame, block: int) -> DataFrame:
-    """Members of each bucket dealt to pairs of blocks: rows (group, side, band, member columns)."""
+    """Members of each bucket dealt to pairs of blocks: rows (group, side, within, band, __key)."""
     sizes = buckets.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
     blocks = F.ceil(F.col("members") / F.lit(block)).cast("int")
     dealt = buckets.join(sizes, ["band", "bucket"]).withColumn("blocks", blocks)
@@ -160,7 +100,6 @@ def _blocks_of(buckets: DataFrame, block: int) -> DataFrame:
         .withColumn("other", others)
         .select(
             F.xxhash64("band", "bucket", low, high).alias("group"),
-            F.struct("band", "bucket", low.alias("low"), high.alias("high")).alias("place"),
             (F.col("own") > F.col("other")).alias("side"),
             (F.col("own") == F.col("other")).alias("within"),
             "band",
@@ -169,91 +108,37 @@ def _blocks_of(buckets: DataFrame, block: int) -> DataFrame:
     )
 
 
-def _whole_groups(batches: Iterator[pa.RecordBatch], column: str, rows: int) -> Iterator[pa.Table]:
-    """Tables of at least ``rows`` rows, if there are as many, that end where a value of ``column`` ends."""
-    waiting: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        waiting.append(batch)
-        if sum(part.num_rows for part in waiting) < rows:
-            continue
-        table = pa.Table.from_batches(waiting).combine_chunks()
-        values = table.column(column).to_numpy()
-        last = int(np.flatnonzero(values[1:] != values[:-1])[-1]) + 1 if (values[1:] != values[:-1]).any() else 0
-        if last:
-            yield table.slice(0, last)
-        waiting = table.slice(last).combine_chunks().to_batches()
-    if waiting:
-        yield pa.Table.from_batches(waiting).combine_chunks()
-
-
-def _pairs_in(starts: np.ndarray, stops: np.ndarray, side: np.ndarray, within: np.ndarray) -> Iterator[tuple]:
-    """Pairs of row numbers to compare in each of the runs of rows: (left, right), at most about PAIRS at a time."""
-    lefts, rights, held = [], [], 0
-    for start, stop in zip(starts, stops, strict=True):
-        if within[start]:
-            left, right = np.triu_indices(stop - start, 1)
-        else:
-            one, two = np.flatnonzero(~side[start:stop]), np.flatnonzero(side[start:stop])
-            left, right = np.repeat(one, len(two)), np.tile(two, len(one))
-        lefts.append(left + start)
-        rights.append(right + start)
-        held += len(left)
-        if held >= PAIRS:
-            yield np.concatenate(lefts), np.concatenate(rights)
-            lefts, rights, held = [], [], 0
-    if held:
-        yield np.concatenate(lefts), np.concatenate(rights)
-
-
-def _edges(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    starts = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
-    return starts, np.append(starts[1:], len(values))
-
-
-_PARTNERS = "place struct<band:int,bucket:bigint,low:int,high:int>, __key binary, partners array<binary>"
-
+_MEMBERS = "group bigint, side boolean, within boolean, band int, __key binary, __signature binary"
 
-def _prune(threshold: float, tolerance: float):
-    """Candidate pairs of each group that survive; a row for each member of any, with its partners of larger key."""
-    least = least_matches(threshold, tolerance)
 
-    def survivors(signatures: np.ndarray, band: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple:
+def _survivors(table: pa.Table, least: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of each group that pruning keeps; a pair belongs to the first of the buckets that it shares."""
+    signatures = np.frombuffer(b"".join(table.column("__signature").to_pylist()), np.uint32).reshape(-1, HASHES)
+    band = table.column("band").to_numpy()
+    side = table.column("side").combine_chunks().to_numpy(zero_copy_only=False)
+    within = table.column("within").combine_chunks().to_numpy(zero_copy_only=False)
+    for left, right in pairs_in(*runs(table.column("group").to_numpy()), side, within, PAIRS):
         matches = np.zeros(len(left), np.int64)
         for first in range(0, HASHES, STEP):
             same = signatures[left, first : first + STEP] == signatures[right, first : first + STEP]
             matches += same.sum(1)
             bands = same.reshape(len(left), STEP // ROWS, ROWS).all(2)
             earlier = np.arange(first // ROWS, (first + STEP) // ROWS)[None, :] < band[left][:, None]
-            # A pair belongs to the first of the buckets that it shares.
             kept = (matches >= least[first + STEP]) & ~(bands & earlier).any(1)
             left, right, matches = left[kept], right[kept], matches[kept]
-        return left, right
+        yield left, right
+
+
+def _prune(threshold: float, tolerance: float):
+    """The members of each group that are in any pair that survives."""
+    least = least_matches(threshold, tolerance, HASHES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _whole_groups(batches, "group", 4096):
-            groups = table.column("group").to_numpy()
-            raw = table.column("__signature").combine_chunks()
-            signatures = np.frombuffer(b"".join(raw.to_pylist()), np.uint32).reshape(-1, HASHES)
-            keys = table.column("__key").to_pylist()
-            band = table.column("band").to_numpy()
-            side = table.column("side").to_numpy(zero_copy_only=False)
-            within = table.column("within").to_numpy(zero_copy_only=False)
-            partners: dict[int, list[bytes]] = {}
-            for left, right in _pairs_in(*_edges(groups), side, within):
-                for a, b in zip(*survivors(signatures, band, left, right), strict=True):
-                    low, high = (a, b) if keys[a] < keys[b] else (b, a)
-                    partners.setdefault(int(low), []).append(keys[high])
-                    partners.setdefault(int(high), [])
-            chosen = np.array(sorted(partners), np.int64)
-            place = table.column("place").combine_chunks().take(pa.array(chosen))
-            columns = [
-                place,
-                pa.array([keys[k] for k in chosen], pa.binary()),
-                pa.array([partners[k] for k in chosen], pa.list_(pa.binary())),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names=["place", "__key", "partners"])
+        for table in whole_groups(batches, "group", 4096):
+            chosen = np.zeros(table.num_rows, bool)
+            for left, right in _survivors(table, least):
+                chosen[left] = chosen[right] = True
+            yield from table.filter(pa.array(chosen)).to_batches()
 
     return run
 
@@ -261,47 +146,35 @@ def _prune(threshold: float, tolerance: float):
 _LINKS = "__key binary, root binary, links bigint"
 
 
-def _verify(threshold: float):
-    """Exact similarity of the pairs of each group; for each member its links and the least key it is linked with."""
+def _verify(threshold: float, tolerance: float):
+    """Exact similarity of the surviving pairs of each group; for each member its links and the least key it is linked
+    with."""
+    least = least_matches(threshold, tolerance, HASHES)
 
     def similar(a: np.ndarray, b: np.ndarray) -> bool:
-        if len(a) > len(b):
-            a, b = b, a
-        if len(a) < threshold * len(b) - 1:
+        if min(len(a), len(b)) < threshold * max(len(a), len(b)) - 1:
             return False
-        at = np.searchsorted(b, a)
-        shared = int((b[np.minimum(at, len(b) - 1)] == a).sum())
-        return shared / (len(a) + len(b) - shared) >= threshold
+        both = shared(a, b)
+        return both / (len(a) + len(b) - both) >= threshold
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _whole_groups(batches, "group", 256):
-            groups = table.column("group").to_numpy()
+        for table in whole_groups(batches, "group", 256):
+            # Within a group rows are in the order of their keys, so the least number is the least key.
             keys = table.column("__key").to_pylist()
             copies = table.column("copies").to_pylist()
             sets = [np.frombuffer(raw, np.uint64) for raw in table.column("__set").to_pylist()]
-            partners = table.column("partners").to_pylist()
             links = [0] * len(keys)
-            parent = list(range(len(keys)))
-
-            def root(k: int, parent=parent) -> int:
-                while parent[k] != k:
-                    parent[k] = parent[parent[k]]
-                    k = parent[k]
-                return k
-
-            for start, stop in zip(*_edges(groups), strict=True):
-                place = {keys[k]: k for k in range(start, stop)}
-                for a in range(start, stop):
-                    for b in map(place.__getitem__, partners[a]):
-                        if similar(sets[a], sets[b]):
-                            links[a] += copies[b]
-                            links[b] += copies[a]
-                            one, two = root(a), root(b)
-                            parent[max(one, two, key=keys.__getitem__)] = min(one, two, key=keys.__getitem__)
+            classes = Classes(len(keys))
+            for left, right in _survivors(table, least):
+                for a, b in zip(left.tolist(), right.tolist(), strict=True):
+                    if similar(sets[a], sets[b]):
+                        links[a] += copies[b]
+                        links[b] += copies[a]
+                        classes.join(a, b)
             linked = [k for k in range(len(keys)) if links[k]]
             columns = [
                 pa.array([keys[k] for k in linked], pa.binary()),
-                pa.array([keys[root(k)] for k in linked], pa.binary()),
+                pa.array([keys[classes.root(k)] for k in linked], pa.binary()),
                 pa.array([links[k] for k in linked], pa.int64()),
             ]
             yield pa.RecordBatch.from_arrays(columns, names=["__key", "root", "links"])
@@ -369,8 +242,9 @@ def similar_documents(
     nodes = pin(nodes, "nodes")
     buckets = nodes.filter("__signature IS NOT NULL").select("__key", F.inline(_bands(F.col("__signature"))))
     members = _blocks_of(buckets, block).join(nodes.select("__key", "__signature"), "__key")
-    proposed = members.repartition("group").sortWithinPartitions("group", "place", "__key")
-    kept = pin(proposed.mapInArrow(_prune(threshold, tolerance), _PARTNERS), "pairs")
+    members = members.select("group", "side", "within", "band", "__key", "__signature")
+    proposed = members.repartition("group").sortWithinPartitions("group", "__key")
+    kept = pin(proposed.mapInArrow(_prune(threshold, tolerance), _MEMBERS), "members")
 
     wanted = nodes.join(kept.select("__key").distinct(), "__key").select("__key", "first")
     first = ids["doc_id"].eqNullSafe(wanted["first.doc_id"]) & (ids["text_hash"] == wanted["first.text_hash"])
@@ -380,10 +254,9 @@ def similar_documents(
     verified = (
         kept.join(sets, "__key")
         .join(nodes.select("__key", "copies"), "__key")
-        .select(F.xxhash64("place").alias("group"), "place", "__key", "copies", "__set", "partners")
         .repartition("group")
-        .sortWithinPartitions("group", "place", "__key")
-        .mapInArrow(_verify(threshold), _LINKS)
+        .sortWithinPartitions("group", "__key")
+        .mapInArrow(_verify(threshold, tolerance), _LINKS)
     )
     links = pin(verified, "links")
     degrees = links.groupBy("__key").agg(F.sum("links").alias("links"))
@@ -411,5 +284,8 @@ def keep_one_of_each(docs: DataFrame, **options) -> DataFrame:
     row = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("__row")
     rows = docs.select(F.col("doc_id").alias("__id"), F.xxhash64("text").alias("__hash"), row)
     same = F.col("__id").eqNullSafe(F.col("__kept_id")) & (F.col("__hash") == F.col("__kept_hash"))
-    left = rows.join(chosen, same).groupBy("__id", "__hash").agg(F.first("__row").alias("__row"))
+    # Of rows that agree in both the one whose columns have the least hash stays, so that a task run again keeps it too.
+    plain = [field.name for field in docs.schema if "map" not in field.dataType.simpleString()]
+    rows = rows.withColumn("__rank", F.xxhash64(*[F.col(f"__row.`{name}`") for name in plain]))
+    left = rows.join(chosen, same).groupBy("__id", "__hash").agg(F.min_by("__row", "__rank").alias("__row"))
     return left.select("__row.*")

@@ -302,7 +302,7 @@ def identify(docs: DataFrame, network: Network | None, *, text: str = "text", ke
     A text that is null or has no letter gets ``und`` and 0.0, as do all texts without a network. Input columns of these
     names are replaced. Nothing is shuffled; memory is bounded by a block of text, or by the longest text.
     """
-    columns = [name for name in (docs.columns if keep is None else keep) if name not in ("lang_pred", "score")]
+    columns = [name for name in (docs.columns if keep is None else keep) if name.lower() not in ("lang_pred", "score")]
     marked = docs.withColumn("__lettered", has_letter(F.col(text)))
     weights = docs.sparkSession.sparkContext.broadcast(network)
     read = add_text_columns(

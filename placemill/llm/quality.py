@@ -238,7 +238,7 @@ def assess(docs: DataFrame, model: Model | None, *, cutoff: float = CUTOFF, keep
     A null or empty text is one empty passage; without a model every score is 0.5. Input columns of these names are
     replaced. Nothing is shuffled; memory is bounded by a block of text, or by the longest text.
     """
-    columns = [name for name in (docs.columns if keep is None else keep) if name not in ("score", "predicted")]
+    columns = [name for name in (docs.columns if keep is None else keep) if name.lower() not in ("score", "predicted")]
     weights = docs.sparkSession.sparkContext.broadcast(model)
     scored = add_text_columns(docs, _SCORED, lambda: _score(weights.value), keep=columns)
     return scored.withColumn("predicted", (F.col("score") >= cutoff).cast("int"))

@@ -58,3 +58,12 @@ def test_every_window_of_thirteen_is_found(spark):
     hits = {row["doc_id"]: row["n_hit"] for row in find_contamination(frame, benchmark).collect()}
     assert all(hits[number] == (13 if number < 100 else 0) for number, _ in docs)
     assert {row["doc_id"] for row in remove_contaminated(frame, benchmark).collect()} == {n for n, _ in docs if n >= 100}
+
+
+def test_words_that_differ_in_the_order_of_their_pieces(spark):
+    one, two = "a", "b"
+    for _ in range(10):
+        one, two = one + two, two + one
+    docs = spark.createDataFrame([(1, one, "x"), (2, two, "y")], ["doc_id", "text", "a.b"])
+    found = find_contamination(docs, spark.createDataFrame([(7, one)] * 3, "item_id int, text string")).collect()
+    assert {(row["doc_id"], row["n_hit"], row["n_items"], row["a.b"]) for row in found} == {(1, 1, 1, "x"), (2, 0, 0, "y")}
