@@ -3,7 +3,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -38,12 +38,22 @@ def dedup_first(df: DataFrame, key: str | list[str], order: str | list[str], *,
 def dedup_any(df: DataFrame, key: str | list[str]) -> DataFrame:
     """One row for each key, where it does not matter which. Null keys count as one key.
 
-    Keeps the smallest row, so columns must be of types that can be ordered. ``dropDuplicates`` keeps whichever arrives
-    first: if an executor is lost, part of the result may then be worked out again with other rows, and a row can be
-    lost or doubled in the steps behind it.
+    Keeps the row with the least 64-bit digest, of equal digests the smallest row, so columns must be of types that can be
+    ordered. Rows are sorted by their keys alone, and each task sends one row for each key. ``dropDuplicates`` keeps
+    whichever arrives first: if an executor is lost, part of the result may then be worked out again with other rows, and
+    a row can be lost or doubled in the steps behind it.
     """
     keys = _names(key)
-    return dedup_first(df, keys, [name for name in df.columns if name not in keys] or keys)
+    others = [name for name in df.columns if name not in keys]
+    if not others:
+        return df.select(*map(_column, keys)).distinct()
+    rows = F.struct(F.xxhash64(*map(_column, others)).alias("__digest"), *map(_column, others))
+    least = df.groupBy(*map(_column, keys)).agg(F.min(rows).alias("__least"))
+    return least.select(*[F.col(f"__least.`{name}`") if name in others else _column(name) for name in df.columns])
+
+
+def _column(name: str) -> Column:
+    return F.col(f"`{name}`")
 
 
 def _names(names: str | list[str]) -> list[str]:

@@ -6,6 +6,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 
 from placemill.sinks.versions import append_to, quoted, replace_table
+from placemill.staging import pin, scratch
 
 
 def ensure_schemas(spark: SparkSession, *names: str, root: str | None = None) -> None:
@@ -18,10 +19,21 @@ def ensure_schemas(spark: SparkSession, *names: str, root: str | None = None) ->
 
 
 def write_if_nonempty(df: DataFrame, write: Callable[[DataFrame], None]) -> bool:
-    """Call ``write`` unless there are no rows; then leave what is stored as it is. Tells whether it wrote."""
-    if df.isEmpty():
-        return False
-    write(df)
+    """Call ``write`` unless there are no rows; then leave what is stored as it is. Tells whether it wrote.
+
+    The rows are worked out once, into the shared folder; ``write`` gets that copy, which is deleted when it is done.
+    """
+    if not df.columns:
+        # Nothing to copy: rows without columns.
+        if df.isEmpty():
+            return False
+        write(df)
+        return True
+    with scratch(df.sparkSession):
+        staged = pin(df, "guarded")
+        if staged.isEmpty():
+            return False
+        write(staged)
     return True
 
 

@@ -243,6 +243,26 @@ def test_write_if_nonempty(spark, tmp_path):
     assert len(written) == 1
 
 
+def test_guard_works_rows_out_once(spark, tmp_path):
+    """A frame with a shuffle is run once, whether rows come of it or not."""
+    for empty in (False, True):
+        worked = spark.sparkContext.accumulator(0)
+
+        @F.udf("bigint")
+        def seen(k, worked=worked):
+            worked.add(1)
+            return k
+
+        once = seen.asNondeterministic()  # so that the filter does not call it as well
+        counted = spark.range(0, 100, 1, 4).groupBy((F.col("id") % 10).alias("k")).count().select(once("k").alias("k"), "count")
+        counted = counted.filter(F.col("k") < (0 if empty else 10))
+        wrote = pm.write_if_nonempty(counted, lambda df, empty=empty: pm.write_dataset(df, str(tmp_path / f"set{empty}")))
+        assert (wrote, worked.value) == (not empty, 10)
+        assert (tmp_path / f"set{empty}").exists() == wrote
+    assert pm.write_if_nonempty(spark.range(1).select(), lambda _: None)
+    assert not pm.write_if_nonempty(spark.range(0).select(), lambda _: None)
+
+
 def test_overwrite_replaces_all_in_a_dynamic_session(spark, tmp_path):
     path, setting = str(tmp_path / "set"), "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(setting)

@@ -131,3 +131,11 @@ def test_partition_filter_reaches_the_scan(spark, tmp_path):
     text = plan(layer.filter(F.col("country") == " Country ASIA").select("id"))
     assert "PartitionFilters: [isnotnull(country" in text
     assert "ReadSchema: struct<id:string>" in text
+
+
+def test_dedup_any_sorts_by_keys_alone(spark):
+    df = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), (None, 1, "z")], "id string, x int, `t.u` string")
+    found = pm.dedup_any(df, "id")
+    assert found.columns == df.columns and found.count() == 2
+    sorts = [line for line in plan(found).split("\n") if re.search(r"\bSort \[", line)]
+    assert sorts and all(re.search(r"Sort \[id#\d+ ASC NULLS FIRST\]", line) for line in sorts)
