@@ -6,8 +6,11 @@ from collections import Counter
 import pytest
 
 import corpus_pipeline
+from placemill.llm import langid, quality
 from placemill.llm import queries as Q
 
+from ..conftest import TESTDATA
+
 TABLES = {
     "benchmark": "item_id bigint, text string",
     "labels": "doc_id bigint, quality bigint, toxic bigint",
@@ -103,3 +106,23 @@ def test_stages_keep_rows_as_they_are(spark, folder, awkward, name, stage, empty
         assert [number for _, number in ids] == [None, -5, 1, 3, 4, 5, 7, 8, 9, 9, 2**63 - 1]
     if name == "language_id" and not empty:
         assert not {1, 2, 3} & {row["doc_id"] for row in kept}
+
+
+def test_documents_in_several_languages_stay(spark):
+    """Texts joined from documents of three and four languages have no likely language, and are clean all the same."""
+    sf_dir = f"{TESTDATA}/sf0.01"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    by_lang = {}
+    for row in docs.filter("length(text) BETWEEN 300 AND 600").orderBy("doc_id").collect():
+        by_lang.setdefault(row["lang"], []).append(row["text"])
+    texts = [" ".join(parts[:count]) for parts in list(zip(*by_lang.values(), strict=False))[:10] for count in (3, 4)]
+    mixed = spark.createDataFrame([(10**9 + k, text) for k, text in enumerate(texts)], "doc_id bigint, text string")
+    both = docs.unionByName(mixed, allowMissingColumns=True)
+    kept = dict(corpus_pipeline.STAGES)["language_id"](spark, both, sf_dir).filter("doc_id >= 1000000000")
+    assert len(texts) >= 10 and kept.count() == len(texts)
+
+
+def test_clashing_names_in_any_case(spark):
+    docs = spark.createDataFrame([(1, "some text", "a", "b")], "doc_id bigint, text string, Score string, LANG_PRED string")
+    assert langid.identify(docs, None).select("score", "lang_pred").first() == (0.0, "und")
+    assert quality.assess(docs.drop("LANG_PRED"), None).select("score").first() == (0.5,)
