@@ -15,6 +15,8 @@ from placemill.functions.paging import RECORD_SEQ_STRIDE
 
 #: Rows that a chunk of a group may have.
 CHUNK_ROWS = 1_000_000
+#: A block of a group is 2 to the power of this many chunks.
+BLOCK_BITS = 10
 
 
 def impute_site_max(df: DataFrame, group: str = "nome", value: str = "site") -> DataFrame:
@@ -58,9 +60,13 @@ def impute_site_fill(
     Rows whose group is null lose their value. ``order`` is a unique whole number. Every group is cut into chunks of
     ``span`` consecutive order values (by default :func:`chunk_span`), so a chunk has at most ``span`` rows, or as many
     as a span of pages holds. What a gap needs from beyond its chunk (the next chunk's first value, else the group's
-    last) comes from a table with one row for each group and chunk, joined by a shuffle on both. Order values with
-    long gaps make for many chunks; number the rows with ``global_position`` first, then, or raise ``span``. Rows that
-    have a value send only that value, not the whole row. The input is read three times.
+    last) comes from a table with one row for each group and chunk, joined by a shuffle on both.
+
+    That table is scanned on two levels: values are carried first across blocks of 1,024 chunks, of which a group has one
+    row each, then across the chunks of a block. So a task holds a block's chunks or a group's blocks, never all chunks of
+    a group: a group of 10**12 rows has a million chunks and a thousand blocks. Order values with long gaps make for many
+    chunks; number the rows with ``global_position`` first, then, or raise ``span``. Rows that have a value send only that
+    value, not the whole row. The input is read four times, or three where Spark reuses the chunk table's shuffle.
     """
     if not isinstance(df.schema[order].dataType, T.IntegralType):
         raise TypeError(f"{order} must be a whole-number column to be cut into chunks")
@@ -68,21 +74,48 @@ def impute_site_fill(
     width = F.lit(span or chunk_span(order, per_page))
     chunk = F.col(order) - F.pmod(F.col(order), width)
 
-    # Backwards through a group: the nearest value behind the cursor is the next value. (The same in forward direction
-    # would need a frame that ends at the group's end, which Spark evaluates anew for each row.)
+    number = F.call_function("div", chunk, width)
     edges = (
         df.filter(grouped)
-        .groupBy(F.col(group).alias("__fill_group"), chunk.alias("__fill_chunk"))
+        .groupBy(
+            F.col(group).alias("__fill_group"),
+            F.shiftright(number, BLOCK_BITS).alias("__fill_block"),
+            chunk.alias("__fill_chunk"),
+        )
         .agg(
             F.min_by(value, F.when(present, F.col(order))).alias("__chunk_first"),
             F.max_by(value, F.when(present, F.col(order))).alias("__chunk_last"),
         )
     )
-    chunks = Window.partitionBy("__fill_group").orderBy(F.desc("__fill_chunk"))
-    later = F.last("__chunk_first", ignorenulls=True).over(chunks.rowsBetween(Window.unboundedPreceding, -1))
-    whole = chunks.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    last_of_all = F.first("__chunk_last", ignorenulls=True).over(whole)
-    beyond = edges.select("__fill_group", "__fill_chunk", F.coalesce(later, last_of_all).alias("__beyond"))
+    # Backwards, on both levels: the nearest value behind the cursor is the next value. (The same in forward direction
+    # would need a frame that ends at the group's end, which Spark evaluates anew for each row.) If there is none, the
+    # last value is that of the row's own block, else of the blocks before it.
+    blocks = edges.groupBy("__fill_group", "__fill_block").agg(
+        F.min_by("__chunk_first", F.when(F.col("__chunk_first").isNotNull(), F.col("__fill_chunk"))).alias("__block_first"),
+        F.max_by("__chunk_last", F.when(F.col("__chunk_last").isNotNull(), F.col("__fill_chunk"))).alias("__block_last"),
+    )
+    by_block = Window.partitionBy("__fill_group").orderBy(F.desc("__fill_block"))
+    behind, whole = (Window.unboundedPreceding, -1), (Window.unboundedPreceding, Window.unboundedFollowing)
+    carried = blocks.select(
+        F.col("__fill_group").alias("__block_group"),
+        F.col("__fill_block").alias("__block"),
+        F.last("__block_first", ignorenulls=True).over(by_block.rowsBetween(*behind)).alias("__later_block"),
+        F.first("__block_last", ignorenulls=True).over(by_block.rowsBetween(*whole)).alias("__last_of_all"),
+    )
+    by_chunk = Window.partitionBy("__fill_group", "__fill_block").orderBy(F.desc("__fill_chunk"))
+    inside = edges.select(
+        "__fill_group",
+        "__fill_block",
+        "__fill_chunk",
+        F.last("__chunk_first", ignorenulls=True).over(by_chunk.rowsBetween(*behind)).alias("__later_chunk"),
+        F.first("__chunk_last", ignorenulls=True).over(by_chunk.rowsBetween(*whole)).alias("__last_inside"),
+    )
+    same_block = (F.col("__fill_group") == F.col("__block_group")) & F.col("__fill_block").eqNullSafe(F.col("__block"))
+    beyond = inside.join(carried, same_block).select(
+        "__fill_group",
+        "__fill_chunk",
+        F.coalesce("__later_chunk", "__later_block", "__last_inside", "__last_of_all").alias("__beyond"),
+    )
 
     others = [name for name in df.columns if name not in (group, order, value)]
     rest: Column = F.when(~present, F.struct(*others)) if others else F.lit(None)

@@ -20,9 +20,8 @@ def global_position(df: DataFrame, *order_by: str, name: str = "position", uniqu
     those sizes, one row for each partition, are brought together.
 
     Rows with equal order values come in any order among themselves. So that many of them spread over several
-    partitions, their place in the input breaks the tie, and the input is pinned to make that place lasting; the order
-    columns alone are then sorted and pinned, and the rows join them by place. If no two rows have equal order values,
-    say ``unique``: the rows are sorted and pinned themselves.
+    partitions, their place in the input breaks the tie, and the input is pinned first to make that place lasting. If no
+    two rows have equal order values, say ``unique``: that copy is saved.
     """
     return _placed(df, order_by, name, unique)[0]
 
@@ -30,15 +29,14 @@ def global_position(df: DataFrame, *order_by: str, name: str = "position", uniqu
 def _placed(df: DataFrame, order_by: Sequence[str], name: str, unique: bool) -> tuple[DataFrame, DataFrame]:
     """The rows with their position, and the sizes of the range partitions (column ``__rows``)."""
     if unique:
-        source, order, moved = df, list(order_by), df.columns
+        source, order = df, list(order_by)
     else:
-        # Only order columns are sorted and pinned again; the rows are read from the first copy.
-        copy = pin(df.withColumn("__tie", F.monotonically_increasing_id()), "unordered")
-        source, order, moved = copy.select(*order_by, "__tie"), [*order_by, "__tie"], ["__tie"]
+        source, order = pin(df.withColumn("__tie", F.monotonically_increasing_id()), "unordered"), [*order_by, "__tie"]
     ranked = (
         source.repartitionByRange(*order)
         .sortWithinPartitions(*order)
-        .select(*moved, F.monotonically_increasing_id().alias("__number"))
+        .drop("__tie")
+        .withColumn("__number", F.monotonically_increasing_id())
     )
     blocks = pin(ranked, "positions").withColumns(
         {"__block": F.shiftright("__number", _RANK_BITS), "__rank": F.col("__number").bitwiseAND((1 << _RANK_BITS) - 1)}
@@ -52,8 +50,6 @@ def _placed(df: DataFrame, order_by: Sequence[str], name: str, unique: bool) ->
         .withColumn("__place", F.col("__start") + F.col("__rank"))
         .drop("__block", "__number", "__rank", "__start")
     )
-    if not unique:
-        placed = copy.join(placed, "__tie").drop("__tie")
     return placed.withColumnRenamed("__place", name), sizes
 
 

@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 
 import placemill as pm
 from placemill import schema as S
+from placemill.operators import impute
 from placemill.operators.impute import chunk_span
 
+from .conftest import TESTDATA
+
 
 def brute_fill(rows):
     """(group, order, value) rows: next value of the group, else the previous one; none without a group."""
@@ -59,6 +62,43 @@ def test_impute_fill_equals_python(spark, seed, span):
     assert sorted(map(tuple, got), **SORT) == sorted(brute_fill(rows), **SORT)
 
 
+@pytest.mark.parametrize("bits", [0, 1, 3])
+@pytest.mark.parametrize("hot", [0.05, 0.9])
+def test_impute_fill_carries_across_blocks(spark, monkeypatch, bits, hot):
+    """Blocks of one, two and eight chunks of five order values: most gaps are filled from another block."""
+    monkeypatch.setattr(impute, "BLOCK_BITS", bits)
+    rows = [(group, order, value if order % 40 < 8 else None) for group, order, value in random_rows(21, hot=hot)]
+    got = pm.impute_site_fill(frame(spark, rows), "k", span=5).collect()
+    assert sorted(map(tuple, got), **SORT) == sorted(brute_fill(rows), **SORT)
+
+
+def test_impute_fill_at_the_ends_of_a_long(spark):
+    ends = [-(2**63) + 2**40, -1, 0, 1, 2**63 - 2]
+    rows = [("g", ends[0], None), ("g", ends[1], "a"), ("g", ends[2], None), ("g", ends[3], None), ("g", ends[4], None)]
+    got = pm.impute_site_fill(frame(spark, rows), "k", span=2**33).collect()
+    assert sorted(map(tuple, got), **SORT) == sorted(brute_fill(rows), **SORT)
+
+
+def test_chunks_of_a_hot_group_spread_over_tasks(spark, shuffled_joins):
+    """The window over chunks gets a hot group's thousands of chunks in blocks, that over blocks one row for each."""
+    lines = spark.read.parquet(f"{TESTDATA}/sf0.01/lineitem.parquet")
+    lines = lines.groupBy("l_orderkey", "l_linenumber").agg(
+        *(F.max(name).alias(name) for name in ("l_partkey", "l_suppkey", "l_shipdate"))
+    )
+    df = lines.select(
+        F.when(F.col("l_orderkey") % 3 == 0, "hot").otherwise(F.col("l_partkey").cast("string")).alias("nome"),
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("k"),
+        F.when(F.col("l_suppkey") % 5 == 0, F.col("l_shipdate").cast("string")).alias("site"),
+    )
+    hot = df.filter("nome = 'hot'").select(F.expr("k div 8").alias("chunk"), F.expr("k div 8192").alias("block")).distinct()
+    blocks = hot.groupBy("block").count().agg(F.sum("count"), F.count("*"), F.max("count")).first()
+    assert blocks[0] > 2000 and blocks[1] > 10 and blocks[2] <= 1024
+    got = pm.impute_site_fill(df, "k", span=8).toPandas().sort_values("k")
+    wanted = df.toPandas().sort_values("k")
+    wanted["site"] = wanted.groupby("nome")["site"].transform(lambda part: part.bfill().ffill())
+    assert list(got["k"]) == list(wanted["k"]) and list(got["site"].fillna("")) == list(wanted["site"].fillna(""))
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_impute_max_equals_python(spark, seed):
     rows = random_rows(seed)

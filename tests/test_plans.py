@@ -98,12 +98,15 @@ def test_impute_max_moves_only_rows_with_gaps(bronze):
 
 def test_impute_fill_never_sorts_a_whole_group(bronze):
     df = pm.rename_columns(bronze)
-    text = plan(pm.impute_site_fill(df, S.LOAD_SEQ))
+    text = plan(pm.impute_site_fill(df, S.LOAD_SEQ), run=True)
     assert re.search(r"Exchange hashpartitioning\(nome#\d+, __chunk#\d+L", text)
-    assert text.count("FileScan") == 3
-    # Windows over a group as such run on one row for each chunk.
-    group_windows = re.findall(r"Window \[.*?\], \[(\w+)#\d+\], \[", text)
-    assert set(group_windows) == {"__fill_group"}
+    # The chunk table is worked out once: its second reader takes the same shuffle.
+    assert text.count("FileScan") == 3 and "ReusedExchange" in text
+    # Windows over a group as such run on one row for each block of chunks, those over chunks on one block.
+    windows = re.findall(r"Window \[.*?\], \[(\w+)#\d+(?:, (\w+)#\d+L)?\], \[", text)
+    assert set(windows) == {("__fill_group", ""), ("__fill_group", "__fill_block"), ("nome", "__chunk")}
+    by_group = next(line for line in text.split("\n") if re.search(r"Window .*\], \[__fill_group#\d+\], \[", line))
+    assert "__block_first" in by_group and "__chunk_first" not in by_group
 
 
 def test_positions_read_the_input_once(spark, tmp_path):
@@ -111,7 +114,9 @@ def test_positions_read_the_input_once(spark, tmp_path):
     before = spark.read.parquet(str(tmp_path / "in"))
     for unique, order in ((False, ["k"]), (True, ["id"])):
         text = plan(pm.page_plan(before, *order, unique=unique))
-        # Of what was pinned, rows with all columns are read once; the rest are partition numbers.
+        # Of what was pinned, rows with all columns are read once; the rest are partition numbers. No join but with the
+        # partitions' sizes, which are broadcast.
+        assert "SortMergeJoin" not in text and "__tie" not in text
         scans = re.findall(r"FileScan parquet \[(.*?)\]", text)
         assert sum("wide" in columns for columns in scans) == 1
         assert all(columns.startswith("__number#") for columns in scans if "," not in columns)
