@@ -17,6 +17,8 @@ SLOTS = 4096
 SHARDS = 40
 #: Bytes that a record needs besides its text.
 OVERHEAD = 16
+#: Rows by which a slot may exceed twice the mean before its rows are dealt to other slots.
+SPARE = 16
 
 
 class SlotMap(NamedTuple):
@@ -105,6 +107,15 @@ def slot_of(columns: list[Column], slots: int = SLOTS) -> Column:
     return F.pmod(F.xxhash64(*columns), F.lit(slots)).cast("int")
 
 
+def _held(records: DataFrame, slots: int) -> tuple[list[int], list[int]]:
+    """Bytes and rows of each virtual slot."""
+    bytes_of, rows_of = [0] * slots, [0] * slots
+    held = records.groupBy("virtual_slot").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows"))
+    for row in held.collect():
+        bytes_of[row["virtual_slot"]], rows_of[row["virtual_slot"]] = row["bytes"], row["rows"]
+    return bytes_of, rows_of
+
+
 def shard_records(
     docs: DataFrame, *, shards: int = SHARDS, slots: int = SLOTS, root: str | None = None, text: str = "text"
 ) -> DataFrame:
@@ -112,10 +123,13 @@ def shard_records(
 
     Returns ``doc_id``, ``size`` (UTF-8 bytes of the text, none for null, plus ``OVERHEAD``), ``text_crc32`` (of an empty
     text for null), ``law`` (``bytes``), ``shard``, ``slot`` (the row's place in its shard, from 0 without gaps),
-    ``grown_shard`` (null under this law) and ``virtual_slot``. The virtual slot follows from id, checksum and size, so
-    rows that agree in all three share one; the map starts even, is edited by the bytes of the slots, and both versions
-    are stored below ``root`` (by default a new folder in the shared one). Other columns are not read; an empty table
-    gives no rows.
+    ``grown_shard`` (null under this law) and ``virtual_slot``. The virtual slot follows from id, checksum and size; the
+    map starts even, is edited by the bytes of the slots, and both versions are stored below ``root`` (by default a new
+    folder in the shared one). Other columns are not read; an empty table gives no rows.
+
+    Rows that agree in id, checksum and size would share a slot, however many they are. The rows of a crowded slot (more
+    than twice the mean number of rows, and ``SPARE`` more) are therefore dealt to all slots by their place in the stored
+    records too: number of the file's partition and row in the file, which do not change when a task is run again.
 
     Texts are read once and never shuffled. Each virtual slot is numbered by itself, and starts in its shard where the
     slots before it end; so no task sees a whole shard.
@@ -127,10 +141,15 @@ def shard_records(
     )
     keyed = ["doc_id", "text_crc32", "size"]
     records = pin(records.withColumn("virtual_slot", slot_of([F.col(name) for name in keyed], slots)), "records")
-    held = records.groupBy("virtual_slot").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows")).collect()
-    bytes_of, rows_of = [0] * slots, [0] * slots
-    for row in held:
-        bytes_of[row["virtual_slot"]], rows_of[row["virtual_slot"]] = row["bytes"], row["rows"]
+    bytes_of, rows_of = _held(records, slots)
+    crowded = [slot for slot, rows in enumerate(rows_of) if rows * slots > 2 * sum(rows_of) + SPARE * slots]
+    if crowded:
+        part = F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1)
+        dealt = slot_of([*(F.col(name) for name in keyed), part, F.col("_metadata.row_index")], slots)
+        records = records.withColumn(
+            "virtual_slot", F.when(F.col("virtual_slot").isin(crowded), dealt).otherwise(F.col("virtual_slot"))
+        )
+        bytes_of, rows_of = _held(records, slots)
     root = root or scratch_path(spark, "slot-map")
     first = SlotMap.even(slots, shards)
     save_map(spark, root, first)

@@ -37,6 +37,27 @@ def test_sharding(spark, tmp_path):
     assert all(current.shard_of[slot] == shard for slot, (shard,) in virtual.items())
 
 
+@pytest.mark.parametrize("text", ["'copy ' || repeat('x', 3000)", "null"])
+def test_sharding_of_equal_rows(spark, text):
+    """A third of all rows agree in id and text: they do not stay in one slot, and run twice, all rows lie as before."""
+    docs = spark.range(0, 60_000, 1, 8).selectExpr(
+        "if(id % 3 = 0, null, id) AS doc_id", f"if(id % 3 = 0, {text}, repeat('y', cast(id % 2000 AS int))) AS text"
+    )
+    out = S.shard_records(docs).cache()
+    held = out.groupBy("shard").agg(
+        F.sum("size").alias("bytes"), F.count("*").alias("rows"), F.min("slot").alias("low"),
+        F.max("slot").alias("high"), F.countDistinct("slot").alias("slots"),
+    ).collect()
+    mean = sum(row["bytes"] for row in held) / 40
+    assert len(held) == 40 and all(abs(row["bytes"] - mean) < 0.01 * mean for row in held)
+    assert all((row["low"], row["high"], row["slots"]) == (0, row["rows"] - 1, row["rows"]) for row in held)
+    fullest = out.groupBy("virtual_slot").count().agg(F.max("count")).first()[0]
+    assert sum(row["rows"] for row in held) == 60_000 and fullest < 60
+    again = S.shard_records(docs)
+    assert again.exceptAll(out).isEmpty()
+    out.unpersist()
+
+
 def test_growing_and_shrinking_a_map():
     rng = np.random.default_rng(1)
     sizes = [int(size) for size in rng.pareto(2, 2000) * 1000 + 50]
