@@ -12,6 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,10 +22,12 @@ from placemill.llm.texts import segments
 from placemill.llm.words import blocks, mix
 from placemill.staging import pin, scratch_path
 
-#: Bytes of a record. Token ids are the text's UTF-8 bytes; END follows a text's last, PAD fills its last record. UTF-8
-#: uses neither value.
+#: Bytes of a record. For a text, token ids are its UTF-8 bytes; END follows the last, PAD fills the last record. UTF-8
+#: uses neither value. For arrays of ids, END and PAD are likewise the two largest numbers of the token width.
 STRIDE = 2048
 END, PAD = 0xFE, 0xFF
+#: Ids that are worked on at once.
+BLOCK_IDS = 1 << 18
 #: Records of a shard.
 PER_SHARD = 8192
 ROUNDS = 6
@@ -62,11 +65,42 @@ def restore(places: np.ndarray, size: int, key: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def records(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", stride: int = STRIDE) -> DataFrame:
+def id_blocks(lists: pa.Array, width: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """What ``words.blocks`` gives for texts, for lists of token ids: number of the first list, ids, offsets."""
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    ids = lists.flatten()
+    if ids.null_count:
+        owners = pc.list_parent_indices(lists).filter(pc.is_null(ids)).to_numpy()
+        sizes -= np.bincount(owners, minlength=len(sizes))
+        ids = ids.drop_null()
+    ids, offsets = ids.to_numpy(zero_copy_only=False), np.concatenate([[0], np.cumsum(sizes)])
+    if len(ids) and (ids.min() < 0 or ids.max() >= 256**width - 2):
+        raise ValueError(f"token ids from {ids.min()} to {ids.max()} do not fit into {width} bytes beside END and PAD")
+    first = 0
+    while first < len(sizes):
+        stop = int(np.searchsorted(offsets, offsets[first] + BLOCK_IDS, "right")) - 1
+        stop = min(max(stop, first + 1), len(sizes))
+        yield first, ids[offsets[first] : offsets[stop]], offsets[first : stop + 1] - offsets[first]
+        first = stop
+
+
+def records(
+    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", stride: int = STRIDE, width: int | None = None
+) -> DataFrame:
     """Rows (doc_id, part, n_tokens, tokens): each text and END, cut into records of ``stride`` bytes, the last padded.
 
-    ``n_tokens`` counts END but no padding. A null or empty text is END alone. Nothing is shuffled.
+    ``text`` is a text, whose tokens are its UTF-8 bytes, or an array of token ids such as ``bpe.encode`` gives, written
+    as little-endian numbers of ``width`` bytes (2 or 4, the default), of which ``stride`` is a multiple. Ids that are
+    negative or reach END fail the job; null ids in an array are left out.
+
+    ``n_tokens`` counts END but no padding. A null or empty text or array is END alone. Nothing is shuffled.
     """
+    listed = isinstance(docs.schema[text].dataType, T.ArrayType)
+    width = width or (4 if listed else 1)
+    if width not in ((2, 4) if listed else (1,)) or stride < width or stride % width:
+        raise ValueError("a token has 1 byte in a text, 2 or 4 in an array of ids, and a record whole tokens")
+    number, length = np.dtype(f"<u{width}"), stride // width
+    pad = np.iinfo(number).max
     ship_package(docs.sparkSession)
     kind = docs.schema[doc_id].dataType
     schema = T.StructType(
@@ -80,16 +114,17 @@ def records(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", stri
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, data, offsets in blocks(batch.column(1)):
+            cells = batch.column(1)
+            for first, data, offsets in id_blocks(cells, width) if listed else blocks(cells):
                 count = len(offsets) - 1
                 ends = offsets[1:] + np.arange(1, count + 1)
-                whole = np.full(len(data) + count, END, np.uint8)
+                whole = np.full(len(data) + count, pad - 1, number)
                 inside = np.ones(len(whole), bool)
                 inside[ends - 1] = False
                 whole[inside] = data
-                starts, lengths, owner = segments(np.concatenate([[0], ends]), stride)
-                column = np.arange(stride)
-                table = np.full((len(starts), stride), PAD, np.uint8)
+                starts, lengths, owner = segments(np.concatenate([[0], ends]), length)
+                column = np.arange(length)
+                table = np.full((len(starts), length), pad, number)
                 filled = column < lengths[:, None]
                 table[filled] = whole[(starts[:, None] + column)[filled]]
                 bounds = np.searchsorted(owner, np.arange(count))
@@ -101,7 +136,8 @@ def records(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", stri
                     names=schema.fieldNames(),
                 )
 
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, schema)
+    cells = F.col(f"`{text}`").cast("array<bigint>" if listed else "string")
+    return docs.select(F.col(f"`{doc_id}`").alias("doc_id"), cells.alias("text")).mapInArrow(run, schema)
 
 
 def numbered(written: DataFrame) -> tuple[DataFrame, int]:
@@ -128,17 +164,20 @@ def materialise(
     text: str = "text",
     stride: int = STRIDE,
     per_shard: int = PER_SHARD,
+    width: int | None = None,
 ) -> DataFrame:
-    """Write the records of all texts in the order that ``key`` gives them; returns the written table.
+    """Write the records of all texts, or arrays of token ids, in the order that ``key`` gives them; returns the written
+    table. For ``stride`` and ``width`` see :func:`records`.
 
     Columns ``place`` (from 0 without gaps), ``shard`` (place // per_shard), ``offset`` (in the shard, in bytes),
     ``doc_id``, ``part``, ``n_tokens``, ``tokens``. Below ``root`` (by default a new folder in the shared one) there is a
     folder for each shard, in it the records in order of their places. Rows of equal ids each have records of their own;
-    an empty table writes none. The text is shuffled once, by ranges of places, which are equally full whatever the data.
+    an empty table writes none; other columns are not read. The text is shuffled once, by number of shard, and shards are
+    equally full whatever the data.
     """
     spark = docs.sparkSession
     cut = scratch_path(spark, "records")
-    written = records(docs, doc_id=doc_id, text=text, stride=stride)
+    written = records(docs, doc_id=doc_id, text=text, stride=stride, width=width)
     written.write.option("compression", "zstd").parquet(cut)
     counted, size = numbered(spark.read.schema(written.schema).parquet(cut))
 
@@ -156,8 +195,9 @@ def materialise(
     columns = ["place", "shard", "offset", "doc_id", "part", "n_tokens", "tokens"]
     root = root or scratch_path(spark, "shards")
     shards = max(1, -(-size // per_shard))
-    ranged = placed.select(*columns).repartitionByRange(min(shards, 100_000), "shard").sortWithinPartitions("place")
-    ranged.write.partitionBy("shard").mode("overwrite").option("compression", "zstd").parquet(root)
+    # A task writes whole shards, one after another. Their numbers are known, so nothing is sampled.
+    dealt = placed.select(*columns).repartitionById(min(shards, 100_000), "shard").sortWithinPartitions("shard", "place")
+    dealt.write.partitionBy("shard").mode("overwrite").option("compression", "zstd").parquet(root)
     return read_places(spark, root, schema=placed.select(*columns).schema)
 
 

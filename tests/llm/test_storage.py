@@ -4,9 +4,11 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
+from placemill.llm import bpe
 from placemill.llm import materialise as M
 from placemill.llm import queries as Q
 from placemill.llm import sharding as S
@@ -139,6 +141,72 @@ def test_training_order(spark, tmp_path):
     assert again.count() == size
 
 
+@pytest.mark.parametrize("width", [2, 4, None])
+def test_training_order_of_token_ids(spark, tmp_path, width):
+    """What bpe.encode gives comes back token by token, and decodes to the texts."""
+    automaton = bpe.load(public_tokenizers.path("byte_bpe_50k.json"))
+    docs = spark.read.parquet(f"{TESTDATA}/sf0.001/documents.parquet")
+    ids = bpe.encode(docs, automaton, keep=["doc_id"])
+    written = M.materialise(ids, key=9, root=f"{tmp_path}/shards", text="ids", stride=512, per_shard=50, width=width)
+    number = np.dtype(f"<u{width or 4}")
+    end = np.iinfo(number).max - 1
+    parts = defaultdict(dict)
+    for row in written.collect():
+        tokens = np.frombuffer(bytes(row["tokens"]), number)
+        assert len(row["tokens"]) == 512 and row["n_tokens"] <= len(tokens)
+        assert (tokens[row["n_tokens"] :] == end + 1).all() and row["offset"] == row["place"] % 50 * 512
+        parts[row["doc_id"]][row["part"]] = tokens[: row["n_tokens"]]
+    wanted = dict(ids.select("doc_id", "ids").collect())
+    joined = {key: np.concatenate([found[k] for k in range(len(found))]).tolist() for key, found in parts.items()}
+    assert joined == {key: [*(found or []), end] for key, found in wanted.items()}
+
+
+def test_training_order_of_awkward_ids(spark):
+    rows = [(1, [1, None, 3]), (1, [1, None, 3]), (None, []), (2, None), (3, [None]), (4, list(range(9000))), (5, [65533])]
+    ids = spark.createDataFrame(rows, "`a.b` bigint, place array<int>").coalesce(1)
+    got = [tuple(row) for row in M.records(ids, doc_id="a.b", text="place", stride=8, width=2).collect()]
+    tokens = [(key, part, np.frombuffer(bytes(raw), "<u2")[:n].tolist()) for key, part, n, raw in got]
+    end = 65534
+    assert tokens[:5] == [(1, 0, [1, 3, end]), (1, 0, [1, 3, end]), (None, 0, [end]), (2, 0, [end]), (3, 0, [end])]
+    assert [token for key, _, part in tokens if key == 4 for token in part] == [*range(9000), end]
+    assert tokens[-1] == (5, 0, [65533, end])
+    for wrong in (-1, 65534):
+        with pytest.raises(Exception, match="do not fit"):
+            M.records(spark.createDataFrame([(1, [wrong])], "doc_id int, text array<int>"), width=2).collect()
+    for options in ({"width": 1}, {"width": 4, "stride": 10}, {"width": 3}):
+        with pytest.raises(ValueError):
+            M.records(ids, doc_id="a.b", text="place", **options)
+    with pytest.raises(ValueError):
+        M.records(ids.select(F.col("`a.b`").alias("doc_id"), F.lit("x").alias("text")), width=2)
+
+
+def test_training_order_of_awkward_texts(spark, tmp_path):
+    """Nulls, repeated ids, a long text, and columns that have the names of the result's."""
+    rows = [(None, None), (None, "a"), (1, ""), (1, "b"), (1, "b"), (2, "\u00e9" * 100_000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr(
+        "*", "'x' AS place", "'x' AS Shard", "1 AS offset", "0 AS part", "0 AS n_tokens", "'x' AS tokens", "0 AS number"
+    )
+    written = M.materialise(docs, key=3, root=f"{tmp_path}/shards", stride=1000, per_shard=7)
+    found = sorted(written.collect(), key=lambda row: row["place"])
+    assert [row["place"] for row in found] == list(range(206)) and {row["shard"] for row in found} == set(range(30))
+    whole = defaultdict(list)
+    for row in sorted(found, key=lambda row: row["part"]):
+        whole[row["doc_id"]].append(bytes(row["tokens"][: row["n_tokens"]]))
+    assert b"".join(whole.pop(2)) == ("\u00e9" * 100_000).encode() + bytes([M.END])
+    one, none = bytes([M.END]), b"a" + bytes([M.END])
+    assert {key: sorted(parts) for key, parts in whole.items()} == {None: [none, one], 1: [b"b" + one, b"b" + one, one]}
+
+
+def test_shards_are_written_in_order_and_without_sampling(spark, tmp_path):
+    """Each folder is one file whose rows follow one another, though a task writes several."""
+    docs = spark.range(500).selectExpr("id AS doc_id", "'text ' || id AS text")
+    written = M.materialise(docs, key=4, root=f"{tmp_path}/shards", stride=64, per_shard=20)
+    located = written.select("place", "shard", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
+    rows = located.collect()
+    assert len({row["file"] for row in rows}) == len({row["shard"] for row in rows}) == 25
+    assert all(row["at"] == row["place"] % 20 for row in rows)
+
+
 def test_order_query(spark):
     out = Q.op9_training_order(spark, f"{TESTDATA}/sf0.001")
     assert out.agg(F.max("place") + 1 == F.count("place"), F.countDistinct("place") == F.count("place")).first() == (True, True)
