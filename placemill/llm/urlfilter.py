@@ -13,6 +13,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from placemill.staging import pin
+
 #: Bits of the filter for each listed URL. A block has WORDS words of 64 bits.
 BITS_EACH = 16
 WORDS = 8
@@ -107,33 +109,38 @@ def filter_urls(
     path. Input columns of the added names are replaced. Repeated or null keys in the list change nothing; an empty list
     blocks nothing.
 
-    Rows that the rules decide or the filter turns away are not shuffled. The list is shuffled by its keys, so a hot URL
-    meets a single row there, and adaptive execution may split its rows.
+    Rows that the rules decide or the filter turns away are not shuffled, unless the filter is too large to broadcast:
+    then all rows with a key that no rule decides are, by block. The list is shuffled by its keys, so a hot URL meets a
+    single row there, and adaptive execution may split its rows. The pages are read twice, once for the few that pass the
+    filter; the list is worked out once.
     """
     added = {"host", "path", "rule", "verdict"}
-    columns = [name for name in (pages.columns if keep is None else keep) if name not in added]
-    keys = listed.select(F.col("key").alias("__listed")).filter("__listed IS NOT NULL").distinct()
+    columns = [name for name in (pages.columns if keep is None else keep) if name.lower() not in added]
+    keys = pin(listed.select(F.col("key").alias("__listed")).filter("__listed IS NOT NULL").distinct(), "listed")
     blocks = max(1, math.ceil(keys.count() * BITS_EACH / (64 * WORDS)))
     filled = bloom_filter(keys, "__listed", blocks)
     filled = filled.select(F.col("block").alias("__at"), *[F.col(f"w{word}").alias(f"__w{word}") for word in range(WORDS)])
-    if blocks * 8 * (WORDS + 1) <= broadcast_bytes:
-        filled = F.broadcast(filled)
     parts = pages.withColumn("__url", F.col(url)).select(*[F.col(f"`{name}`") for name in columns], "__url")
     parts = parts.withColumns({"__host": host_of(F.col("__url")), "__path": path_of(F.col("__url"))})
     name, verdict = longest_rule(F.col("__host"), F.col("__path"), rules)
     judged = parts.withColumns({"__rule": name, "__verdict": verdict})
-    settled = judged.filter("__verdict IS NOT NULL").select(*judged.columns)
-    open_ = judged.filter("__verdict IS NULL").withColumn("__key", canonical(F.col("__url")))
-    tried = open_.join(filled, _block(F.col("__key"), blocks) == F.col("__at"), "left")
-    hits = [F.col(f"__w{word}").bitwiseAND(bit) != 0 for word, bit in enumerate(_bits(F.col("__key")))]
-    passed = F.coalesce(F.col("__key").isNotNull(), F.lit(False))
-    for hit in hits:
-        passed &= F.coalesce(hit, F.lit(False))
-    found = tried.filter(passed).join(keys, F.col("__key") == F.col("__listed"), "left")
+    judged = judged.withColumn("__key", F.when(F.col("__verdict").isNull(), canonical(F.col("__url"))))
+    same_block = _block(F.col("__key"), blocks) == F.col("__at")
+    if blocks * 8 * (WORDS + 1) <= broadcast_bytes:
+        tried = judged.join(F.broadcast(filled), same_block, "left")
+    else:
+        # Rows without a key would all meet in one task.
+        tried = judged.filter("__key IS NOT NULL").join(filled, same_block, "left")
+        tried = tried.unionByName(judged.filter("__key IS NULL"), allowMissingColumns=True)
+    passed = F.col("__key").isNotNull()
+    for word, bit in enumerate(_bits(F.col("__key"))):
+        passed &= F.coalesce(F.col(f"__w{word}").bitwiseAND(bit) != 0, F.lit(False))
     blocked = F.when(F.col("__listed").isNotNull(), "block").otherwise("allow")
-    found = found.withColumn("__verdict", blocked).select(*judged.columns)
-    clear = tried.filter(~passed).withColumn("__verdict", F.lit("allow")).select(*judged.columns)
-    return settled.union(clear).union(found).select(
+    found = tried.filter(passed).join(keys, F.col("__key") == F.col("__listed"), "left").withColumn("__verdict", blocked)
+    clear = tried.filter(~passed).withColumn("__verdict", F.coalesce("__verdict", F.lit("allow")))
+    whole = [F.col(f"`{name}`") for name in judged.columns]
+    rows = clear.select(*whole).union(found.select(*whole))
+    return rows.select(
         *[F.col(f"`{name}`") for name in columns],
         F.col("__host").alias("host"),
         F.col("__path").alias("path"),

@@ -56,3 +56,20 @@ def test_plan_is_native(spark):
     pages = spark.createDataFrame([(1, "http://a.net/")], "page_id int, url string")
     plan = U.filter_urls(pages, spark.createDataFrame([("a.net",)], "key string"), URL_RULES)
     assert not re.search("Python|Arrow", plan._jdf.queryExecution().executedPlan().toString())
+
+
+@pytest.mark.parametrize("broadcast_bytes", [U.BROADCAST_BYTES, 0])
+def test_clashing_names_and_scans(spark, tmp_path, broadcast_bytes):
+    rows = [(k, url, "h", "v", "w", "x") for k, url in enumerate(URLS)]
+    pages = spark.createDataFrame(rows, "page_id int, url string, Host string, VERDICT string, w0 string, `a.b` string")
+    pages.write.parquet(f"{tmp_path}/pages")
+    pages = spark.read.parquet(f"{tmp_path}/pages")
+    listed = pages.select(U.canonical(F.col("url")).alias("key")).filter("key LIKE 'listed%'")
+    out = U.filter_urls(pages, listed, URL_RULES, broadcast_bytes=broadcast_bytes)
+    assert out.columns == ["page_id", "url", "w0", "a.b", "host", "path", "rule", "verdict"]
+    found = {row["page_id"]: (row["host"], row["verdict"], row["w0"], row["a.b"]) for row in out.collect()}
+    assert len(found) == len(URLS) and found[len(URLS) - 1] == ("www.listed.net", "block", "w", "x")
+    assert found[0] == ("", "allow", "w", "x")
+    # One for those that pass the filter and one for the rest, or two where that is joined by block; none for the list.
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert len(re.findall(r"FileScan parquet \[page_id", plan)) == (2 if broadcast_bytes else 3)
