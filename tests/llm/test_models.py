@@ -1,5 +1,7 @@
 """The two trained models: derivatives against differences, and accuracy on documents they have not seen."""
 
+import unicodedata
+
 import numpy as np
 import pyarrow as pa
 
@@ -84,6 +86,88 @@ def test_attention_sums_to_one():
     np.testing.assert_allclose(np.bincount(text, weights), 1, atol=1e-5)
 
 
+def _logistic(x):
+    return 1 / (1 + np.exp(-x))
+
+
+def _plain_states(unit, segment):
+    """States of one gated recurrent unit, byte by byte."""
+    table, recurrent = unit.table.astype(np.float64), unit.recurrent.astype(np.float64)
+    size = recurrent.shape[1]
+    state, states = np.zeros(size), []
+    for byte in segment:
+        given, recalled = table[:, byte], recurrent @ state
+        update = _logistic(given[:size] + recalled[:size])
+        reset = _logistic(given[size : 2 * size] + recalled[size : 2 * size])
+        candidate = np.tanh(given[2 * size :] + reset * recalled[2 * size :])
+        state = update * state + (1 - update) * candidate
+        states.append(state)
+    return states
+
+
+def _plain_language(network, text):
+    """Language and score of a text, read one byte at a time."""
+    if not any(unicodedata.category(character).startswith("L") for character in text or ""):
+        return "und", 0.0
+    raw, found = text.encode(), []
+    for begin in range(0, len(raw), langid.SEGMENT):
+        segment = raw[begin : begin + langid.SEGMENT]
+        ahead = _plain_states(network.forwards, segment)
+        back = _plain_states(network.backwards, segment[::-1])[::-1]
+        for byte, one, two in zip(segment, ahead, back, strict=True):
+            if byte >= 128 or chr(byte).isalpha():
+                scores = np.exp(network.output @ np.concatenate([one, two]) + network.offset)
+                found.append(scores / scores.sum())
+    shares = np.mean(found, 0)
+    return network.languages[shares.argmax()], shares.max()
+
+
+def _plain_quality(model, text):
+    """Score of a text, passage by passage and trigram by trigram."""
+    raw, model = (text or "").encode(), quality.Model(*(np.asarray(weight, np.float64) for weight in model))
+    encodings, raised = [], []
+    for begin in range(0, max(len(raw), 1), quality.PASSAGE):
+        passage = raw[begin : begin + quality.PASSAGE]
+        counts, kinds, size = np.zeros(quality.BUCKETS), np.zeros(7), max(len(passage), 1)
+        for k, byte in enumerate(passage, begin):
+            character = chr(byte)
+            kinds[
+                6 if byte > 127 else 0 if character.islower() else 1 if character.isupper() else 2 if character.isdigit()
+                else 3 if character == " " else 4 if character.isspace() else 5
+            ] += 1
+            if k + 2 < len(raw):
+                code = ((byte * 0x01000193 ^ raw[k + 1]) * 0x01000193 ^ raw[k + 2]) * 0x9E3779B1 % 2**32
+                counts[code * quality.BUCKETS >> 32] += 1
+        shares = [*np.sqrt(counts / size), *(kinds / size), (counts > 0).sum() / size, len(passage) / quality.PASSAGE]
+        encoding = np.tanh(np.array(shares) @ model.encoder + model.offset)
+        encodings.append(encoding)
+        raised.append(np.exp((np.tanh(encoding @ model.value) * _logistic(encoding @ model.gate)) @ model.direction))
+    return _logistic(np.average(encodings, 0, raised) @ model.output + model.bias)
+
+
+def test_language_equals_reading_byte_by_byte(spark, awkward):
+    docs = spark.read.parquet(f"{TESTDATA}/sf0.001/documents.parquet")
+    network = langid.fit(docs, docs=20)
+    both = docs.select("text").union(awkward.filter("length(text) < 50000 OR text IS NULL").select("text"))
+    rows = langid.identify(both, network, keep=["text"]).collect()
+    assert len(rows) == both.count() and len({row["lang_pred"] for row in rows}) > 3
+    for row in rows:
+        language, score = _plain_language(network, row["text"])
+        assert row["lang_pred"] == language and abs(row["score"] - score) < 1e-4
+
+
+def test_quality_equals_scoring_passage_by_passage(spark, awkward):
+    docs = spark.read.parquet(f"{TESTDATA}/sf0.001/documents.parquet")
+    model = quality.fit(docs, spark.read.parquet(f"{TESTDATA}/sf0.001/labels.parquet"))
+    both = docs.select("text").union(awkward.select("text"))
+    rows = quality.assess(both, model, keep=["text"]).collect()
+    assert len(rows) == both.count() and np.ptp([row["score"] for row in rows]) > 0.3
+    for row in rows:
+        score = _plain_quality(model, row["text"])
+        assert abs(row["score"] - score) < 1e-3
+        assert row["predicted"] == (score >= quality.CUTOFF) or abs(score - quality.CUTOFF) < 1e-3
+
+
 def test_held_out_language(spark):
     rows = Q.op1_language_id(spark, f"{TESTDATA}/sf0.01").collect()
     langs = dict(spark.read.parquet(f"{TESTDATA}/sf0.01/documents.parquet").select("doc_id", "lang").collect())
