@@ -28,9 +28,9 @@ def _brute(docs, items, words_of):
     return sorted(out)
 
 
-@pytest.mark.parametrize("part_bytes", [16_000_000, 700])
+@pytest.mark.parametrize("index_bytes", [16_000_000, 0])
 @pytest.mark.parametrize("letters", ["ab", "abcdefgh"])
-def test_random_words(spark, words_of, letters, part_bytes):
+def test_random_words(spark, words_of, letters, index_bytes):
     """Few letters make for ties of hashes, repeated windows and items inside items."""
     rng = random.Random(len(letters))
     text = lambda size: " ".join(rng.choice(letters) for _ in range(size))
@@ -45,7 +45,7 @@ def test_random_words(spark, words_of, letters, part_bytes):
         docs.append((k, " ".join(parts)))
     frame = spark.createDataFrame(docs, "doc_id bigint, text string")
     benchmark = spark.createDataFrame(items, "item_id bigint, text string")
-    found = find_contamination(frame, benchmark, keep=["doc_id"], part_bytes=part_bytes)
+    found = find_contamination(frame, benchmark, keep=["doc_id"], index_bytes=index_bytes)
     assert sorted(tuple(row) for row in found.select(*FOUND).collect()) == _brute(docs, items, words_of)
 
 
@@ -67,3 +67,19 @@ def test_words_that_differ_in_the_order_of_their_pieces(spark):
     docs = spark.createDataFrame([(1, one, "x"), (2, two, "y")], ["doc_id", "text", "a.b"])
     found = find_contamination(docs, spark.createDataFrame([(7, one)] * 3, "item_id int, text string")).collect()
     assert {(row["doc_id"], row["n_hit"], row["n_items"], row["a.b"]) for row in found} == {(1, 1, 1, "x"), (2, 0, 0, "y")}
+
+
+def test_joined_as_indexed(spark, awkward, nothing):
+    """Awkward texts, items without an id, passages that many documents share, and an empty table."""
+    texts = [row["text"] for row in awkward.select("text").collect()]
+    shared = " ".join(f"common{k}" for k in range(20))
+    items = [(None, shared), (1, shared), (2, "long " * 13), (3, "one"), (4, None), (5, ""), *[(6 + k, t) for k, t in enumerate(texts)]]
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    crowd = spark.range(300).selectExpr("id AS doc_id", f"concat('w', id % 7, ' {shared} ', id % 3) AS text")
+    for docs in (awkward, crowd, nothing):
+        indexed, joined = (
+            find_contamination(docs, benchmark, index_bytes=limit).drop("text") for limit in (16_000_000, 0)
+        )
+        assert joined.columns == indexed.columns
+        assert sorted(map(str, joined.collect())) == sorted(map(str, indexed.collect()))
+    assert find_contamination(crowd, benchmark, index_bytes=0).filter("n_hit = 20 AND n_items = 1").count() == 300
