@@ -18,6 +18,7 @@ from __future__ import annotations
 import hashlib
 import json
 import math
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 from typing import NamedTuple
@@ -129,6 +130,7 @@ class Coder:
         self.find_latin = regex.compile(PIECES.format(newer="")).findall
         self.find_any = regex.compile(PIECES.format(newer=f"--[{_ranges()}]")).findall
         self.words: dict[str, str] = {}
+        self.sizes: dict[str, int] = {}
         self.table: dict[tuple[int, int], bool] = {}
         self.labels = {str(number): token for number, token in automaton.labels.items()}
         self.labels |= {str(number): content.encode() for content, number in automaton.special.items()}
@@ -198,6 +200,27 @@ class Coder:
                 ids += [known(word) or new(word) for word in self.find(piece)]
         return ",".join(ids)
 
+    def count(self, text: str) -> int:
+        """Number of ids, without writing them down."""
+        if not self.cut or not self.cut.search(text):
+            return self._count_words(text)
+        pieces = [piece for piece in self.cut.split(text) if piece]
+        return sum(1 if piece in self.automaton.special else self._count_words(piece) for piece in pieces)
+
+    def _count_words(self, text: str) -> int:
+        sizes, total = self.sizes, 0
+        for word, often in Counter(self.find(text)).items():
+            if (size := sizes.get(word)) is None:
+                if len(sizes) >= REMEMBERED:
+                    sizes.clear()
+                if len(self.table) >= REMEMBERED:
+                    self.table.clear()
+                size = len(self.path(word.encode()))
+                if len(word) <= 64:
+                    sizes[word] = size
+            total += often * size
+        return total
+
     def decode(self, ids: str) -> str:
         return b"".join(map(self.labels.__getitem__, ids.split(",") if ids else ())).decode("utf-8", "replace")
 
@@ -292,6 +315,16 @@ def token_digests(docs: DataFrame, automaton: Automaton, *, text: str = "text",
     return _map_rows(docs, _others(docs, _DIGESTS, keep), text, automaton, _DIGESTS, work)
 
 
+def count_tokens(docs: DataFrame, automaton: Automaton, *, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """Adds ``n_tokens``, the number of ids of the whole text, and 0 for null. A column ``n_tokens`` is replaced."""
+    outputs = T.StructType([T.StructField("n_tokens", T.LongType())])
+
+    def work(coder: Coder, value: str | None) -> tuple:
+        return (coder.count(value) if value else 0,)
+
+    return _map_rows(docs, _others(docs, outputs, keep), text, automaton, outputs, work)
+
+
 def encode_with_digests(docs: DataFrame, automaton: Automaton, *, text: str = "text", keep: list[str]) -> DataFrame:
     """``token_digests`` and the ids themselves."""
     outputs = T.StructType([*_DIGESTS, *_IDS])

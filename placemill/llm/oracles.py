@@ -18,6 +18,23 @@ _BYTES = "list_transform(range(octet_length(encode({0}))), lambda i: CAST('0x' |
 _BIT = "list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b: xor(a >> 1, 3988292384 * (a & 1)))"
 _CRC32 = f"xor(list_reduce({_BYTES}, lambda crc, byte: {_BIT}, CAST(4294967295 AS BIGINT)), 4294967295)"
 
+#: The versions of op6_token_counts that SQL can count.
+OP6_BY_EXPRESSION = f"""
+WITH mark AS (
+  SELECT doc_id, max(toxic) AS toxic, min(quality) AS quality FROM labels GROUP BY doc_id),
+counted AS (
+  SELECT source, lang, coalesce(quality = 0, false) AS cleaned,
+    {_COUNT.format("coalesce(text, '')", _SPACE)} AS space, {_COUNT.format(_CLEAN, _SPACE)} AS clean_space,
+    {_COUNT.format("coalesce(text, '')", _WORD)} AS word, {_COUNT.format(_CLEAN, _WORD)} AS clean_word
+  FROM documents LEFT JOIN mark USING (doc_id) WHERE coalesce(toxic, 0) <> 1),
+each AS (
+  SELECT source, lang, 'space-1' AS tokenizer, CASE WHEN cleaned THEN clean_space ELSE space END AS tokens FROM counted
+  UNION ALL
+  SELECT source, lang, 'word-1', CASE WHEN cleaned THEN clean_word ELSE word END FROM counted)
+SELECT source, lang, tokenizer, count(*) AS docs, CAST(sum(tokens) AS BIGINT) AS tokens
+FROM each GROUP BY source, lang, tokenizer
+"""
+
 ORACLES: dict[str, str] = {
     "op3_url_filter": rf"""
 WITH page AS (
@@ -42,21 +59,6 @@ listed AS (
 SELECT k.page_id, k.host, k.path, f.rule,
   coalesce(f.verdict, CASE WHEN k.key IN (SELECT key FROM listed) THEN 'block' ELSE 'allow' END) AS verdict
 FROM keyed k LEFT JOIN fits f ON k.page_id = f.page_id
-""",
-    "op6_token_counts": f"""
-WITH mark AS (
-  SELECT doc_id, max(toxic) AS toxic, min(quality) AS quality FROM labels GROUP BY doc_id),
-counted AS (
-  SELECT source, lang, coalesce(quality = 0, false) AS cleaned,
-    {_COUNT.format("coalesce(text, '')", _SPACE)} AS space, {_COUNT.format(_CLEAN, _SPACE)} AS clean_space,
-    {_COUNT.format("coalesce(text, '')", _WORD)} AS word, {_COUNT.format(_CLEAN, _WORD)} AS clean_word
-  FROM documents LEFT JOIN mark USING (doc_id) WHERE coalesce(toxic, 0) <> 1),
-each AS (
-  SELECT source, lang, 'space-1' AS tokenizer, CASE WHEN cleaned THEN clean_space ELSE space END AS tokens FROM counted
-  UNION ALL
-  SELECT source, lang, 'word-1', CASE WHEN cleaned THEN clean_word ELSE word END FROM counted)
-SELECT source, lang, tokenizer, count(*) AS docs, CAST(sum(tokens) AS BIGINT) AS tokens
-FROM each GROUP BY source, lang, tokenizer
 """,
     "op10_benchmark_decontamination": f"""
 WITH item AS (

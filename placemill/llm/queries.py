@@ -30,6 +30,8 @@ URL_RULES = [
 ]
 #: Names of hosts whose pages are listed.
 LISTED_NAMES = ("adult-x", "ads-track", "casino-win", "cheap-pills", "free-bets", "spam-farm")
+#: Vocabulary file whose tokens are counted, without its ending.
+VOCABULARY = "byte_bpe_50k"
 #: Characters that a revision takes out of texts of low quality.
 NOISE = "[%*&$#!|]+"
 #: Key of the training order.
@@ -88,19 +90,24 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three batches: all documents come in, toxic ones go, and those of low quality are counted anew without noise.
 
-    One batch is delivered a second time, which changes nothing.
+    One batch is delivered a second time, which changes nothing. Tokenizer versions: two that built-in expressions count,
+    and the vocabulary file that documents are encoded with.
     """
     documents, labels = (_table(spark, sf_dir, name) for name in ("documents", "labels"))
-    cleaned = F.regexp_replace("text", NOISE, "")
-    counts = [
-        F.struct(
-            F.lit(name).alias("tokenizer"),
-            count_tokens(F.col("text"), name).alias("old_tokens"),
-            count_tokens(cleaned, name).alias("tokens"),
-        )
-        for name in TOKENIZERS
-    ]
-    counted = pin(documents.select("doc_id", "source", "lang", F.array(*counts).alias("counts")), "counts")
+    # Null where there is no noise, and the count is the old one.
+    cleaned = F.when(F.col("text").rlike(NOISE), F.regexp_replace("text", NOISE, ""))
+
+    def version(name: str, old: Column, new: Column) -> Column:
+        tokens = F.when(F.col("cleaned").isNull(), old).otherwise(new)
+        return F.struct(F.lit(name).alias("tokenizer"), old.alias("old_tokens"), tokens.alias("tokens"))
+
+    automaton = bpe.load(public_tokenizers.path(f"{VOCABULARY}.json"))
+    texts = documents.select("doc_id", "source", "lang", "text", cleaned.alias("cleaned"))
+    ids = bpe.count_tokens(texts, automaton, text="cleaned").withColumnRenamed("n_tokens", "n_cleaned")
+    ids = bpe.count_tokens(ids, automaton)
+    counts = [version(name, count_tokens(F.col("text"), name), count_tokens(F.col("cleaned"), name)) for name in TOKENIZERS]
+    counts.append(version(VOCABULARY, F.col("n_tokens"), F.col("n_cleaned")))
+    counted = pin(ids.select("doc_id", "source", "lang", F.array(*counts).alias("counts")), "counts")
     marks = labels.groupBy(F.col("doc_id").alias("__id")).agg(F.max("toxic").alias("toxic"), F.min("quality").alias("quality"))
     marked = counted.join(marks, F.col("doc_id") == F.col("__id"), "left")
     each = marked.select("source", "lang", "toxic", "quality", F.inline("counts"))

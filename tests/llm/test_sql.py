@@ -1,13 +1,17 @@
 """Queries against their SQL, run by DuckDB on the same tables; and the pipeline against plain versions of its stages."""
 
+import re
+from collections import defaultdict
+
 import duckdb
 import pytest
+from tokenizers import Tokenizer
 
 import __spark_entry__ as contract
 import corpus_pipeline
 from placemill.llm import bpe
-from placemill.llm.oracles import ORACLES
-from placemill.llm.queries import QUERIES
+from placemill.llm.oracles import OP6_BY_EXPRESSION, ORACLES
+from placemill.llm.queries import NOISE, QUERIES, VOCABULARY
 
 from ..conftest import TESTDATA
 
@@ -25,6 +29,29 @@ def test_query_matches_sql(spark, name):
     assert wanted and sorted(map(tuple, got.select(*columns).collect()), key=str) == sorted(wanted, key=str)
 
 
+def test_token_counts(spark):
+    """Versions by expression against SQL, those of the vocabulary file against the tokenizers library."""
+    got = QUERIES["op6_token_counts"](spark, SF_DIR).collect()
+    duck = duckdb.connect()
+    docs, labels = (duck.read_parquet(f"{SF_DIR}/{table}.parquet") for table in ("documents", "labels"))
+    duck.register("documents", docs), duck.register("labels", labels)
+    wanted = duck.sql(OP6_BY_EXPRESSION).fetchall()
+    library = Tokenizer.from_file(corpus_pipeline.public_tokenizers.path(f"{VOCABULARY}.json"))
+    library.no_truncation(), library.no_padding()
+    toxic, quality = ({}, {})
+    for number, marked, good in labels.select("doc_id, toxic, quality").fetchall():
+        toxic[number] = max(marked or 0, toxic.get(number, 0))
+        quality[number] = min(good, quality.get(number, good))
+    sums = defaultdict(lambda: [0, 0])
+    for number, source, lang, text in docs.select("doc_id, source, lang, text").fetchall():
+        if toxic.get(number) != 1:
+            text = re.sub(NOISE, "", text or "") if quality.get(number) == 0 else text or ""
+            sums[source, lang][0] += 1
+            sums[source, lang][1] += len(library.encode(text, add_special_tokens=False).ids)
+    wanted += [(*key, VOCABULARY, *both) for key, both in sums.items()]
+    assert sorted(map(tuple, got), key=str) == sorted(wanted, key=str)
+
+
 def test_registered():
     assert set(QUERIES) | {"pipeline"} <= set(contract.queries())
     assert {int(name[2:].split("_")[0]) for name in QUERIES} == set(range(1, 14))

@@ -87,7 +87,9 @@ def test_rollup(spark, tmp_path):
     assert _totals(rollup) == []
     a, b, none = ("s", "en", "t1", 0, 5), ("s", "en", "t1", 0, 7), (None, None, "t1", 0, 2)
     assert rollup.commit(0, inserted(_counts(spark, a, b, none)))
-    assert not rollup.commit(0, inserted(_counts(spark, a)))
+    assert not rollup.commit(0, inserted(_counts(spark, none, b, a)))
+    with pytest.raises(ValueError):
+        rollup.commit(0, inserted(_counts(spark, a)))
     with pytest.raises(ValueError):
         rollup.commit(2, inserted(_counts(spark, a)))
     assert rollup.commit(1, deleted(_counts(spark, none)))
@@ -103,7 +105,12 @@ def test_rollup(spark, tmp_path):
         rollup.commit(number, inserted(_counts(spark, ("s", "fr", "t2", 0, number))))
         rollup.fold()
         again = Rollup(spark, rollup.root)
-        assert not again.commit(number - 1, inserted(_counts(spark, a)))
+        assert not again.commit(number, inserted(_counts(spark, ("s", "fr", "t2", 0, number))))
+        with pytest.raises(ValueError):
+            again.commit(0, inserted(_counts(spark, a)))
+    assert not rollup.commit(1, deleted(_counts(spark, none)))
+    left = {path.name for path in (tmp_path / "rollup").iterdir() if path.name.startswith("batch")}
+    assert left == {"batch=4", "batch=5"}
     assert rollup._folded() == 4 and _totals(rollup) == [("s", "en", "t1", 2, 15), ("s", "fr", "t2", 3, 12)]
 
 
