@@ -98,20 +98,23 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = F.when(F.col("text").rlike(NOISE), F.regexp_replace("text", NOISE, ""))
 
     def version(name: str, old: Column, new: Column) -> Column:
-        tokens = F.when(F.col("cleaned").isNull(), old).otherwise(new)
-        return F.struct(F.lit(name).alias("tokenizer"), old.alias("old_tokens"), tokens.alias("tokens"))
+        changed = F.when(F.col("cleaned").isNotNull(), new)
+        return F.struct(F.lit(name).alias("tokenizer"), old.alias("old_tokens"), changed.alias("new_tokens"))
 
-    automaton = bpe.load(public_tokenizers.path(f"{VOCABULARY}.json"))
-    texts = documents.select("doc_id", "source", "lang", "text", cleaned.alias("cleaned"))
-    ids = bpe.count_tokens(texts, automaton, text="cleaned").withColumnRenamed("n_tokens", "n_cleaned")
-    ids = bpe.count_tokens(ids, automaton)
     counts = [version(name, count_tokens(F.col("text"), name), count_tokens(F.col("cleaned"), name)) for name in TOKENIZERS]
-    counts.append(version(VOCABULARY, F.col("n_tokens"), F.col("n_cleaned")))
-    counted = pin(ids.select("doc_id", "source", "lang", F.array(*counts).alias("counts")), "counts")
+    texts = documents.select("doc_id", "source", "lang", "text", cleaned.alias("cleaned"))
+    texts = texts.withColumn("counts", F.array(*counts))
+    # The text goes to Python once and does not come back.
+    automaton, keys = bpe.load(public_tokenizers.path(f"{VOCABULARY}.json")), ["doc_id", "source", "lang", "counts"]
+    whole = bpe.count_tokens(texts, automaton, keep=[*keys, "cleaned"]).withColumnRenamed("n_tokens", "n_old")
+    both = bpe.count_tokens(whole, automaton, text="cleaned", keep=[*keys, "cleaned", "n_old"])
+    last = F.array(version(VOCABULARY, F.col("n_old"), F.col("n_tokens")))
+    counted = pin(both.select("doc_id", "source", "lang", F.concat("counts", last).alias("counts")), "counts")
     marks = labels.groupBy(F.col("doc_id").alias("__id")).agg(F.max("toxic").alias("toxic"), F.min("quality").alias("quality"))
     marked = counted.join(marks, F.col("doc_id") == F.col("__id"), "left")
     each = marked.select("source", "lang", "toxic", "quality", F.inline("counts"))
     toxic = F.coalesce(F.col("toxic") == 1, F.lit(False))
+    each = each.withColumn("tokens", F.coalesce("new_tokens", "old_tokens"))
     first = each.withColumn("tokens", F.col("old_tokens"))
     batches = [inserted(first), deleted(first.filter(toxic)), revised(each.filter(~toxic & (F.col("quality") == 0)))]
     rollup = Rollup(spark, scratch_path(spark, "rollup"))
