@@ -16,8 +16,11 @@ from placemill.staging import remove_path, scratch_path
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter go. No probability is asked for: a document in several languages has none that is high."""
-    return langid.keep_identified(docs, language_network(docs))
+    """Documents without a letter go, and those in no learned language, as random letters or an unknown script.
+
+    No probability of one language is asked for: a document in several languages has none that is high.
+    """
+    return langid.keep_identified(docs, language_network(docs, outside=True))
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,6 +7,7 @@ punctuation. The network is trained here, by backpropagation through time.
 
 from __future__ import annotations
 
+import unicodedata
 from typing import NamedTuple
 
 import numpy as np
@@ -31,6 +32,10 @@ LANGUAGES = 500
 EPOCHS = 14
 BATCH = 64
 UNKNOWN = "und"
+#: Label of text in no learned language, for networks that learn it. A noncharacter, which names no language.
+OUTSIDE = "\uffff"
+#: So many bytes of letters a text needs in no learned language, beyond those in one, to be taken for such.
+EVIDENCE = 32
 
 _PREDICTED = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
@@ -135,8 +140,8 @@ def position_probabilities(network: Network, bytes_at: np.ndarray, lengths: np.n
     return _probabilities(scores)
 
 
-def pooled(network: Network, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Probabilities of the languages for each text; zero where no byte counts."""
+def summed(network: Network, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each text the sums of the languages' probabilities over the bytes that count, and how many these are."""
     totals = np.zeros((len(offsets) - 1, len(network.languages)))
     weight = np.zeros(len(offsets) - 1)
     starts, lengths, text = segments(offsets, SEGMENT)
@@ -153,6 +158,12 @@ def pooled(network: Network, data: np.ndarray, offsets: np.ndarray) -> np.ndarra
         sums = np.einsum("slr,sr->rl", probabilities, counted)
         np.add.at(totals, text[chosen], sums)
         np.add.at(weight, text[chosen], counted.sum(0))
+    return totals, weight
+
+
+def pooled(network: Network, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Probabilities of the languages for each text; zero where no byte counts."""
+    totals, weight = summed(network, data, offsets)
     return totals / np.maximum(weight, 1)[:, None]
 
 
@@ -273,10 +284,40 @@ def sample(
     return stretches.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= docs).select("part", "lang")
 
 
-def fit(labelled: DataFrame, *, text: str = "text", lang: str = "lang", **options) -> Network | None:
-    """A network fitted to a bounded sample of the labelled documents; None if there are none."""
+def outside_texts(count: int, size: int = SAMPLE_BYTES, *, seed: int = 1) -> list[bytes]:
+    """Text in no language: words of letters that are drawn evenly, half from ASCII, half from one of Unicode's scripts each."""
+    scripts: dict[str, list[str]] = {}
+    for char in map(chr, range(128, 1 << 16)):
+        if unicodedata.category(char)[0] == "L":
+            scripts.setdefault(unicodedata.name(char, "").split(" ")[0], []).append(char)
+    rng = np.random.default_rng(seed)
+    ascii_letters = [chr(byte) for byte in range(128) if chr(byte).isalpha()]
+    plain = [ascii_letters[26:], ascii_letters, [*ascii_letters, *"0123456789+/"], list("0123456789abcdef")]
+    others = [scripts[name] for name in sorted(scripts)]
+    texts = []
+    for number in range(count):
+        kinds = (plain, others)[number % 2]
+        letters = kinds[rng.integers(len(kinds))]
+        # Some texts have short words, some hardly any space.
+        spaced = rng.random(size) < 1 / rng.integers(3, 80)
+        drawn = rng.integers(len(letters), size=size)
+        texts.append("".join(" " if gap else letters[k] for gap, k in zip(spaced, drawn, strict=True)).encode()[:size])
+    return texts
+
+
+def fit(
+    labelled: DataFrame, *, text: str = "text", lang: str = "lang", outside: bool = False, **options
+) -> Network | None:
+    """A network fitted to a bounded sample of the labelled documents; None if there are none.
+
+    If ``outside``, it also learns to tell text in no language, from as many examples as a language has at most.
+    """
     rows = sample(labelled, text=text, lang=lang, **options).collect()
-    return train([bytes(row["part"]) for row in rows], [row["lang"] for row in rows]) if rows else None
+    parts, labels = [bytes(row["part"]) for row in rows], [row["lang"] for row in rows]
+    if rows and outside:
+        strange = outside_texts(max(map(labels.count, set(labels))))
+        parts, labels = [*parts, *strange], [*labels, *[OUTSIDE] * len(strange)]
+    return train(parts, labels) if rows else None
 
 
 def has_letter(text: Column) -> Column:
@@ -288,10 +329,17 @@ def _predict(network: Network | None) -> Scorer:
         if network is None:
             nothing = len(offsets) - 1
             return [pa.array([UNKNOWN] * nothing, pa.string()), pa.array([0.0] * nothing, pa.float64())]
-        shares = pooled(network, data, offsets)
+        totals, weight = summed(network, data, offsets)
+        strange = np.zeros(len(weight), bool)
+        if OUTSIDE in network.languages:
+            place = network.languages.index(OUTSIDE)
+            strange = 2 * totals[:, place] > weight + EVIDENCE
+            totals[:, place] = -1
+        shares = totals / np.maximum(weight, 1)[:, None]
         best = shares.argmax(1)
-        names = pa.array([network.languages[k] for k in best], pa.string())
-        return [names, pa.array(np.clip(shares[np.arange(len(best)), best], 0, 1), pa.float64())]
+        names = [UNKNOWN if far else network.languages[k] for k, far in zip(best, strange, strict=True)]
+        scores = np.where(strange, 0, np.clip(shares[np.arange(len(best)), best], 0, 1))
+        return [pa.array(names, pa.string()), pa.array(scores, pa.float64())]
 
     return score
 
@@ -299,8 +347,10 @@ def _predict(network: Network | None) -> Scorer:
 def identify(docs: DataFrame, network: Network | None, *, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """Adds ``lang_pred`` and ``score`` (its probability) to each row, read from the whole text and nothing else.
 
-    A text that is null or has no letter gets ``und`` and 0.0, as do all texts without a network. Input columns of these
-    names are replaced. Nothing is shuffled; memory is bounded by a block of text, or by the longest text.
+    A text that is null or has no letter gets ``und`` and 0.0, as do all texts without a network, and those that a network
+    fitted with ``outside`` finds to be mostly in no learned language, by EVIDENCE bytes at least: one in several learned
+    languages is in some all along, and a few letters prove nothing. Input columns of these names are replaced. Nothing is
+    shuffled; memory is bounded by a block of text, or by the longest text.
     """
     columns = [name for name in (docs.columns if keep is None else keep) if name.lower() not in ("lang_pred", "score")]
     marked = docs.withColumn("__lettered", has_letter(F.col(text)))
@@ -316,7 +366,10 @@ def identify(docs: DataFrame, network: Network | None, *, text: str = "text", ke
 
 
 def keep_identified(docs: DataFrame, network: Network | None, *, min_score: float = 0.0) -> DataFrame:
-    """The documents whose language is known with at least ``min_score``, with all their columns as they are."""
+    """The documents whose language is known with at least ``min_score``, with all their columns as they are.
+
+    Only a network fitted with ``outside`` tells documents with letters in no learned language, which go as well.
+    """
     row = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("__doc")
     judged = identify(docs.select(row, "text"), network, keep=["__doc"])
     kept = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)

@@ -47,9 +47,9 @@ def _remainder(doc_id: str, by: int) -> Column:
     return F.pmod(F.crc32(F.col(doc_id).cast("string")), F.lit(by))
 
 
-def language_network(documents: DataFrame) -> langid.Network | None:
+def language_network(documents: DataFrame, **options) -> langid.Network | None:
     """Fitted to the documents whose remainder by 4 is known and not 2."""
-    return langid.fit(documents.select("doc_id", "text", "lang").filter(_remainder("doc_id", 4) != 2))
+    return langid.fit(documents.select("doc_id", "text", "lang").filter(_remainder("doc_id", 4) != 2), **options)
 
 
 def quality_model(documents: DataFrame, labels: DataFrame) -> quality.Model | None:

@@ -1,6 +1,7 @@
 """Every operator and stage on awkward tables, and on empty ones."""
 
 import hashlib
+import random
 from collections import Counter
 
 import pytest
@@ -122,6 +123,36 @@ def test_documents_in_several_languages_stay(spark):
     assert len(texts) >= 10 and kept.count() == len(texts)
 
 
+def test_documents_in_no_learned_language_go(spark, tmp_path):
+    """Words of two languages are learned; random letters and other scripts are in neither. Short texts stay, as they may be."""
+    rng = random.Random(5)
+    english = "the of and house water people would about there think which garden morning street little through".split()
+    german = "der und nicht straße wasser über können schön haus morgen zwischen wieder garten durch möchte".split()
+    letters = {"latin": "abcdefghijklmnopqrstuvwxyz", "greek": "αβγδεζηθικλμνξοπρστυφχψω", "kana": "あいうえおかきくけこさしすせそ"}
+
+    def words(some, count):
+        return " ".join(rng.choice(some) for _ in range(count))
+
+    def strange(name):
+        return " ".join("".join(rng.choice(letters[name]) for _ in range(rng.randint(3, 9))) for _ in range(60))
+
+    both = (("en", english), ("de", german))
+    learned = [(lang, words(some, rng.randint(3, 80))) for lang, some in both for _ in range(200)]
+    mixed = [words(english, 40) + " " + words(german, 40) for _ in range(10)]
+    short = ["qz", "ω", "あ", "xkq vw"]
+    partly = [strange("greek") + " " + words(english, 300)]
+    outside = [strange(name) for name in letters for _ in range(5)]
+    rows = [*learned, *((None, text) for text in [*mixed, *short, *partly, *outside, "12 34", "", None])]
+    numbered = [(k, text, lang) for k, (lang, text) in enumerate(rows)]
+    docs = spark.createDataFrame(numbered, "doc_id bigint, text string, lang string")
+    kept = dict(corpus_pipeline.STAGES)["language_id"](spark, docs, str(tmp_path)).collect()
+    assert sorted(row["text"] for row in kept) == sorted([*(text for _, text in learned), *mixed, *short, *partly])
+    # The query names learned languages only.
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    found = [row["lang_pred"] for row in Q.op1_language_id(spark, str(tmp_path)).collect()]
+    assert set(found) == {"en", "de", "und"} and found.count("und") == 3
+
+
 def test_clashing_names_in_any_case(spark):
     docs = spark.createDataFrame([(1, "some text", "a", "b")], "doc_id bigint, text string, Score string, LANG_PRED string")
     assert langid.identify(docs, None).select("score", "lang_pred").first() == (0.0, "und")
